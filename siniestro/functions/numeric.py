@@ -61,6 +61,13 @@ def add_percent(num: Column | str, den: Column | str) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` (a one-element
+    ``transform``).  Keeps expressions that reuse an intermediate value
+    small: Catalyst would otherwise inline it into every branch."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def repair_coord(c: Column | str) -> Column:
     """C14: coordinates stored as text that lost their decimal point.
 
@@ -68,16 +75,20 @@ def repair_coord(c: Column | str) -> Column:
     otherwise the first two digits become the integer part (sign kept) and the
     result must fall back in range.  ``-2769864082`` -> -27.69864082.
     """
-    s = strip_ws(_col(c).cast("string"))
-    val = try_double(s)
-    digits = F.regexp_replace(F.regexp_replace(s, "^-+", ""), "\\.", "")
-    sign = F.when(s.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
-    fixed = sign * try_double(F.concat(F.substring(digits, 1, 2), F.lit("."), F.substring(digits, 3, 1 << 30)))
     in_range = lambda x: (x >= -COORD_LIMIT) & (x <= COORD_LIMIT)
-    return (F.when(s.isNull() | s.isin(*COORD_NULL_TOKENS) | val.isNull(), F.lit(None).cast("double"))
-            .when(in_range(val) & (val != 0), val)
-            .when(F.length(digits) < 3, F.lit(None).cast("double"))
-            .when(in_range(fixed), fixed))
+
+    def with_text(s: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(s, "^-+", ""), "\\.", "")
+        sign = F.when(s.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
+        fixed = sign * try_double(F.regexp_replace(digits, "^(..)", "$1."))
+        repaired = let(F.struct(fixed.alias("f"), F.length(digits).alias("n")),
+                       lambda r: F.when((r["n"] >= 3) & in_range(r["f"]), r["f"]))
+        return let(try_double(s), lambda v: (
+            F.when(s.isNull() | s.isin(*COORD_NULL_TOKENS) | v.isNull(), F.lit(None).cast("double"))
+             .when(in_range(v) & (v != 0), v)
+             .otherwise(repaired)))
+
+    return let(strip_ws(_col(c).cast("string")), with_text)
 
 
 def damage_rgb(c: Column | str) -> tuple[Column, Column, Column]:
