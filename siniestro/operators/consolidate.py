@@ -59,49 +59,58 @@ def load_inputs(raw: DataFrame, registry: DataFrame) -> DataFrame:
               .drop("__ev_map"))
 
 
+def _normalised(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add normalised key parts as columns first, so each part is computed
+    once per row; the keys are then composed from these columns."""
+    return df.withColumns(cols)
+
+
 def _alt_key(cols: list[str]) -> Column:
-    return F.concat_ws("|", *[normalize_key(c) for c in cols])
+    return F.concat_ws("|", *[F.col(f"__n_{c}") for c in cols])
 
 
 def same_level_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
     """L2: ``EVENT||CODIGO||code`` or ``EVENT||ALTERNATIVA||doc|name|dept|activity|crop``."""
     df = ensure_columns(df, ["codigo", "evento_id"] + ALT_SAME_LEVEL_KEY_COLUMNS)
-    code = normalize_code("codigo", strip_float_suffix)
-    has = code != ""
-    return df.withColumns({
-        "evento_id_norm": normalize_key("evento_id"),
-        "codigo_norm": code,
+    df = _normalised(df, {"evento_id_norm": normalize_key("evento_id"),
+                          "codigo_norm": normalize_code("codigo", strip_float_suffix),
+                          **{f"__n_{c}": normalize_key(c) for c in ALT_SAME_LEVEL_KEY_COLUMNS}})
+    has = F.col("codigo_norm") != ""
+    out = df.withColumns({
         "dedup_key_type": F.when(has, "codigo").otherwise("alternativa"),
-        "dedup_key": F.concat(normalize_key("evento_id"), F.lit("||"),
-                              F.when(has, F.concat(F.lit("CODIGO||"), code))
+        "dedup_key": F.concat(F.col("evento_id_norm"), F.lit("||"),
+                              F.when(has, F.concat(F.lit("CODIGO||"), F.col("codigo_norm")))
                                .otherwise(F.concat(F.lit("ALTERNATIVA||"), _alt_key(ALT_SAME_LEVEL_KEY_COLUMNS)))),
     })
+    return out.drop(*[f"__n_{c}" for c in ALT_SAME_LEVEL_KEY_COLUMNS])
 
 
 def principal_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
     """L3: ``EVENT||IDDJ||iddj`` or ``EVENT||ALTERNATIVA||doc|name|dept``."""
     df = ensure_columns(df, ["evento_id", "iddj"] + PRINCIPAL_ALT_KEY_COLUMNS)
-    iddj = normalize_code("iddj", strip_float_suffix)
-    has = iddj != ""
-    return df.withColumns({
-        "evento_id_norm": normalize_key("evento_id"),
-        "iddj_norm": iddj,
+    df = _normalised(df, {"evento_id_norm": normalize_key("evento_id"),
+                          "iddj_norm": normalize_code("iddj", strip_float_suffix),
+                          **{f"__n_{c}": normalize_key(c) for c in PRINCIPAL_ALT_KEY_COLUMNS}})
+    has = F.col("iddj_norm") != ""
+    out = df.withColumns({
         "principal_key_type": F.when(has, "iddj").otherwise("alternativa"),
-        "principal_key": F.concat(normalize_key("evento_id"), F.lit("||"),
-                                  F.when(has, F.concat(F.lit("IDDJ||"), iddj))
+        "principal_key": F.concat(F.col("evento_id_norm"), F.lit("||"),
+                                  F.when(has, F.concat(F.lit("IDDJ||"), F.col("iddj_norm")))
                                    .otherwise(F.concat(F.lit("ALTERNATIVA||"), _alt_key(PRINCIPAL_ALT_KEY_COLUMNS)))),
     })
+    return out.drop(*[f"__n_{c}" for c in PRINCIPAL_ALT_KEY_COLUMNS])
 
 
 def detail_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
     """L4: ``event||iddj||species||category`` (normalised parts)."""
     df = ensure_columns(df, DETAIL_KEY_COLUMNS)
-    return df.withColumns({
+    df = _normalised(df, {
         "evento_id_norm": normalize_key("evento_id"),
         "iddj_norm": normalize_code("iddj", strip_float_suffix),
         "especie_norm": normalize_key("especie"),
         "categoria_norm": normalize_key("categoria"),
-    }).withColumn("detalle_key", F.concat_ws("||", "evento_id_norm", "iddj_norm", "especie_norm", "categoria_norm"))
+    })
+    return df.withColumn("detalle_key", F.concat_ws("||", "evento_id_norm", "iddj_norm", "especie_norm", "categoria_norm"))
 
 
 def duplicate_rows(df: DataFrame, key: str) -> DataFrame:

@@ -93,3 +93,80 @@ def build_period(y: str, d: str) -> str:
 def py_number_text(x: str) -> str:
     return (f"(CASE WHEN {x} = floor({x}) AND abs({x}) < 1e16 THEN CAST(CAST(floor({x}) AS BIGINT) AS VARCHAR) || '.0' "
             f"ELSE CAST({x} AS VARCHAR) END)")
+
+
+# -- historical pipeline as DuckDB CTEs (raw rows -> flags -> consolidation) --------------
+SURFACES = ["superficie_total", "superficie_agricola_uso", "superficie_agricola_afectada",
+            "superficie_ganadera_uso", "superficie_ganadera_afectada"]
+
+
+def hist_ctes() -> str:
+    """CTEs ``raw_clean``, ``inputs``, ``same``, ``consolidated``, ``principal_all``,
+    ``principal``, ``detail_all``, ``detail`` (after the stand-in CTEs)."""
+    nk = normalize_key
+    y = extract_year
+    new_year = y(f"COALESCE(CAST({y('CAST(g.anio_inicio AS VARCHAR)')} AS VARCHAR), CAST({y('g.evento_id')} AS VARCHAR), "
+                 f"CAST({y('r.source_file')} AS VARCHAR), CAST(r.anio AS VARCHAR))")
+    neg = " OR ".join(f"COALESCE({c} < 0, false)" for c in SURFACES)
+    aff = "COALESCE(superficie_agricola_afectada, 0.0) + COALESCE(superficie_ganadera_afectada, 0.0)"
+    return f""",
+mapped AS (
+  SELECT r.*, g.evento_id AS evento_id, g.dataset_role AS dataset_role, g.relation_type AS relation_type,
+         {new_year} AS anio_new, CAST(NULL AS VARCHAR) AS dto
+  FROM raw_rows r LEFT JOIN registro_eventos g ON g.source_file = r.source_file),
+flagged AS (
+  SELECT * EXCLUDE (anio, anio_new), anio_new AS anio,
+         (anio IS NOT NULL AND anio_new IS NOT NULL AND anio <> anio_new) AS flag_anio_corregido,
+         {build_period('anio_new', 'dto')} AS periodo,
+         (anio_new IS NULL OR anio_new < 1998 OR anio_new > 2019) AS flag_anio_fuera_rango,
+         ({neg}) AS flag_superficie_negativa,
+         COALESCE(superficie_agricola_afectada > superficie_agricola_uso, false) AS flag_agricola_afectada_mayor_uso,
+         COALESCE(superficie_ganadera_afectada > superficie_ganadera_uso, false) AS flag_ganadera_afectada_mayor_uso,
+         COALESCE(mortandad > existencias, false) AS flag_mortandad_mayor_existencias,
+         (superficie_total IS NOT NULL AND ({aff}) > 0 AND COALESCE(superficie_total < ({aff}), false))
+           AS flag_superficie_total_menor_afectadas
+  FROM mapped),
+raw_clean AS (
+  SELECT *, CASE
+      WHEN flag_anio_fuera_rango OR flag_superficie_negativa OR flag_mortandad_mayor_existencias OR evento_id IS NULL THEN 'critico'
+      WHEN flag_ganadera_afectada_mayor_uso OR (flag_superficie_total_menor_afectadas AND dataset_role = 'principal') THEN 'alto'
+      WHEN flag_agricola_afectada_mayor_uso AND dataset_role = 'principal' THEN 'medio'
+      WHEN flag_agricola_afectada_mayor_uso AND dataset_role = 'detalle_agricola' THEN 'estructural'
+      ELSE 'ok' END AS severidad_maxima
+  FROM flagged),
+raw_clean_r AS (SELECT *, severidad_maxima IN ('critico', 'alto', 'medio') AS flag_revision_manual FROM raw_clean),
+inputs AS (
+  SELECT rc.* EXCLUDE (evento_id, dataset_role, relation_type),
+         COALESCE(g.evento_id, rc.evento_id, rc.periodo) AS evento_id,
+         COALESCE(rc.dataset_role, 'desconocido') AS dataset_role,
+         COALESCE(rc.relation_type, 'standalone') AS relation_type,
+         COALESCE(g.evento_nombre, COALESCE(g.evento_id, rc.evento_id, rc.periodo)) AS evento_nombre,
+         COALESCE(CAST(g.prioridad AS DOUBLE), 0.0) AS prioridad,
+         g.source_file IS NULL AS sin_event_mapping
+  FROM raw_clean_r rc LEFT JOIN registro_eventos g ON g.source_file = rc.source_file),
+same AS (
+  SELECT *, CASE WHEN {nk('codigo')} <> '' THEN 'codigo' ELSE 'alternativa' END AS dedup_key_type,
+         {nk('evento_id')} || '||' || CASE WHEN {nk('codigo')} <> '' THEN 'CODIGO||' || {nk('codigo')}
+           ELSE 'ALTERNATIVA||' || concat_ws('|', {nk('documento_nro')}, {nk('productor_nombre')}, {nk('departamento')},
+                                             {nk('actividad')}, {nk('cultivo')}) END AS dedup_key
+  FROM inputs WHERE relation_type IN ('consolidate_same_level', 'standalone')),
+consolidated AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY prioridad DESC, row_id) AS rn
+                              FROM same) WHERE rn = 1),
+principal_all AS (
+  SELECT *, {nk('evento_id')} AS evento_id_norm, {nk('iddj')} AS iddj_norm,
+         {nk('evento_id')} || '||' || CASE WHEN {nk('iddj')} <> '' THEN 'IDDJ||' || {nk('iddj')}
+           ELSE 'ALTERNATIVA||' || concat_ws('|', {nk('documento_nro')}, {nk('productor_nombre')}, {nk('departamento')}) END
+           AS principal_key
+  FROM inputs WHERE relation_type = 'complementary_detail' AND dataset_role = 'principal'),
+principal AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY principal_key ORDER BY prioridad DESC, row_id) AS rn
+                              FROM principal_all) WHERE rn = 1),
+detail_all AS (
+  SELECT *, {nk('evento_id')} AS evento_id_norm, {nk('iddj')} AS iddj_norm,
+         concat_ws('||', {nk('evento_id')}, {nk('iddj')}, {nk('especie')}, {nk('categoria')}) AS detalle_key
+  FROM inputs WHERE relation_type = 'complementary_detail' AND dataset_role = 'detalle_agricola'),
+detail AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY detalle_key ORDER BY prioridad DESC, row_id) AS rn
+                              FROM detail_all) WHERE rn = 1)
+"""
