@@ -60,8 +60,9 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], var_name: str
 
 
 def melt_pairs(df: DataFrame, ids: Sequence[str], pairs: Sequence[tuple[str, str, str]],
-               label: str, first: str, second: str) -> DataFrame:
-    """(label, col_a, col_b) triples -> one row per label with two values."""
-    args = ", ".join(f"'{lab}', `{a}`, `{b}`" for lab, a, b in pairs)
+               label: str, first: str, second: str, cast: str = "bigint") -> DataFrame:
+    """(label, col_a, col_b) triples -> one row per label with two values
+    (all values cast to one type, as ``stack`` requires)."""
+    args = ", ".join(f"'{lab}', CAST(`{a}` AS {cast}), CAST(`{b}` AS {cast})" for lab, a, b in pairs)
     sel = [f"`{i}`" for i in ids] + [f"stack({len(pairs)}, {args}) AS ({label}, {first}, {second})"]
     return df.selectExpr(*sel)

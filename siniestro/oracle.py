@@ -100,6 +100,13 @@ SURFACES = ["superficie_total", "superficie_agricola_uso", "superficie_agricola_
             "superficie_ganadera_uso", "superficie_ganadera_afectada"]
 
 
+# harmonised columns the historical stand-in rows do not carry (typed nulls)
+ABSENT_TEXT = ["fecha_origen", "source_sheet", "solicitud_id", "cuit_cuil", "localidad", "paraje", "seccion", "renspa",
+               "observaciones"]
+ABSENT_NUM = ["produccion_estimada", "produccion_obtenida", "superficie_plantada_sembrada", "superficie_afectada",
+              "porcentaje_afectacion"]
+
+
 def hist_ctes() -> str:
     """CTEs ``raw_clean``, ``inputs``, ``same``, ``consolidated``, ``principal_all``,
     ``principal``, ``detail_all``, ``detail`` (after the stand-in CTEs)."""
@@ -109,10 +116,11 @@ def hist_ctes() -> str:
                  f"CAST({y('r.source_file')} AS VARCHAR), CAST(r.anio AS VARCHAR))")
     neg = " OR ".join(f"COALESCE({c} < 0, false)" for c in SURFACES)
     aff = "COALESCE(superficie_agricola_afectada, 0.0) + COALESCE(superficie_ganadera_afectada, 0.0)"
+    absent = ", ".join([f"CAST(NULL AS VARCHAR) AS {c}" for c in ABSENT_TEXT] + [f"CAST(NULL AS DOUBLE) AS {c}" for c in ABSENT_NUM])
     return f""",
 mapped AS (
   SELECT r.*, g.evento_id AS evento_id, g.dataset_role AS dataset_role, g.relation_type AS relation_type,
-         {new_year} AS anio_new, CAST(NULL AS VARCHAR) AS dto
+         {new_year} AS anio_new, CAST(NULL AS VARCHAR) AS dto, {absent}
   FROM raw_rows r LEFT JOIN registro_eventos g ON g.source_file = r.source_file),
 flagged AS (
   SELECT * EXCLUDE (anio, anio_new), anio_new AS anio,
@@ -170,3 +178,79 @@ detail AS (
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY detalle_key ORDER BY prioridad DESC, row_id) AS rn
                               FROM detail_all) WHERE rn = 1)
 """
+
+
+def _ddjj_hist_id() -> str:
+    nk = normalize_key
+    return (f"(CASE WHEN {nk('codigo')} <> '' THEN concat_ws('|', evento_id, 'C', {nk('codigo')}) "
+            f"WHEN {nk('iddj')} <> '' THEN concat_ws('|', evento_id, 'I', {nk('iddj')}) "
+            "ELSE concat_ws('|', evento_id, 'H', sha256(concat_ws('||', productor_nombre, documento_nro, departamento, "
+            "actividad, cultivo))) END)")
+
+
+HERD = [("Vacas", "cantivaca", "mortavaca"), ("Vaquillonas", "cantivaqui", "mortavaqui"),
+        ("Terneros", "cantiterne", "mortaterne"), ("Novillos", "cantinovi", "mortanovi"),
+        ("Novillitos", "cantinovilli", "mortanovilli"), ("Toros", "cantitoro", "mortatoro"),
+        ("Bufalos", "cantibufa", "mortabufa")]
+
+
+def view_ctes() -> str:
+    """Historical and unified views (after ``hist_ctes``)."""
+    agri_cols = ("evento_id, especie, cultivo, COALESCE(superficie_plantada_sembrada, superficie_agricola_uso) AS superficie_sembrada_uso, "
+                 "COALESCE(superficie_afectada, superficie_agricola_afectada) AS superficie_afectada, iddj, codigo, solicitud_id, dto, anio")
+    herd = " UNION ALL ".join(f"SELECT idddjj, '{lab}' AS categoria, {st} AS existencias, {de} AS mortandad FROM bovinos"
+                              for lab, st, de in HERD)
+    return f""",
+vw_hist_resoluciones AS (
+  SELECT evento_id AS id_resolucion, MIN(dto) AS numero_resolucion, MIN(evento_nombre) AS nombre_resolucion,
+         make_date(MIN(anio), 1, 1) AS fec_res, evento_id, MIN(anio) AS anio
+  FROM consolidated GROUP BY evento_id),
+vw_hist_ddjj_personas AS (
+  SELECT {_ddjj_hist_id()} AS ddjj_hist_id, make_date(anio, 1, 1) AS fecha,
+         COALESCE(porcentaje_afectacion_ganadera, porcentaje_afectacion) AS pondf, evento_id AS id_resolucion,
+         sha256(concat_ws('||', documento_nro, cuit_cuil, productor_nombre)) AS id_productor,
+         departamento, 'historico' AS estado, evento_id, source_file, severidad_maxima, dto, anio
+  FROM consolidated),
+vw_hist_agricultura AS (
+  SELECT 'D|' || CAST(row_id AS VARCHAR) AS agricultura_hist_id, {_ddjj_hist_id()} AS ddjj_hist_id, {agri_cols} FROM detail
+  UNION ALL
+  SELECT 'C|' || CAST(row_id AS VARCHAR), {_ddjj_hist_id()}, {agri_cols} FROM consolidated
+  WHERE cultivo IS NOT NULL OR superficie_agricola_uso IS NOT NULL OR superficie_agricola_afectada IS NOT NULL),
+vw_hist_ganaderia_resumen AS (
+  SELECT 'G|' || CAST(row_id AS VARCHAR) AS ganaderia_hist_id, {_ddjj_hist_id()} AS ddjj_hist_id, evento_id, categoria,
+         especie, actividad, existencias, mortandad, dto, anio
+  FROM consolidated WHERE existencias IS NOT NULL OR mortandad IS NOT NULL),
+decl_ctx AS (
+  SELECT d.id_ddjj AS ctx_id, r.numero_resolucion AS dto, CAST(year(d.fecha) AS INT) AS anio
+  FROM ddjj_personas d LEFT JOIN resoluciones r ON r.id_resolucion = d.id_resolucion),
+vw_all_resoluciones AS (
+  SELECT 'A-' || CAST(id_resolucion AS VARCHAR) AS resolucion_all_id, nombre_resolucion, numero_resolucion, fec_res,
+         id_resolucion AS id_resolucion_actual, CAST(NULL AS VARCHAR) AS evento_id, 'actual' AS origen_dato FROM resoluciones
+  UNION ALL
+  SELECT 'H-' || evento_id, nombre_resolucion, numero_resolucion, fec_res, NULL, evento_id, 'historico' FROM vw_hist_resoluciones),
+vw_all_ddjj_personas AS (
+  SELECT 'A-' || CAST(id_ddjj AS VARCHAR) AS ddjj_all_id, fecha, pondf, departamento, id_resolucion AS id_resolucion_actual,
+         CAST(NULL AS VARCHAR) AS evento_id, id_ddjj AS id_ddjj_actual, CAST(NULL AS VARCHAR) AS ddjj_hist_id, estado,
+         'actual' AS origen_dato FROM ddjj_personas
+  UNION ALL
+  SELECT 'H-' || ddjj_hist_id, fecha, pondf, departamento, NULL, evento_id, NULL, ddjj_hist_id, estado, 'historico'
+  FROM vw_hist_ddjj_personas),
+vw_all_agricultura AS (
+  SELECT 'A-' || CAST(a.id_agricultura AS VARCHAR) AS agricultura_all_id, ct.CultivoTipoDesc AS especie, c.CultivoDesc AS cultivo,
+         a.sup_sembrada AS superficie_sembrada_uso, a.sup_afectada AS superficie_afectada, a.ddjj AS id_ddjj_actual,
+         CAST(NULL AS VARCHAR) AS ddjj_hist_id, CAST(NULL AS VARCHAR) AS iddj, CAST(NULL AS VARCHAR) AS codigo,
+         CAST(NULL AS VARCHAR) AS solicitud_id, x.dto, x.anio, 'actual' AS origen_dato
+  FROM agricultura a LEFT JOIN cultivostipo ct ON ct.id = a.tipo_cultivo LEFT JOIN cultivos c ON c.id = a.id_cultivo
+  LEFT JOIN decl_ctx x ON x.ctx_id = a.ddjj
+  UNION ALL
+  SELECT 'H-' || agricultura_hist_id, especie, cultivo, superficie_sembrada_uso, superficie_afectada, NULL, ddjj_hist_id,
+         iddj, codigo, solicitud_id, dto, anio, 'historico' FROM vw_hist_agricultura),
+vw_all_ganaderia_resumen AS (
+  SELECT 'A-' || CAST(h.idddjj AS VARCHAR) || '-' || h.categoria AS ganaderia_all_id, h.categoria, 'BOVINOS' AS especie,
+         'GANADERIA' AS actividad, CAST(h.existencias AS DOUBLE) AS existencias, CAST(h.mortandad AS DOUBLE) AS mortandad,
+         x.dto, x.anio, 'actual' AS origen_dato
+  FROM ({herd}) h LEFT JOIN decl_ctx x ON x.ctx_id = h.idddjj
+  UNION ALL
+  SELECT 'H-' || ganaderia_hist_id, categoria, especie, actividad, existencias, mortandad, dto, anio, 'historico'
+  FROM vw_hist_ganaderia_resumen)
+"""

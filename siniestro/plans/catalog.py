@@ -238,7 +238,7 @@ class Catalog:
         a = self.physical("agricultura")
         ct = self.physical("cultivostipo").select(F.col("id").alias("__ct"), F.col("CultivoTipoDesc").alias("especie"))
         cu = self.physical("cultivos").select(F.col("id").alias("__cu"), F.col("CultivoDesc").alias("cultivo"))
-        cur = (a.join(ct, a.tipo_cultivo == ct.__ct, "left").join(cu, a.id_cultivo == cu.__cu, "left")
+        cur = (a.join(ct, a.tipo_cultivo == F.col("__ct"), "left").join(cu, a.id_cultivo == F.col("__cu"), "left")
                 .join(self._decl_context(), a.ddjj == F.col("__id"), "left")
                 .select(F.concat(F.lit("A-"), F.col("id_agricultura").cast("string")).alias("agricultura_all_id"),
                         "especie", "cultivo", F.col("sup_sembrada").alias("superficie_sembrada_uso"),
@@ -268,7 +268,8 @@ class Catalog:
 
     def vw_all_ganaderia_resumen(self) -> DataFrame:
         """Current branch = cattle table melted to the 7 categories."""
-        b = melt_pairs(self.physical("bovinos"), ["idddjj"], HERD_CATEGORIES, "categoria", "existencias", "mortandad")
+        b = melt_pairs(self.physical("bovinos"), ["idddjj"], HERD_CATEGORIES, "categoria", "existencias", "mortandad",
+                       cast="double")
         cur = (b.join(self._decl_context(), F.col("idddjj") == F.col("__id"), "left")
                 .select(F.concat_ws("-", F.lit("A"), F.col("idddjj").cast("string"), F.col("categoria")).alias("ganaderia_all_id"),
                         "categoria", F.lit("BOVINOS").alias("especie"), F.lit("GANADERIA").alias("actividad"),
