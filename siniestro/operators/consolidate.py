@@ -10,6 +10,7 @@ identity share one key per event) never land whole in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -66,15 +67,15 @@ def _normalised(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
 
 
 def _alt_key(cols: list[str]) -> Column:
-    return F.concat_ws("|", *[F.col(f"__n_{c}") for c in cols])
+    # only evaluated on rows without a code (CASE branches are lazy)
+    return F.concat_ws("|", *[normalize_key(c) for c in cols])
 
 
 def same_level_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
     """L2: ``EVENT||CODIGO||code`` or ``EVENT||ALTERNATIVA||doc|name|dept|activity|crop``."""
     df = ensure_columns(df, ["codigo", "evento_id"] + ALT_SAME_LEVEL_KEY_COLUMNS)
     df = _normalised(df, {"evento_id_norm": normalize_key("evento_id"),
-                          "codigo_norm": normalize_code("codigo", strip_float_suffix),
-                          **{f"__n_{c}": normalize_key(c) for c in ALT_SAME_LEVEL_KEY_COLUMNS}})
+                          "codigo_norm": normalize_code("codigo", strip_float_suffix)})
     has = F.col("codigo_norm") != ""
     out = df.withColumns({
         "dedup_key_type": F.when(has, "codigo").otherwise("alternativa"),
@@ -82,15 +83,14 @@ def same_level_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame
                               F.when(has, F.concat(F.lit("CODIGO||"), F.col("codigo_norm")))
                                .otherwise(F.concat(F.lit("ALTERNATIVA||"), _alt_key(ALT_SAME_LEVEL_KEY_COLUMNS)))),
     })
-    return out.drop(*[f"__n_{c}" for c in ALT_SAME_LEVEL_KEY_COLUMNS])
+    return out
 
 
 def principal_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
     """L3: ``EVENT||IDDJ||iddj`` or ``EVENT||ALTERNATIVA||doc|name|dept``."""
     df = ensure_columns(df, ["evento_id", "iddj"] + PRINCIPAL_ALT_KEY_COLUMNS)
     df = _normalised(df, {"evento_id_norm": normalize_key("evento_id"),
-                          "iddj_norm": normalize_code("iddj", strip_float_suffix),
-                          **{f"__n_{c}": normalize_key(c) for c in PRINCIPAL_ALT_KEY_COLUMNS}})
+                          "iddj_norm": normalize_code("iddj", strip_float_suffix)})
     has = F.col("iddj_norm") != ""
     out = df.withColumns({
         "principal_key_type": F.when(has, "iddj").otherwise("alternativa"),
@@ -98,7 +98,7 @@ def principal_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
                                   F.when(has, F.concat(F.lit("IDDJ||"), F.col("iddj_norm")))
                                    .otherwise(F.concat(F.lit("ALTERNATIVA||"), _alt_key(PRINCIPAL_ALT_KEY_COLUMNS)))),
     })
-    return out.drop(*[f"__n_{c}" for c in PRINCIPAL_ALT_KEY_COLUMNS])
+    return out
 
 
 def detail_key(df: DataFrame, strip_float_suffix: bool = False) -> DataFrame:
@@ -118,20 +118,22 @@ def duplicate_rows(df: DataFrame, key: str) -> DataFrame:
     return duplicate_members(df.filter(F.col(key).isNotNull() & (F.col(key) != "")), [key])
 
 
-def conflicts(dups: DataFrame, key: str, columns: list[str] = CONFLICT_COLUMNS) -> DataFrame:
+def conflicts(rows: DataFrame, key: str, columns: list[str] = CONFLICT_COLUMNS) -> DataFrame:
     """Per key and numeric variable with more than one distinct value:
     event, sorted distinct values, files, priorities and group size.
 
-    Values are first reduced to distinct (key, variable, value) triples by a
-    shuffle with map-side combine, so a hot key's list is bounded by its
-    distinct values, never by its row count."""
-    present = [c for c in columns if c in dups.columns]
-    group = dups.groupBy(key).agg(
+    Computed from the keyed rows directly (a variable can only conflict in a
+    key that occurs more than once).  Both aggregates combine map-side; the
+    values are first reduced to distinct (key, variable, value) triples, so
+    a hot key's list is bounded by its distinct values, not its row count."""
+    present = [c for c in columns if c in rows.columns]
+    rows = rows.filter(F.col(key).isNotNull() & (F.col(key) != ""))
+    group = rows.groupBy(key).agg(
         F.min("evento_id").alias("evento_id"),
         F.array_join(F.sort_array(F.collect_set(F.col("source_file").cast("string"))), " | ").alias("source_files"),
         F.array_join(F.transform(F.sort_array(F.collect_set("prioridad")), py_number_text), " | ").alias("prioridades"),
-        F.count(F.lit(1)).alias("cantidad_registros"))
-    long = melt(dups.select(key, *[F.col(c).cast("double").alias(c) for c in present]), [key], present, "variable", "valor")
+        F.count(F.lit(1)).alias("cantidad_registros")).filter("cantidad_registros > 1")
+    long = melt(rows.select(key, *[F.col(c).cast("double").alias(c) for c in present]), [key], present, "variable", "valor")
     values = (long.filter(F.col("valor").isNotNull()).distinct()
                   .groupBy(key, "variable")
                   .agg(F.count(F.lit(1)).alias("__n"),
@@ -150,7 +152,15 @@ class SameLevel:
     conflicts: DataFrame
 
 
-def consolidate_same_level(df: DataFrame, strip_float_suffix: bool = False, keep_unidentified: bool = False) -> SameLevel:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _no_stage(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def consolidate_same_level(df: DataFrame, strip_float_suffix: bool = False, keep_unidentified: bool = False,
+                           stage: Stage = _no_stage) -> SameLevel:
     """Same-level and standalone rows, one per dedup key (highest
     priority, then ingest order).  T4: rows with neither code nor any
     alternative identity share one key per event and collapse to one row;
@@ -160,9 +170,10 @@ def consolidate_same_level(df: DataFrame, strip_float_suffix: bool = False, keep
         blank = F.col("dedup_key").endswith("ALTERNATIVA||||||")
         same = same.withColumn("dedup_key", F.when(blank, F.concat("dedup_key", F.lit("#"), F.col("row_id").cast("string")))
                                .otherwise(F.col("dedup_key")))
+    same = stage(same, "same_level_keyed")
     dups = duplicate_rows(same, "dedup_key")
-    best = keep_best(same, "dedup_key", "prioridad", "row_id")
-    return SameLevel(best, dups, conflicts(dups, "dedup_key"))
+    best = stage(keep_best(same, "dedup_key", "prioridad", "row_id"), "consolidated")
+    return SameLevel(best, dups, conflicts(same, "dedup_key"))
 
 
 @dataclass
@@ -173,7 +184,8 @@ class Complementary:
     dup_detail: DataFrame
 
 
-def split_complementary(df: DataFrame, strip_float_suffix: bool = False, drop_exact_rows: bool = False) -> Complementary:
+def split_complementary(df: DataFrame, strip_float_suffix: bool = False, drop_exact_rows: bool = False,
+                        stage: Stage = _no_stage) -> Complementary:
     """Complementary files split by role; principal deduplicated on L3,
     agricultural detail on L4.  Rows with another role or an unknown
     relation drop out of every output, as in the reference (T12).  The
@@ -184,9 +196,10 @@ def split_complementary(df: DataFrame, strip_float_suffix: bool = False, drop_ex
     detail = detail_key(comp.filter(role_is("dataset_role", ROLE_DETAIL)), strip_float_suffix)
     if drop_exact_rows:
         detail = drop_exact(detail, ignore=["row_id"])
+    principal, detail = stage(principal, "principal_keyed"), stage(detail, "detail_keyed")
     return Complementary(
-        keep_best(principal, "principal_key", "prioridad", "row_id"),
-        keep_best(detail, "detalle_key", "prioridad", "row_id"),
+        stage(keep_best(principal, "principal_key", "prioridad", "row_id"), "principal"),
+        stage(keep_best(detail, "detalle_key", "prioridad", "row_id"), "detail"),
         duplicate_rows(principal, "principal_key"),
         duplicate_rows(detail, "detalle_key"),
     )
@@ -258,9 +271,13 @@ class Curated:
 
 
 def consolidate(raw: DataFrame, registry: DataFrame, strip_float_suffix: bool = False,
-                drop_exact_rows: bool = False, keep_unidentified: bool = False) -> Curated:
-    """The whole consolidation: three curated tables, two report sets."""
-    df = load_inputs(raw, registry)
-    same = consolidate_same_level(df, strip_float_suffix, keep_unidentified)
-    comp = split_complementary(df, strip_float_suffix, drop_exact_rows)
+                drop_exact_rows: bool = False, keep_unidentified: bool = False, stage: Stage = _no_stage) -> Curated:
+    """The whole consolidation: three curated tables, two report sets.
+
+    ``stage`` may materialise intermediate tables (e.g. write them to the
+    shared checkpoint folder); every report set is then computed from the
+    staged tables instead of re-running the harmonisation."""
+    df = stage(load_inputs(raw, registry), "inputs")
+    same = consolidate_same_level(df, strip_float_suffix, keep_unidentified, stage)
+    comp = split_complementary(df, strip_float_suffix, drop_exact_rows, stage)
     return Curated(df, same, comp, relation_reports(df, comp))

@@ -27,19 +27,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = REGISTRY_BROADCAST_MAX_ROW
     return F.broadcast(df) if n <= max_rows else df
 
 
+def check_registry(registry: DataFrame, on: str, max_rows: int = REGISTRY_BROADCAST_MAX_ROWS) -> bool:
+    """One small job: the registry has one row per ``on`` value (raises
+    otherwise) and its size; returns whether it may be broadcast."""
+    stats = registry.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(on).alias("d")).first()
+    if stats["n"] != stats["d"]:
+        raise ValueError(f"registry has more than one row for some {on}")
+    return stats["n"] <= max_rows
+
+
 def attach_registry(df: DataFrame, registry: DataFrame, on: str = "source_file",
-                    indicator: str | None = "sin_event_mapping", check_unique: bool = True) -> DataFrame:
+                    indicator: str | None = "sin_event_mapping", check: bool = True) -> DataFrame:
     """Rows LEFT JOIN registry on the file name, plus an unmatched flag.
 
     The registry must have one row per file (a duplicate would multiply
-    rows); this is checked on the small side before joining.
+    rows); this and its size are checked on the small side before joining,
+    and only a registry within the size bound is broadcast.
     """
-    if check_unique:
-        dupes = registry.groupBy(on).count().filter("count > 1").limit(1).count()
-        if dupes:
-            raise ValueError(f"registry has more than one row for some {on}")
+    small = check_registry(registry, on) if check else False
     reg = registry.withColumn("__matched", F.lit(True))
-    out = df.join(broadcast_if_small(reg), on=on, how="left")
+    out = df.join(F.broadcast(reg) if small else reg, on=on, how="left")
     if indicator:
         out = out.withColumn(indicator, F.col("__matched").isNull())
     return out.drop("__matched")

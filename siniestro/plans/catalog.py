@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import standins
+from ..session import materialize
 from ..functions.dates import year_start
 from ..functions.misc import stable_id
 from ..functions.text import normalize_key
@@ -60,6 +61,9 @@ def resolve(name: str, mode: str = MODE_CURRENT) -> str:
     return mapping.get(name, name)
 
 
+_STAGED: dict[tuple[str, str], Curated] = {}
+
+
 class Catalog:
     """Lazy resolver over the operational star and the historical pipeline.
 
@@ -69,9 +73,10 @@ class Catalog:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str = MODE_CURRENT,
-                 frames: dict[str, DataFrame] | None = None):
+                 frames: dict[str, DataFrame] | None = None, staged: bool = True):
         self.spark, self.sf_dir, self.mode = spark, sf_dir, mode
         self._frames = dict(frames or {})
+        self.staged = staged
 
     @property
     def unified(self) -> bool:
@@ -100,7 +105,21 @@ class Catalog:
 
     @cached_property
     def curated(self) -> Curated:
-        return consolidate(self.raw_clean, self.physical("registro_eventos"))
+        """The consolidation.  With ``staged=True`` its tables are written once
+        per session and data folder to the shared checkpoint folder (as the
+        source system stages its curated tables) and every report reads them."""
+        if not self.staged:
+            return consolidate(self.raw_clean, self.physical("registro_eventos"))
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STAGED:
+            tables: dict[str, DataFrame] = {}
+
+            def stage(df: DataFrame, name: str) -> DataFrame:
+                tables[name] = materialize(df, f"curated-{name}")
+                return tables[name]
+
+            _STAGED[key] = consolidate(self.raw_clean, self.physical("registro_eventos"), stage=stage)
+        return _STAGED[key]
 
     @property
     def consolidated(self) -> DataFrame:
