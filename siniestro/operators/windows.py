@@ -28,22 +28,32 @@ def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "__n") -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def _dup_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Keys occurring more than once (pre-aggregated, map-side combined),
+    renamed so the join back is not a self-join; null-safe condition."""
+    d = (group_sizes(df, keys).filter("__n > 1")
+         .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]))
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        cond = c if cond is None else cond & c
+    return d, cond
+
+
 def duplicated(df: DataFrame, keys: Sequence[str], flag: str = "duplicado") -> DataFrame:
     """Flag every member of a duplicated key (pandas ``keep=False``;
     null equals null).  Counts are pre-aggregated, then joined back on a
     null-safe key; AQE splits a skewed join partition."""
-    dup_keys = group_sizes(df, keys).filter("__n > 1").drop("__n").withColumn("__dup", F.lit(True))
-    cond = [df[k].eqNullSafe(dup_keys[k]) for k in keys]
-    out = df.join(dup_keys, on=cond, how="left")
-    out = out.select(*[df[c] for c in df.columns], F.coalesce(F.col("__dup"), F.lit(False)).alias(flag))
-    return out
+    d, cond = _dup_keys(df, keys)
+    d = d.withColumn("__dup", F.lit(True))
+    out = df.join(d, on=cond, how="left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("__dup"), F.lit(False)).alias(flag))
 
 
 def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """G2 (rows only): the members of duplicated keys, as a semi join."""
-    dup_keys = group_sizes(df, keys).filter("__n > 1").drop("__n")
-    cond = [df[k].eqNullSafe(dup_keys[k]) for k in keys]
-    return df.join(dup_keys, on=cond, how="left_semi")
+    d, cond = _dup_keys(df, keys)
+    return df.join(d, on=cond, how="left_semi")
 
 
 def drop_dominant(df: DataFrame, group: str, measure: str) -> DataFrame:
