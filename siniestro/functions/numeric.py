@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, _col, strip_ws
+from .text import WS, _col, let, strip_ws
 
 # --- fixed values ------------------------------------------------------------
 COORD_NULL_TOKENS = ("", "0", "0.0", "NULL")
@@ -33,25 +33,32 @@ def to_number(c: Column | str) -> Column:
     return try_double(c)
 
 
-def clean_numeric(c: Column | str) -> Column:
-    """Locale-tolerant number.
+def numeric_chars(c: Column | str) -> Column:
+    """C2, first step: keep only digits, ``,``, ``.`` and ``-``."""
+    return F.regexp_replace(_col(c).cast("string"), "[^0-9,.\\-]", "")
 
-    Keep only digits, ``,``, ``.``, ``-``.  With both separators the later one
-    is the decimal mark; a lone comma is decimal; dots alone stay as they are.
-    ``1.234`` -> 1.234, ``1.234,5`` -> 1234.5, ``1,2,3`` -> null, ``1e5`` -> 15.
-    """
-    c = _col(c)
-    s = F.regexp_replace(c.cast("string"), "[^0-9,.\\-]", "")
+
+def parse_numeric_chars(s: Column) -> Column:
+    """C2, second step, on the output of ``numeric_chars``."""
     has_comma = F.instr(s, ",") > 0
     has_dot = F.instr(s, ".") > 0
-    comma_last = s.rlike(",[^.]*$")
     normalised = (
         F.when(has_comma & has_dot,
-               F.when(comma_last, F.translate(F.regexp_replace(s, "\\.", ""), ",", "."))
+               F.when(s.rlike(",[^.]*$"), F.translate(F.regexp_replace(s, "\\.", ""), ",", "."))
                 .otherwise(F.regexp_replace(s, ",", "")))
         .when(has_comma, F.translate(s, ",", "."))
         .otherwise(s))
-    return F.when(c.isNull() | s.isin("", "-", ".", ","), F.lit(None).cast("double")).otherwise(try_double(normalised))
+    return F.when(s.isNull() | s.isin("", "-", ".", ","), F.lit(None).cast("double")).otherwise(try_double(normalised))
+
+
+def clean_numeric(c: Column | str) -> Column:
+    """Locale-tolerant number.
+
+    Keep only digits, ``,``, ``.``, ``-``.  With both separators the later one
+    is the decimal mark; a lone comma is decimal; dots alone stay as they are.
+    ``1.234`` -> 1.234, ``1.234,5`` -> 1234.5, ``1,2,3`` -> null, ``1e5`` -> 15.
+    """
+    return parse_numeric_chars(numeric_chars(c))
 
 
 def add_percent(num: Column | str, den: Column | str) -> Column:
@@ -61,13 +68,6 @@ def add_percent(num: Column | str, den: Column | str) -> Column:
             .otherwise(F.lit(0.0)))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` (a one-element
-    ``transform``).  Keeps expressions that reuse an intermediate value
-    small: Catalyst would otherwise inline it into every branch."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repair_coord(c: Column | str) -> Column:
     """C14: coordinates stored as text that lost their decimal point.
 
