@@ -275,8 +275,10 @@ def project_sheet(layout: Layout, sheet: Sheet) -> DataFrame:
     out = df.select("__row", *[c.cast("string").alias(t) for t, c in cols.items()], *hidden).withColumns(
         {"source_file": F.lit(sheet.source_file), "source_sheet": F.lit(sheet.source_sheet)})
     out = apply_sheet_rules(layout, out, has_crop_header="CULTIVO" in df.columns)
-    return out.withColumn("row_id", F.lit(sheet.file_ordinal).cast("long") * (1 << 32)
-                          + F.lit(sheet.sheet_ordinal).cast("long") * (1 << 21) + F.col("__row"))
+    # ingest order: (file, sheet, row) packed into one long -- files < 2^19,
+    # sheets < 2^10, rows < 2^34 per sheet
+    return out.withColumn("row_id", F.lit(sheet.file_ordinal).cast("long") * (1 << 44)
+                          + F.lit(sheet.sheet_ordinal).cast("long") * (1 << 34) + F.col("__row"))
 
 
 def apply_sheet_rules(layout: Layout, out: DataFrame, has_crop_header: bool) -> DataFrame:

@@ -156,3 +156,14 @@ def test_f8_one_scan_seven_rows(spark):
     assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
     empty = A.herd_totals_wide(df.filter("false"))
     assert empty.count() == 7                      # T13: all categories kept, even all-null
+
+
+def test_report_filters_reach_the_scan(spark):
+    from conftest import SF_SMALL
+    from siniestro.plans import reports as R
+    from siniestro.plans.catalog import Catalog
+    from siniestro.registry import FILTERED
+    df = R.declarations_per_resolution(Catalog(spark, SF_SMALL), FILTERED)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
