@@ -145,6 +145,19 @@ def conflicts(rows: DataFrame, key: str, columns: list[str] = CONFLICT_COLUMNS)
                           "prioridades", "cantidad_registros"))
 
 
+def conflict_values(rows: DataFrame, key: str, columns: list[str] = CONFLICT_COLUMNS) -> DataFrame:
+    """L8 in long form: one row per (key, variable, distinct value) with its
+    row count, for the variables that conflict.  Nothing is gathered per
+    group, so a hot key with millions of distinct values stays distributed
+    (the joined-string report is built from this same reduction)."""
+    present = [c for c in columns if c in rows.columns]
+    rows = rows.filter(F.col(key).isNotNull() & (F.col(key) != ""))
+    long = melt(rows.select(key, *[F.col(c).cast("double").alias(c) for c in present]), [key], present, "variable", "valor")
+    vals = long.filter(F.col("valor").isNotNull()).groupBy(key, "variable", "valor").agg(F.count(F.lit(1)).alias("filas"))
+    conflicting = vals.groupBy(key, "variable").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    return vals.join(conflicting, [key, "variable"], "left_semi").withColumnRenamed(key, "clave")
+
+
 @dataclass
 class SameLevel:
     consolidated: DataFrame

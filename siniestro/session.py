@@ -23,6 +23,12 @@ DEFAULT_CONF = {
     # Small dimension tables (registries, lookups) are broadcast by size
     # statistics; anything above this stays a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Partition sizing for large inputs: scan splits of 256 MB; AQE coalesces
+    # shuffle partitions towards 128 MB and splits skewed ones, so the static
+    # shuffle partition count is only an upper bound.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
 }
 
 
