@@ -150,3 +150,31 @@ def unmapped(df: DataFrame) -> DataFrame:
     """Rows without a registry entry, per (file, period)."""
     return (df.filter(F.col("sin_event_mapping")).groupBy("source_file", "periodo")
               .agg(F.count(F.lit(1)).alias("filas")))
+
+
+# --- fixed values: quality report --------------------------------------------------
+REPORT_PREVIEW_ROWS = 100
+REPORT_DUPLICATE_ROWS = 500
+REPORT_DUPLICATE_KEYS = ["periodo", "productor_nombre", "documento_nro", "cuit_cuil", "departamento", "actividad", "cultivo"]
+# -----------------------------------------------------------------------------------
+
+
+def quality_report(df: DataFrame, order: str = "row_id") -> dict[str, DataFrame]:
+    """K11 (and K12 on the consolidated table): the seven report tables --
+    preview, nulls per column, rows per year and per department, duplicate
+    rows on the identity columns (first 500 in ingest order), surface
+    statistics and the error summary.  Each is its own lazy plan; cache the
+    input first when all seven are written together."""
+    from .aggregates import describe, null_counts, size_by
+    from .windows import duplicate_members
+    cols = set(df.columns)
+    keys = [k for k in REPORT_DUPLICATE_KEYS if k in cols]
+    return {
+        "preview": df.orderBy(order).limit(REPORT_PREVIEW_ROWS),
+        "nulos": null_counts(df.select(*[c for c in OUTPUT_COLUMNS if c in cols])),
+        "filas_por_anio": size_by(df, "anio"),
+        "filas_por_departamento": size_by(df, "departamento"),
+        "duplicados": duplicate_members(df, keys).orderBy(order).limit(REPORT_DUPLICATE_ROWS),
+        "resumen_superficies": describe(df, [c for c in SURFACE_COLUMNS if c in cols]),
+        "errores_potenciales": error_summary(df),
+    }
