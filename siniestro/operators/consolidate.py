@@ -178,12 +178,7 @@ def consolidate_same_level(df: DataFrame, strip_float_suffix: bool = False, keep
     priority, then ingest order).  T4: rows with neither code nor any
     alternative identity share one key per event and collapse to one row;
     ``keep_unidentified=True`` keeps each of them instead."""
-    same = same_level_key(df.filter(role_is("relation_type", *SAME_LEVEL_RELATIONS)), strip_float_suffix)
-    if keep_unidentified:
-        blank = F.col("dedup_key").endswith("ALTERNATIVA||||||")
-        same = same.withColumn("dedup_key", F.when(blank, F.concat("dedup_key", F.lit("#"), F.col("row_id").cast("string")))
-                               .otherwise(F.col("dedup_key")))
-    same = stage(same, "same_level_keyed")
+    same = stage(same_level_rows(df, strip_float_suffix, keep_unidentified), "same_level_keyed")
     dups = duplicate_rows(same, "dedup_key")
     best = stage(keep_best(same, "dedup_key", "prioridad", "row_id"), "consolidated")
     return SameLevel(best, dups, conflicts(same, "dedup_key"))
@@ -204,11 +199,7 @@ def split_complementary(df: DataFrame, strip_float_suffix: bool = False, drop_ex
     relation drop out of every output, as in the reference (T12).  The
     exact-row dedup of details is a no-op there (T3); ``drop_exact_rows``
     makes it real."""
-    comp = df.filter(role_is("relation_type", COMPLEMENTARY))
-    principal = principal_key(comp.filter(role_is("dataset_role", ROLE_PRINCIPAL)), strip_float_suffix)
-    detail = detail_key(comp.filter(role_is("dataset_role", ROLE_DETAIL)), strip_float_suffix)
-    if drop_exact_rows:
-        detail = drop_exact(detail, ignore=["row_id"])
+    principal, detail = complementary_rows(df, strip_float_suffix, drop_exact_rows)
     principal, detail = stage(principal, "principal_keyed"), stage(detail, "detail_keyed")
     return Complementary(
         stage(keep_best(principal, "principal_key", "prioridad", "row_id"), "principal"),
@@ -283,14 +274,50 @@ class Curated:
         }
 
 
+def same_level_rows(df: DataFrame, strip_float_suffix: bool = False, keep_unidentified: bool = False) -> DataFrame:
+    """Same-level and standalone rows with their dedup key (L2, T4 option)."""
+    same = same_level_key(df.filter(role_is("relation_type", *SAME_LEVEL_RELATIONS)), strip_float_suffix)
+    if keep_unidentified:
+        blank = F.col("dedup_key").endswith("ALTERNATIVA||||||")
+        same = same.withColumn("dedup_key", F.when(blank, F.concat("dedup_key", F.lit("#"), F.col("row_id").cast("string")))
+                               .otherwise(F.col("dedup_key")))
+    return same
+
+
+def complementary_rows(df: DataFrame, strip_float_suffix: bool = False,
+                       drop_exact_rows: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Principal and agricultural-detail rows with their keys."""
+    comp = df.filter(role_is("relation_type", COMPLEMENTARY))
+    principal = principal_key(comp.filter(role_is("dataset_role", ROLE_PRINCIPAL)), strip_float_suffix)
+    detail = detail_key(comp.filter(role_is("dataset_role", ROLE_DETAIL)), strip_float_suffix)
+    if drop_exact_rows:
+        detail = drop_exact(detail, ignore=["row_id"])
+    return principal, detail
+
+
+StageMany = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
+
+
 def consolidate(raw: DataFrame, registry: DataFrame, strip_float_suffix: bool = False,
-                drop_exact_rows: bool = False, keep_unidentified: bool = False, stage: Stage = _no_stage) -> Curated:
+                drop_exact_rows: bool = False, keep_unidentified: bool = False, stage: Stage = _no_stage,
+                stage_many: StageMany | None = None) -> Curated:
     """The whole consolidation: three curated tables, two report sets.
 
-    ``stage`` may materialise intermediate tables (e.g. write them to the
-    shared checkpoint folder); every report set is then computed from the
-    staged tables instead of re-running the harmonisation."""
-    df = stage(load_inputs(raw, registry), "inputs")
-    same = consolidate_same_level(df, strip_float_suffix, keep_unidentified, stage)
-    comp = split_complementary(df, strip_float_suffix, drop_exact_rows, stage)
-    return Curated(df, same, comp, relation_reports(df, comp))
+    Intermediate tables may be materialised: ``stage`` one at a time, or
+    ``stage_many`` a phase of independent tables at once (inputs; then the
+    three keyed tables; then the three deduplicated tables).  Every report
+    set is then computed from the staged tables instead of re-running the
+    harmonisation."""
+    many = stage_many or (lambda frames: {n: stage(df, n) for n, df in frames.items()})
+    df = many({"inputs": load_inputs(raw, registry)})["inputs"]
+    principal_rows, detail_rows = complementary_rows(df, strip_float_suffix, drop_exact_rows)
+    keyed = many({"same_level_keyed": same_level_rows(df, strip_float_suffix, keep_unidentified),
+                  "principal_keyed": principal_rows, "detail_keyed": detail_rows})
+    same, principal_rows, detail_rows = keyed["same_level_keyed"], keyed["principal_keyed"], keyed["detail_keyed"]
+    best = many({"consolidated": keep_best(same, "dedup_key", "prioridad", "row_id"),
+                 "principal": keep_best(principal_rows, "principal_key", "prioridad", "row_id"),
+                 "detail": keep_best(detail_rows, "detalle_key", "prioridad", "row_id")})
+    same_level = SameLevel(best["consolidated"], duplicate_rows(same, "dedup_key"), conflicts(same, "dedup_key"))
+    comp = Complementary(best["principal"], best["detail"], duplicate_rows(principal_rows, "principal_key"),
+                         duplicate_rows(detail_rows, "detalle_key"))
+    return Curated(df, same_level, comp, relation_reports(df, comp))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import standins
-from ..session import materialize
+from ..session import materialize_all
 from ..functions.dates import year_start
 from ..functions.misc import stable_id
 from ..functions.text import normalize_key
@@ -112,13 +112,8 @@ class Catalog:
             return consolidate(self.raw_clean, self.physical("registro_eventos"))
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _STAGED:
-            tables: dict[str, DataFrame] = {}
-
-            def stage(df: DataFrame, name: str) -> DataFrame:
-                tables[name] = materialize(df, f"curated-{name}")
-                return tables[name]
-
-            _STAGED[key] = consolidate(self.raw_clean, self.physical("registro_eventos"), stage=stage)
+            _STAGED[key] = consolidate(self.raw_clean, self.physical("registro_eventos"),
+                                       stage_many=lambda frames: materialize_all(frames, "curated"))
         return _STAGED[key]
 
     @property

@@ -13,7 +13,7 @@ from ..operators.consolidate import Curated, consolidate
 from ..operators.quality import add_quality_flags, apply_event_mapping
 from ..operators.setops import union_all
 from ..schema import OUTPUT_COLUMNS
-from ..session import materialize
+from ..session import materialize, materialize_all
 from .layouts import LAYOUTS, HeaderError, Sheet, harmonise_workbook
 
 # --- fixed values: per-file status ------------------------------------------------
@@ -71,5 +71,5 @@ def run_pipeline(spark: SparkSession, sheets: Mapping[str, Sequence[Sheet]], for
     consolidate from it with every curated table staged the same way."""
     h = harmonise(spark, sheets, formats, registry)
     clean = materialize(h.clean, "raw-clean")
-    curated = consolidate(clean, registry, stage=lambda df, name: materialize(df, f"curated-{name}"))
+    curated = consolidate(clean, registry, stage_many=lambda frames: materialize_all(frames, "curated"))
     return Harmonised(clean, h.status), curated

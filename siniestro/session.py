@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +78,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(frames: dict[str, DataFrame], prefix: str) -> dict[str, DataFrame]:
+    """``materialize`` several independent tables concurrently: one Spark job
+    per table, submitted from threads, so small jobs share the executors
+    instead of running back to back."""
+    if len(frames) <= 1:
+        return {n: materialize(df, f"{prefix}-{n}") for n, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futures = {n: pool.submit(materialize, df, f"{prefix}-{n}") for n, df in frames.items()}
+        return {n: f.result() for n, f in futures.items()}
