@@ -72,12 +72,18 @@ def read_landing(spark: SparkSession, path: str) -> dict[str, list[Sheet]]:
 
 
 def inventory(sheets: Mapping[str, Sequence[Sheet]]) -> DataFrame:
-    """A2: per sheet: rows, columns, header joined by `` | `` and the first
-    15 rows as text (bounded preview)."""
+    """A2: per sheet: rows, columns, header joined by `` | ``, the first 15
+    rows as text (bounded preview) and the header problem, if any, as data."""
+    from ..plans.layouts import HeaderError, normalise_header
     parts = []
     for f, group in sheets.items():
         for s in group:
             cols = [c for c in s.frame.columns if c != "__row"]
+            try:
+                normalise_header(s.frame)
+                problem = None
+            except HeaderError as exc:   # reported as data, the inventory goes on
+                problem = f"{type(exc).__name__}: {exc}"
             line = F.concat_ws(" | ", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cols])
             parts.append(s.frame.agg(
                 F.count(F.lit(1)).alias("filas"),
@@ -86,7 +92,7 @@ def inventory(sheets: Mapping[str, Sequence[Sheet]]) -> DataFrame:
                                          lambda x: x["t"]), "\n").alias("vista_previa"))
                 .select(F.lit(f).alias("archivo"), F.lit(s.source_sheet).alias("hoja"), "filas",
                         F.lit(len(cols)).alias("columnas"), F.lit(" | ".join(cols)).alias("encabezado"),
-                        "vista_previa", F.lit(None).cast("string").alias("error")))
+                        "vista_previa", F.lit(problem).cast("string").alias("error")))
     from ..operators.setops import union_all
     return union_all(parts)
 
