@@ -272,13 +272,13 @@ def project_sheet(layout: Layout, sheet: Sheet) -> DataFrame:
     if layout.side_rule == "presence":
         hidden = [first_existing(df, PRESENCE_AGRI).isNotNull().alias("__pa"),
                   first_existing(df, PRESENCE_LIVESTOCK).isNotNull().alias("__pl")]
-    out = df.select("__row", *[c.cast("string").alias(t) for t, c in cols.items()], *hidden).withColumns(
-        {"source_file": F.lit(sheet.source_file), "source_sheet": F.lit(sheet.source_sheet)})
-    out = apply_sheet_rules(layout, out, has_crop_header="CULTIVO" in df.columns)
     # ingest order: (file, sheet, row) packed into one long -- files < 2^19,
     # sheets < 2^10, rows < 2^34 per sheet
-    return out.withColumn("row_id", F.lit(sheet.file_ordinal).cast("long") * (1 << 44)
-                          + F.lit(sheet.sheet_ordinal).cast("long") * (1 << 34) + F.col("__row"))
+    row_id = (F.lit(sheet.file_ordinal).cast("long") * (1 << 44)
+              + F.lit(sheet.sheet_ordinal).cast("long") * (1 << 34) + F.col("__row"))
+    out = df.select(row_id.alias("row_id"), *[c.cast("string").alias(t) for t, c in cols.items()], *hidden,
+                    F.lit(sheet.source_file).alias("source_file"), F.lit(sheet.source_sheet).alias("source_sheet"))
+    return apply_sheet_rules(layout, out, has_crop_header="CULTIVO" in header)
 
 
 def apply_sheet_rules(layout: Layout, out: DataFrame, has_crop_header: bool) -> DataFrame:
@@ -324,7 +324,7 @@ def _cached(kind: str, name: str, build) -> Column:
     return _EXPR_CACHE[key]
 
 
-def finalize(df: DataFrame) -> DataFrame:
+def finalize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The 47 columns in order, C1 on text, C2 on numbers, C3 on the
     year; rows empty in every column but file/sheet are dropped (T7: a
     layout with constants never drops a row).
@@ -332,7 +332,7 @@ def finalize(df: DataFrame) -> DataFrame:
     Two projections: the first computes each stripped / filtered string
     once; the second parses them (Catalyst keeps the two apart because each
     intermediate is used several times)."""
-    present = set(df.columns)
+    present = set(columns) if columns is not None else set(df.columns)
     src = lambda c: F.col(c) if c in present else F.lit(None).cast("string")
     stage = df.select(
         "row_id",
@@ -362,7 +362,10 @@ def finalize(df: DataFrame) -> DataFrame:
 def harmonise_workbook(layout_name: str, sheets: Sequence[Sheet]) -> DataFrame:
     """B12 for one workbook: its layout over the sheets it reads."""
     layout = LAYOUTS[layout_name]
-    frames = [finalize(project_sheet(layout, s)) for s in select_sheets(layout, sheets)]
+    frames = []
+    for s in select_sheets(layout, sheets):
+        projected = project_sheet(layout, s)
+        frames.append(finalize(projected, projected.columns))
     if not frames:
         raise FileNotFoundError("no sheet to read")
     return reduce(lambda a, b: a.unionByName(b), frames)
