@@ -84,3 +84,11 @@ def test_streaming_refresh_matches_batch(spark):
     want = sorted(tuple(r) for r in monthly_events(month_of(events))
                   .select("mes", "event_type", "eventos", "usuarios", "valor_max").collect())
     assert got == want
+
+
+def test_inventory_reports_header_problems(spark):
+    from siniestro.sources.landing import inventory
+    inv = {(r["archivo"], r["hoja"]): r for r in inventory(SH.testdata_workbooks(spark, SF_SMALL)).collect()}
+    assert inv[("ROTO 2012.xlsx", "Hoja1")]["error"].startswith("HeaderError")
+    assert inv[("DTO 2009-277 GANADERO.xlsx", "Hoja1")]["error"] is None
+    assert inv[("DTO 2001-133 AGRICOLAS.xlsx", "N2")]["filas"] == 0
