@@ -294,7 +294,10 @@ def apply_sheet_rules(layout: Layout, out: DataFrame, has_crop_header: bool) ->
     if not exprs:
         return out
     keys = ["source_file", "source_sheet"]
-    out = out.join(out.groupBy(*keys).agg(*exprs), on=keys, how="left")
+    # exactly one fact row per (file, sheet): a proven bound, so broadcast it
+    # (a shuffle join on a key every row of the sheet shares would put the
+    # whole sheet in one task)
+    out = out.join(F.broadcast(out.groupBy(*keys).agg(*exprs)), on=keys, how="left")
     empty_activity = ~F.coalesce(F.col("__has_activity"), F.lit(False)) if "__has_activity" in out.columns else None
     if layout.activity_if_crop and has_crop_header:
         out = out.withColumn("actividad", F.when(empty_activity, F.lit(layout.activity_if_crop)).otherwise(F.col("actividad")))
