@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,10 +64,11 @@ def drop_dominant(df: DataFrame, group: str, measure: str) -> DataFrame:
     return df.join(top, on=group, how="left_anti")
 
 
-def share(c: str, name: str = "share") -> Column:
-    """Value / total over the whole frame (window with no partition --
-    only for small, already aggregated frames)."""
-    return (F.col(c) / F.sum(c).over(Window.partitionBy())).alias(name)
+def share(df: DataFrame, c: str, name: str = "share") -> DataFrame:
+    """Value / total of the whole frame.  The total is a scalar subquery
+    (a distributed, partially aggregated sum), so no single-partition window
+    and no join is needed."""
+    return df.withColumn(name, F.col(c) / df.select(F.sum(c)).scalar())
 
 
 def with_row_id(df: DataFrame, *ordinals: str, name: str = "row_id") -> DataFrame:
