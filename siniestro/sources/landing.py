@@ -164,5 +164,7 @@ def snapshot_tables(source: Mapping[str, DataFrame], dest_path: str, tables: Seq
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Export a (limited) listing as a single CSV file."""
+    """Export a listing as one CSV file.  Meant for the bounded,
+    ``LIMIT``-ed listings of the reports (at most a few thousand rows): a
+    single file means a single writing task."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
