@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import standins
-from ..session import materialize_all
+from ..session import materialize, materialize_all
 from ..functions.dates import year_start
 from ..functions.misc import stable_id
 from ..functions.text import normalize_key
@@ -62,6 +62,7 @@ def resolve(name: str, mode: str = MODE_CURRENT) -> str:
 
 
 _STAGED: dict[tuple[str, str], Curated] = {}
+_STAGED_RAW: dict[tuple[str, str], DataFrame] = {}
 
 
 class Catalog:
@@ -99,9 +100,17 @@ class Catalog:
     # -- historical pipeline --------------------------------------------------
     @cached_property
     def raw_clean(self) -> DataFrame:
-        """Harmonised historical rows: registry mapping + quality flags."""
+        """Harmonised historical rows: registry mapping + quality flags.  With
+        ``staged=True`` written once per session and data folder to the shared
+        checkpoint folder (the source system keeps it as a file too)."""
         raw = self.physical("raw_rows")
-        return add_quality_flags(apply_event_mapping(raw, self.physical("registro_eventos")))
+        df = add_quality_flags(apply_event_mapping(raw, self.physical("registro_eventos")))
+        if not self.staged:
+            return df
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STAGED_RAW:
+            _STAGED_RAW[key] = materialize(df, "raw-clean")
+        return _STAGED_RAW[key]
 
     @cached_property
     def curated(self) -> Curated:
