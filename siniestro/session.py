@@ -8,6 +8,7 @@ bench and command-line jobs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -51,18 +52,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
-    On a cluster this is whatever the deployment names in
-    ``spark.checkpoint.dir`` (a shared filesystem).  Only when nothing is
-    configured (tests, laptop runs) do we pick a scratch folder ourselves.
+    This is whatever the deployment names in ``spark.checkpoint.dir`` (a
+    shared filesystem) or gave to ``setCheckpointDir``.  A scratch folder of
+    our own is taken only where neither is set and driver and executors are
+    one process; a cluster without a shared folder is an error, since each
+    executor would write to its own disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="siniestro-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 

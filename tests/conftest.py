@@ -14,7 +14,7 @@ def spark():
     from siniestro.session import get_spark
     s = get_spark("local[4]", 4, app_name="siniestro-tests")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="siniestro-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siniestro-test-ckpt-"))
     yield s
 
 
