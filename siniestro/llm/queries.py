@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siniestro.llm import substring_dedup
+from siniestro.llm import decontamination, language_id, line_dedup, pieces, simhash, substring_dedup
 
-MODULES = (substring_dedup,)
+MODULES = (line_dedup, substring_dedup, pieces, simhash, language_id, decontamination)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

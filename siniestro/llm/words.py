@@ -8,6 +8,7 @@ made per word.  Hashes are polynomials modulo 2**64 over prefix sums
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,11 @@ import pyarrow as pa
 CHUNK_BYTES = 2 << 20
 """Documents are taken together up to this many bytes; a longer one stands alone."""
 
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+"""For ``bytes.translate``: A-Z lower-cased."""
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_BLOCK = 1 << 20
 _WORD_BASE = 0x9E3779B97F4A7C13  # odd, = 3 modulo 8
 _GRAM_BASE = 0xC2B2AE3D27D4EB4B
 
@@ -187,3 +193,19 @@ def inside(words: Words, k: int) -> np.ndarray:
 def i64(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as a signed number, for a Spark long."""
     return np.ascontiguousarray(x).view(np.int64)
+
+
+def word_blocks(raw: bytes, overlap: int = 0) -> Iterator[list[bytes]]:
+    """Words between blanks in runs of about a megabyte; each run starts with the last ``overlap`` words before it."""
+    held: list[bytes] = []
+    at, given = 0, False
+    while at < len(raw):
+        cut = _BLANK.search(raw, at + _BLOCK)
+        to = cut.start() if cut else len(raw)
+        held = held + raw[at:to].split()
+        at = to
+        if len(held) > overlap:
+            yield held
+            held, given = held[len(held) - overlap:], True
+    if held and not given:
+        yield held
