@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siniestro.llm.columns import doc_key
 from siniestro.llm.words import (
     LOWER, Chunk, Rolling, Words, chunks, find_words, fold_ascii, hash_words, inside, separators)
 
@@ -199,9 +200,8 @@ def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMEN
 
 def remove(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """The documents that contain no item; all columns stay."""
-    null = F.lit(-(2 ** 63))
-    bad = contained(docs, items, containment).select(F.coalesce("doc_id", null).alias("_id")).distinct()
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), null)) \
+    bad = contained(docs, items, containment).select(doc_key().alias("_id")).distinct()
+    return docs.withColumn("_id", doc_key()) \
         .join(bad, "_id", "left_anti").select(*docs.columns)
 
 

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siniestro.llm.columns import fold_of
 from siniestro.llm.words import Chunk, chunks
 
 BUCKETS = 1 << 14
@@ -52,11 +53,6 @@ _FOLD[_LETTER] = np.flatnonzero(_LETTER)
 _FOLD[65:91] += 32
 
 
-def fold_of(column: str, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``."""
-    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
-
-
 def subwords(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all subwords of a chunk and the document each belongs to."""
     b = _FOLD[chunk.buf].astype(np.uint32)

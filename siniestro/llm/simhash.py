@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siniestro.llm.columns import NULL_ID, doc_key
 from siniestro.llm.components import components
 from siniestro.llm.words import LOWER, word_blocks
 from siniestro.session import materialize
@@ -43,7 +44,6 @@ SHINGLE = 3
 MAX_BITS = 2
 LIGHT = 32
 SEED = 42
-NULL_ID = -(2 ** 63)
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The SimHash of one text as an unsigned 64-bit number."""
@@ -62,10 +62,6 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0]) if n else 0
 
 
-def doc_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-
-
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(id, fp): one row per row of ``docs``; null ids are the smallest long."""
 

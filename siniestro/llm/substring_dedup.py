@@ -38,23 +38,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siniestro.llm.columns import doc_key
 from siniestro.llm.words import Rolling, chunks, find_words, hash_words, i64, inside, separators
 from siniestro.session import materialize
 
 WINDOW = 20
 GRAM = 8
-NULL_ID = -(2 ** 63)
 
 _SPACE = separators("space")
 _ANCHORS = "gram long, ctx long, id long, at long, lo int, hi int, repeated boolean"
 _EDGES = "h1 long, h2 long, id long, at long, repeated boolean"
 
 
-def doc_key(name: str = "doc_id") -> Column:
-    """The id with null as the smallest value."""
-    return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
-
-
 def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """For each start i: the place of the leftmost smallest of values[i:i+width]."""
     at = np.arange(len(values))
