@@ -29,37 +29,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siniestro.llm.columns import doc_key, lower_ascii, text_or_empty, text_version
 from siniestro.session import materialize
 
 MIN_CHARS = 10
 SLICES = 64
 BLANKS = " \t\n\x0b\x0c\r"
-NULL_ID = -(2 ** 63)
 
 
-def doc_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-
-
-def lower_ascii(text: Column) -> Column:
-    """A-Z lower-cased, nothing else (``lower`` is that for text in ASCII)."""
-    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
-        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-
-
-def lines_of(text: Column) -> Column:
-    return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
-
-
-def text_version(text: Column) -> Column:
-    """Tells rows of one ``doc_id`` with different texts apart."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+def lines_of() -> Column:
+    return F.split(text_or_empty(), "\n", -1)
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, id, version, pos): every line whose key is long enough to count."""
-    lines = docs.select(doc_key().alias("id"), text_version(F.col("text")).alias("version"),
-                        F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+    lines = docs.select(doc_key().alias("id"), text_version().alias("version"),
+                        F.posexplode(lines_of()).alias("pos", "line"))
     key = F.btrim("line", F.lit(BLANKS))
     return (lines.select("id", "version", "pos", key.alias("line")).filter(F.length("line") >= min_chars)
             .select(F.unhex(F.md5(lower_ascii(F.col("line")))).alias("h"), "id", "version", "pos"))
@@ -98,15 +83,17 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, slices: int = SLICES
     A document that loses nothing keeps its text (null too).
     """
     keys = materialize(line_keys(docs, min_chars), "line-keys")
-    masks = keep_bitmaps(keys, first_holders(keys, slices)).select(
+    # written, so that both sides of the next join are plain shuffles, which AQE can split at a hot hash
+    holders = materialize(first_holders(keys, slices), "line-holders")
+    masks = keep_bitmaps(keys, holders).select(
         F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("dense").alias("_dense"),
         F.col("n_dropped").alias("_dropped"))
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*keep, doc_key().alias("_id"), text_version(F.col("text")).alias("_version")) \
+    joined = docs.select(*keep, doc_key().alias("_id"), text_version().alias("_version")) \
         .join(masks, ["_id", "_version"], "left")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    text = text_or_empty()
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    left = F.filter(lines_of(F.col("text")), lambda line, i: (
+    left = F.filter(lines_of(), lambda line, i: (
         F.getbit(F.coalesce(F.get(F.col("_dense"), F.floor(i / 64).cast("int")), F.lit(0).cast("long")),
                  F.pmod(i, F.lit(64))) == 0))
     out = [F.when(F.col("_dense").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
