@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from siniestro.llm import decontamination, language_id, line_dedup, pieces, simhash, substring_dedup
+from siniestro.llm import (
+    class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, pieces, sharding, simhash, substring_dedup)
 
-MODULES = (line_dedup, substring_dedup, pieces, simhash, language_id, decontamination)
+MODULES = (metric_tree, line_dedup, substring_dedup, license_scan, pieces, simhash, sharding, language_id, decontamination, class_lm)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
