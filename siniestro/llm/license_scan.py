@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siniestro.llm.columns import doc_key, lower_ascii, text_or_empty, text_version
+from siniestro.session import materialize
 
 # The base phrases and their labels, as the contract has them.
 BASE = {
@@ -126,7 +127,8 @@ def spans(votes: DataFrame, coverage: float = COVERAGE, shift: int = SHIFT) -> D
 
 def scan(docs: DataFrame, coverage: float = COVERAGE, shift: int = SHIFT) -> DataFrame:
     """Per row of ``docs``: words, base places and their ends, labels and score."""
-    found = spans(diagonals(matches(docs)), coverage, shift)
+    # the few votes are written once: base places and passages both read them
+    found = spans(materialize(diagonals(matches(docs)), "license-votes"), coverage, shift)
     labels = lambda c: F.array_join(F.sort_array(c), ",")
     base = F.when(F.col("base"), F.col("first"))
     per = found.groupBy("id", "version").agg(
