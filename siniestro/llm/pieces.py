@@ -12,8 +12,10 @@ worst piece and is written as its UTF-8 byte pieces.
 No piece of a SentencePiece vocabulary has a space mark behind another
 character, so no piece reaches over the start of a run of spaces, and the best
 path of a text is that of its stretches between them, one behind the other.
-The stretches are solved one by one and kept in a bounded memo per worker.  A
-vocabulary with such a piece is run over whole texts instead.
+The same holds in front of a run of punctuation, for the characters that no
+piece has behind a letter or digit (found from the pieces).  The stretches are
+solved one by one and kept in a bounded memo per worker.  A vocabulary with a
+space mark inside a piece is run over whole texts instead.
 
 The driver reads the model and broadcasts it: its size is that of the
 vocabulary and doesn't depend on the documents.
@@ -27,9 +29,11 @@ to nothing; extra columns stay (a column named like a new one is replaced).
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +43,10 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 PENALTY = 10.0
-MEMO = 300_000
+MEMO = 200_000
 MEMO_CHARS = 64
+TOGETHER = 4 << 20
+"""Bytes of text whose stretches are solved together (a longer text alone)."""
 
 
 class Automaton:
@@ -81,9 +87,22 @@ class Vocabulary:
     def __init__(self, pieces: list[tuple[str, float, int]], byte_ids: list[int], size: int) -> None:
         self.pieces, self.byte_ids, self.size = pieces, byte_ids, size
         self.unknown = min((s for _, s, _ in pieces), default=0.0) - PENALTY
-        crossing = any(MARK in p.lstrip(MARK) for p, _, _ in pieces)
-        newline = any("\n" in p and p != "\n" for p, _, _ in pieces)
-        self.stretch = None if crossing else r" *[^ ]+| +" if newline else r" *[^ \n]+| +|\n"
+        self.stretch = self._stretches()
+
+    def _stretches(self) -> str | None:
+        """A pattern of the stretches that no piece reaches out of; None if there are no such stretches."""
+        pairs = {pair for p, _, _ in self.pieces for pair in zip(p, p[1:], strict=False)}
+        if any(b == MARK != a for a, b in pairs):
+            return None
+        apart = {chr(c) for c in range(33, 127)} - {c for c in map(chr, range(128)) if c.isalnum()}
+        if not any("\n" in pair for pair in pairs):
+            apart.add("\n")
+        while bad := {b for a, b in pairs if b in apart and a != MARK and a not in apart}:
+            apart -= bad
+        if not apart:
+            return r" *[^ ]+| +"
+        cls = "".join(map(re.escape, sorted(apart)))
+        return rf" *(?:[^ {cls}]+|[{cls}]+[^ {cls}]*)| +"
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "memo", "spelled", "cut")}
@@ -98,7 +117,7 @@ class Vocabulary:
 
     @cached_property
     def memo(self) -> _Memo:
-        return _Memo(self)
+        return _Memo()
 
     @cached_property
     def spelled(self) -> list[bytes]:
@@ -110,56 +129,81 @@ class Vocabulary:
             out[number] = bytes([byte])
         return out
 
-    def best(self, stretch: str) -> list[int]:
-        """Ids of the best path over one stretch (spaces not yet marked)."""
+    def best(self, stretches: list[str]) -> Iterator[list[int]]:
+        """Ids of the best path of every stretch (spaces not yet marked).
+
+        Scores up to a position depend on nothing behind it, so a stretch
+        goes on from where it parts from the one before: sorted stretches
+        share most of their way.
+        """
         a = self.automaton
         moves, fail, outputs, unknown = a.moves, a.fail, a.outputs, self.unknown
-        score = [0.0]
-        step: list[tuple[int, int]] = [(0, 0)]  # length and id of the last piece
-        state = 0
-        for i, ch in enumerate(stretch, 1):
-            if ch == " ":
-                ch = MARK
-            elif ch == MARK:
-                ch = ""
-            to = moves[state].get(ch)
-            while to is None and state:
-                state = fail[state]
+        score, step, states = [0.0], [(0, 0)], [0]  # step: length and id of the last piece
+        last = ""
+        for stretch in stretches:
+            same = 0
+            for x, y in zip(last, stretch, strict=False):
+                if x != y:
+                    break
+                same += 1
+            last = stretch
+            del score[same + 1:], step[same + 1:], states[same + 1:]
+            state = states[same]
+            for i in range(same, len(stretch)):
+                ch = stretch[i]
+                if ch == " ":
+                    ch = MARK
+                elif ch == MARK:
+                    ch = ""
                 to = moves[state].get(ch)
-            state = to or 0
-            top, how = -1e300, (1, -1)
-            covered = False
-            for length, own, number in outputs[state]:
-                value = score[i - length] + own
-                if value > top:
-                    top, how = value, (length, number)
-                covered = covered or length == 1
-            if not covered:
-                value = score[i - 1] + unknown
-                if value > top:
-                    top, how = value, (1, -1)
-            score.append(top)
-            step.append(how)
-        ids: list[int] = []
-        i = len(stretch)
-        while i:
-            length, number = step[i]
-            i -= length
-            if number >= 0:
-                ids.append(number)
-            else:
-                ids.extend(self.byte_ids[b] for b in reversed(stretch[i].encode()))
-        return ids[::-1]
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as packed 32-bit numbers."""
-        if not text:
-            return b""
+                while to is None and state:
+                    state = fail[state]
+                    to = moves[state].get(ch)
+                state = to or 0
+                top, how, length = -1e300, (1, -1), 0
+                for length, own, number in outputs[state]:
+                    value = score[i + 1 - length] + own
+                    if value > top:
+                        top, how = value, (length, number)
+                if length != 1 and score[i] + unknown > top:  # outputs end with the shortest
+                    top, how = score[i] + unknown, (1, -1)
+                score.append(top)
+                step.append(how)
+                states.append(state)
+            ids: list[int] = []
+            i = len(stretch)
+            while i:
+                length, number = step[i]
+                i -= length
+                if number >= 0:
+                    ids.append(number)
+                else:
+                    ids.extend(self.byte_ids[b] for b in reversed(stretch[i].encode()))
+            yield ids[::-1]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text as packed 32-bit numbers."""
         if self.cut is None:
-            return _pack(self.best(" " + text))
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        return b"".join(map(self.memo.__getitem__, self.cut.findall(" " + text)))
+            return [_pack(ids) for text in texts for ids in self.best([" " + text] if text else [""])]
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.turn()
+        parts = [self.cut.findall(" " + text) if text else [] for text in texts]
+        unknown = []
+        for stretch in set(chain.from_iterable(parts)).difference(memo):
+            packed = memo.before.get(stretch)
+            if packed is None:
+                unknown.append(stretch)
+            else:
+                memo[stretch] = packed
+        unknown.sort()
+        for stretch, ids in zip(unknown, self.best(unknown), strict=True):
+            memo[stretch] = _pack(ids)
+        out = [b"".join(map(memo.__getitem__, part)) for part in parts]
+        for stretch in unknown:
+            if len(stretch) > MEMO_CHARS:
+                del memo[stretch]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         ids = ids[(ids >= 0) & (ids < self.size)]
@@ -168,19 +212,19 @@ class Vocabulary:
 
 
 def _pack(ids: list[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+    return array("i", ids).tobytes()
 
 
 class _Memo(dict):
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    """Packed ids by stretch; what was asked for since the last turn, and what was there before it."""
+
+    def __init__(self) -> None:
         super().__init__()
-        self.vocabulary = vocabulary
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, stretch: str) -> bytes:
-        packed = _pack(self.vocabulary.best(stretch))
-        if len(stretch) <= MEMO_CHARS:
-            self[stretch] = packed
-        return packed
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -198,24 +242,37 @@ def load(path: str = MODEL) -> Vocabulary:
                       byte_ids, size)
 
 
-def _mapped(frame: DataFrame, vocabulary: Vocabulary, source: str, kind: str, name: str, type_: str, make) -> DataFrame:
-    """``frame`` with column ``name`` made from ``source`` batch by batch."""
-    kept = [c for c in frame.columns if c != name]
+def _mapped(frame: DataFrame, vocabulary: Vocabulary, source: str, kind: str, made: dict[str, str], make) -> DataFrame:
+    """``frame`` with the columns ``made`` (name: type) from ``source`` batch by batch."""
+    kept = [c for c in frame.columns if c not in made]
     given = frame.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), F.col(source).cast(kind).alias("_in"))
-    schema = given.drop("_in").withColumn("_out", F.lit(None).cast(type_)).schema
+    outs = [f"_out{i}" for i in range(len(made))]
+    schema = given.drop("_in").select(
+        "*", *(F.lit(None).cast(t).alias(o) for o, t in zip(outs, made.values(), strict=True))).schema
     shared = frame.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = make(shared.value, batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*batch.schema.names[:-1], "_out"])
+            new = make(shared.value, batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *outs])
 
     return given.mapInArrow(work, schema).select(
-        *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("_out").alias(name))
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
+        *(F.col(o).alias(name) for o, name in zip(outs, made, strict=True)))
 
 
 def _encode_batch(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
-    packed = [vocabulary.encode(t.as_py()) if t.is_valid else None for t in texts]
+    packed: list[bytes | None] = [None] * len(texts)
+    some: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if text.is_valid:
+            some.append(i)
+            size += len(text.as_buffer())
+        if some and (size > TOGETHER or i + 1 == len(texts)):
+            for k, ids in zip(some, vocabulary.encode([texts[k].as_py() for k in some]), strict=True):
+                packed[k] = ids
+            some, size = [], 0
     offsets = np.zeros(len(packed) + 1, np.int32)
     np.cumsum([len(p or b"") // 4 for p in packed], out=offsets[1:])
     values = pa.array(np.frombuffer(b"".join(p for p in packed if p), np.int32))
@@ -233,18 +290,28 @@ def _decode_batch(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the piece ids of column ``text``."""
-    return _mapped(docs, vocabulary, text, "string", ids, "array<int>", _encode_batch)
+    return _mapped(docs, vocabulary, text, "string", {ids: "array<int>"}, lambda v, x: [_encode_batch(v, x)])
 
 
 def decode(frame: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``frame`` with the text that column ``ids`` spells."""
-    return _mapped(frame, vocabulary, ids, "array<int>", text, "string", _decode_batch)
+    return _mapped(frame, vocabulary, ids, "array<int>", {text: "string"}, lambda v, x: [_decode_batch(v, x)])
+
+
+def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "token_ids",
+                      decoded: str = "decoded") -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one pass over the rows."""
+    def both(v: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+        coded = _encode_batch(v, texts)
+        return [coded, _decode_batch(v, coded)]
+
+    return _mapped(docs, vocabulary, text, "string", {ids: "array<int>", decoded: "string"}, both)
 
 
 def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """(doc_id, token_ids, n_tokens, decoded_sha256): texts encoded, and the ids decoded again."""
     vocabulary = load(model)
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    both = encode_and_decode(docs.select("doc_id", "text"), vocabulary)
     return both.select("doc_id", "token_ids", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

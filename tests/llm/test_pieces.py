@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from common import SF, collected, docs_of, odd_rows, texts
 from pyspark.sql import functions as F
 
@@ -47,13 +49,11 @@ def test_matches_brute_force_and_round_trips(spark):
 
 
 def test_strange_texts():
-    import numpy as np
-
     rng = random.Random(1)
     alphabet = ["a", "the", " ", "  ", "\n", "é", "▁", "\x00", "日本", "🙂", "zq", "\t", "ing"]
     for _ in range(200):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 14)))
-        ids = np.frombuffer(VOCABULARY.encode(text), np.int32)
+        ids = np.frombuffer(VOCABULARY.encode([text])[0], np.int32)
         assert ids.tolist() == brute(text)
         assert VOCABULARY.decode(ids) == text
     assert VOCABULARY.decode(np.array([-5, 10**6, 1, 2])) == ""
@@ -61,7 +61,15 @@ def test_strange_texts():
 
 def test_vocabulary_with_marks_inside():
     v = Vocabulary([("▁a", -1.0, 256), ("b", -1.5, 257), ("▁a▁b", -1.2, 258)], list(range(256)), 259)
-    assert v.stretch is None and v.best(" a b") == [258]
+    assert v.stretch is None and list(v.best([" a b", " a bb"])) == [[258], [258, 257]]
+    assert np.frombuffer(v.encode(["a b"])[0], np.int32).tolist() == [258]
+
+
+def test_punctuation_that_pieces_join():
+    pieces = [("▁a", -1.0, 256), ("b", -1.0, 257), ("a.b", -0.5, 258), (",", -1.0, 259), ("a", -2.0, 260), (".", -1.0, 261)]
+    v = Vocabulary(pieces, list(range(256)), 262)
+    assert "\\." not in v.stretch and "," in v.stretch
+    assert np.frombuffer(v.encode(["xa.b,b"])[0], np.int32).tolist()[-3:] == [258, 259, 257]
 
 
 def test_odd_rows_and_columns(spark):
