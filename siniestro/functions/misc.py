@@ -31,8 +31,16 @@ def ensure_columns(df: DataFrame, columns: Mapping[str, str] | Iterable[str]) ->
 
 
 def stable_id(*cols: Column | str) -> Column:
-    """Deterministic surrogate id from natural keys (nulls skipped)."""
-    return F.sha2(F.concat_ws("||", *[_col(c).cast("string") for c in cols]), 256)
+    """Deterministic surrogate id from natural keys.
+
+    Every part is written with its length, a null part as ``~``: (a, null) and
+    (null, a) have different ids.
+    """
+    def part(c: Column | str) -> Column:
+        text = _col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+    return F.sha2(F.concat_ws("||", *[part(c) for c in cols]), 256)
 
 
 def coalesce_event(mapped_event: Column | str, raw_event: Column | str, period: Column | str) -> Column:

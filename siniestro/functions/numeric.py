@@ -24,8 +24,14 @@ ACTIVITY_DEFAULT_RGB = (158, 158, 158)
 # -----------------------------------------------------------------------------
 
 
+# Spellings that Java reads as numbers and the source system does not: a type
+# suffix (27d, 1.5F) and hexadecimal digits (0x1p3).
+JAVA_ONLY_NUMBER = r"[0-9.][dDfF]\s*$|[xX]"
+
+
 def try_double(c: Column | str) -> Column:
-    return _col(c).cast("string").try_cast("double")
+    text = _col(c).cast("string")
+    return F.when(~text.rlike(JAVA_ONLY_NUMBER), text.try_cast("double"))
 
 
 def to_number(c: Column | str) -> Column:

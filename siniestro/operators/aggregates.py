@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
@@ -93,26 +93,56 @@ def null_counts(df: DataFrame, name_col: str = "columna", value_col: str = "cant
     return wide.selectExpr(f"stack({len(df.columns)}, {args}) AS ({name_col}, {value_col})")
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """One row per column: ``variable`` and the exact linear quantiles ``q0``,
+    ``q1``, ...; no task sees a whole column.
+
+    Rows are first counted per distinct value (combined map-side).  A monotone
+    function of the value deals them to buckets; running counts inside a
+    bucket plus the totals of the buckets below give every value's ranks, and
+    the values at the wanted ranks are picked by an aggregate.
+    """
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    values = (df.selectExpr(f"stack({len(cols)}, {pairs}) AS (variable, valor)").filter("valor IS NOT NULL")
+              .groupBy("variable", "valor").agg(F.count(F.lit(1)).alias("n")))
+    v = F.col("valor")
+    values = values.withColumn("bucket", F.when(F.isnan(v), F.lit(1 << 30)).otherwise(
+        (F.signum(v) * F.floor(F.log1p(F.abs(v)) * 64)).cast("int")))
+    below = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (values.groupBy("variable", "bucket").agg(F.sum("n").alias("total"))
+               .select(F.col("variable").alias("v2"), F.col("bucket").alias("b2"),
+                       F.coalesce(F.sum("total").over(below), F.lit(0)).alias("start"),
+                       F.sum("total").over(Window.partitionBy("variable")).alias("rows")))
+    inside = Window.partitionBy("variable", "bucket").orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (values.withColumn("upto", F.sum("n").over(inside))
+              .join(buckets, (F.col("variable") == F.col("v2")) & (F.col("bucket") == F.col("b2")))
+              .withColumn("last", F.col("start") + F.col("upto") - 1).withColumn("first", F.col("last") - F.col("n") + 1))
+    picks = []
+    for i, share in enumerate(shares):
+        place = (F.col("rows") - 1) * F.lit(float(share))
+        for name, at in ((f"lo{i}", F.floor(place)), (f"hi{i}", F.ceil(place))):
+            picks.append(F.max(F.when((F.col("first") <= at) & (at <= F.col("last")), F.col("valor"))).alias(name))
+        picks.append(F.max(place - F.floor(place)).alias(f"w{i}"))
+    out = ranked.groupBy("variable").agg(*picks)
+    return out.select("variable", *[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
+                                    for i in range(len(shares))])
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """pandas ``describe()``: count, mean, sample std, min, linear
-    quartiles (exact ``percentile``), max -- one aggregate for all columns."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
-                 F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = []
-    for k, stat in enumerate(DESCRIBE_STATS):
-        vals = []
-        for i, c in enumerate(cols):
-            src = {"count": f"c{i}", "mean": f"m{i}", "std": f"s{i}", "min": f"lo{i}",
-                   "25%": f"q{i}[0]", "50%": f"q{i}[1]", "75%": f"q{i}[2]", "max": f"hi{i}"}[stat]
-            vals.append(f"{src}")
-        rows.append(f"'{stat}', {k}, " + ", ".join(vals))
-    names = ", ".join(["estadistica", "orden"] + list(cols))
-    return wide.selectExpr(f"stack({len(DESCRIBE_STATS)}, {', '.join(rows)}) AS ({names})")
+    quartiles (exact), max."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    x = F.col("valor")
+    basic = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (variable, valor)").groupBy("variable").agg(
+        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    both = basic.join(exact_quantiles(df, cols, (0.25, 0.5, 0.75)), "variable", "left")
+    stats = dict(zip(DESCRIBE_STATS, ["count", "mean", "std", "min", "q0", "q1", "q2", "max"], strict=True))
+    spelled = ", ".join(f"'{name}', {k}, {source}" for k, (name, source) in enumerate(stats.items()))
+    # at most eight rows per column from here on
+    long = both.selectExpr("variable", f"stack({len(stats)}, {spelled}) AS (estadistica, orden, valor)")
+    return long.groupBy("estadistica", "orden").agg(
+        *[F.max(F.when(F.col("variable") == c, F.col("valor"))).alias(c) for c in cols])
 
 
 def py_number_text(c: Column | str) -> Column:
@@ -132,19 +162,26 @@ def joined_distinct(c: Column | str, numeric: bool = False, sep: str = " | ") ->
 
 
 def profile(df: DataFrame, table: str | None = None) -> DataFrame:
-    """One pass: rows, distinct events and files, year range,
-    critical rows, null events -- only for the columns the table has."""
+    """Rows, distinct events and files, year range, critical rows,
+    null events -- only for the columns the table has.  The table is grouped
+    once by event and file (combined map-side); the distinct counts then read
+    those few groups, not every row once per count."""
     cols = set(df.columns)
-    aggs = [F.count(F.lit(1)).alias("filas")]
+    keys = [c for c in ("evento_id", "source_file") if c in cols]
+    parts = [F.count(F.lit(1)).alias("filas")]
+    folds = [F.coalesce(F.sum("filas"), F.lit(0)).alias("filas")]
     if "evento_id" in cols:
-        aggs += [F.countDistinct("evento_id").alias("eventos"), F.count_if(F.col("evento_id").isNull()).alias("evento_id_nulos")]
+        folds += [F.countDistinct("evento_id").alias("eventos"),
+                  F.coalesce(F.sum(F.when(F.col("evento_id").isNull(), F.col("filas"))), F.lit(0)).alias("evento_id_nulos")]
     if "source_file" in cols:
-        aggs.append(F.countDistinct("source_file").alias("source_files"))
+        folds.append(F.countDistinct("source_file").alias("source_files"))
     if "anio" in cols:
-        aggs += [F.min("anio").alias("anio_min"), F.max("anio").alias("anio_max")]
+        parts += [F.min("anio").alias("anio_min"), F.max("anio").alias("anio_max")]
+        folds += [F.min("anio_min").alias("anio_min"), F.max("anio_max").alias("anio_max")]
     if "severidad_maxima" in cols:
-        aggs.append(F.count_if(F.lower(F.coalesce(F.col("severidad_maxima"), F.lit(""))) == "critico").alias("criticos"))
-    out = df.agg(*aggs)
+        parts.append(F.count_if(F.lower(F.coalesce(F.col("severidad_maxima"), F.lit(""))) == "critico").alias("criticos"))
+        folds.append(F.coalesce(F.sum("criticos"), F.lit(0)).alias("criticos"))
+    out = df.groupBy(*keys).agg(*parts).agg(*folds)
     return out.select(F.lit(table).alias("tabla"), "*") if table else out
 
 

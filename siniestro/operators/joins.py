@@ -2,8 +2,7 @@
 
 Join strategy is left to Catalyst + AQE: small lookup tables are broadcast
 from runtime statistics (``spark.sql.autoBroadcastJoinThreshold``), big
-sides stay sort-merge joins, and AQE splits skewed partitions.  The one
-explicit ``broadcast`` is for registries, behind a row-count check.
+sides stay sort-merge joins, and AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -16,37 +15,25 @@ from pyspark.sql import functions as F
 
 from .filters import CURRENT, HISTORIC
 
-# A registry row describes one source file; anything larger than this is not
-# a registry and is joined without a broadcast hint.
-REGISTRY_BROADCAST_MAX_ROWS = 100_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = REGISTRY_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the side really is small."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def check_registry(registry: DataFrame, on: str, max_rows: int = REGISTRY_BROADCAST_MAX_ROWS) -> bool:
-    """One small job: the registry has one row per ``on`` value (raises
-    otherwise) and its size; returns whether it may be broadcast."""
-    stats = registry.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(on).alias("d")).first()
-    if stats["n"] != stats["d"]:
-        raise ValueError(f"registry has more than one row for some {on}")
-    return stats["n"] <= max_rows
+def check_registry(registry: DataFrame, on: str) -> None:
+    """Raise if some ``on`` value has more than one registry row (a duplicate
+    would multiply rows).  One distributed aggregate over the whole registry."""
+    repeated = registry.groupBy(on).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"registry has {repeated['n']} rows for {on} {repeated[on]!r}")
 
 
 def attach_registry(df: DataFrame, registry: DataFrame, on: str = "source_file",
                     indicator: str | None = "sin_event_mapping", check: bool = True) -> DataFrame:
     """Rows LEFT JOIN registry on the file name, plus an unmatched flag.
 
-    The registry must have one row per file (a duplicate would multiply
-    rows); this and its size are checked on the small side before joining,
-    and only a registry within the size bound is broadcast.
+    The registry must have one row per file, which is checked before
+    joining.  The join strategy is left to statistics and AQE.
     """
-    small = check_registry(registry, on) if check else False
-    reg = registry.withColumn("__matched", F.lit(True))
-    out = df.join(F.broadcast(reg) if small else reg, on=on, how="left")
+    if check:
+        check_registry(registry, on)
+    out = df.join(registry.withColumn("__matched", F.lit(True)), on=on, how="left")
     if indicator:
         out = out.withColumn(indicator, F.col("__matched").isNull())
     return out.drop("__matched")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.misc import ensure_columns
-from ..functions.text import build_period, extract_year
+from ..functions.dates import resolve_year
+from ..functions.text import build_period
 from ..schema import OUTPUT_COLUMNS, OUTPUT_TYPES, SURFACE_COLUMNS
 
 # --- fixed values ------------------------------------------------------------
@@ -112,10 +113,7 @@ def apply_event_mapping(df: DataFrame, registry: DataFrame) -> DataFrame:
     out = attach_registry(df, reg, indicator=None)
     original = F.col("anio")
     event = F.coalesce(F.col("__ev"), F.col("evento_id"))
-    new_year = extract_year(F.coalesce(extract_year(F.col("__y0")).cast("string"),
-                                       extract_year(event).cast("string"),
-                                       extract_year(F.col("source_file")).cast("string"),
-                                       original.cast("string")))
+    new_year = resolve_year("__y0", event, "source_file", "anio")
     out = out.withColumns({
         "evento_id": event,
         "dataset_role": F.coalesce(F.col("__role"), F.col("dataset_role")),
@@ -153,28 +151,30 @@ def unmapped(df: DataFrame) -> DataFrame:
 
 
 # --- fixed values: quality report --------------------------------------------------
-REPORT_PREVIEW_ROWS = 100
+REPORT_PREVIEW_ROWS = 100     # what the source's report shows
 REPORT_DUPLICATE_ROWS = 500
 REPORT_DUPLICATE_KEYS = ["periodo", "productor_nombre", "documento_nro", "cuit_cuil", "departamento", "actividad", "cultivo"]
 # -----------------------------------------------------------------------------------
 
 
-def quality_report(df: DataFrame, order: str = "row_id") -> dict[str, DataFrame]:
+def quality_report(df: DataFrame, order: str = "row_id", preview_rows: int = REPORT_PREVIEW_ROWS,
+                   duplicate_rows: int | None = None) -> dict[str, DataFrame]:
     """K11 (and K12 on the consolidated table): the seven report tables --
     preview, nulls per column, rows per year and per department, duplicate
-    rows on the identity columns (first 500 in ingest order), surface
-    statistics and the error summary.  Each is its own lazy plan; cache the
-    input first when all seven are written together."""
+    rows on the identity columns (all, or the first ``duplicate_rows`` in
+    ingest order), surface statistics and the error summary.  Each is its own
+    lazy plan; cache the input first when all seven are written together."""
     from .aggregates import describe, null_counts, size_by
     from .windows import duplicate_members
     cols = set(df.columns)
     keys = [k for k in REPORT_DUPLICATE_KEYS if k in cols]
+    repeated = duplicate_members(df, keys)
     return {
-        "preview": df.orderBy(order).limit(REPORT_PREVIEW_ROWS),
+        "preview": df.orderBy(order).limit(preview_rows),
         "nulos": null_counts(df.select(*[c for c in OUTPUT_COLUMNS if c in cols])),
         "filas_por_anio": size_by(df, "anio"),
         "filas_por_departamento": size_by(df, "departamento"),
-        "duplicados": duplicate_members(df, keys).orderBy(order).limit(REPORT_DUPLICATE_ROWS),
+        "duplicados": repeated if duplicate_rows is None else repeated.orderBy(order).limit(duplicate_rows),
         "resumen_superficies": describe(df, [c for c in SURFACE_COLUMNS if c in cols]),
         "errores_potenciales": error_summary(df),
     }

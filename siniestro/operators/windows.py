@@ -1,9 +1,9 @@
 """Ranking, dedup, ordering.
 
-Dedup is written as an aggregate, not a window: ``min_by`` over a struct is
-combined map-side, so a key holding a third of all rows still shuffles only
-one candidate per map task (a ``row_number`` window would sort the whole hot
-group in one task).
+Dedup is written as aggregates over fixed-width values, not as a window: they
+are combined map-side, so a key holding a third of all rows shuffles a few
+candidates per map task (a ``row_number`` window would sort the whole hot
+group in one task), and they hash instead of sorting wide rows.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 
 
 def keep_best(df: DataFrame, key: str | Sequence[str], priority: str, order: str) -> DataFrame:
-    """G1: one row per key: highest ``priority``, then lowest ``order``
-    (ingest order).  ``order`` must be unique for a deterministic result."""
+    """G1: one row per key: highest ``priority`` (a null one sorts last), then
+    lowest ``order`` (ingest order).  ``order`` must be unique in ``df``: the
+    winners are picked on key, priority and order alone, and their rows are
+    fetched by it."""
     keys = [key] if isinstance(key, str) else list(key)
-    others = [c for c in df.columns if c not in keys]
-    rank = F.struct(F.negative(F.col(priority).cast("double")).alias("p"), F.col(order).alias("o"))
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), rank).alias("__best"))
-    return best.select(*keys, *[F.col("__best")[c].alias(c) for c in others]).select(*df.columns)
+    p = F.col(priority).cast("double")
+    rank = F.when(p.isNull() | F.isnan(p), F.lit(float("-inf"))).otherwise(p)
+    first = df.groupBy(*keys, rank.alias("__p")).agg(F.min(order).alias("__o"))
+    best = first.groupBy(*keys).agg(F.max_by("__o", "__p").alias("__best")).select("__best")
+    return df.join(best, F.col(order) == F.col("__best"), "left_semi")
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "__n") -> DataFrame:

@@ -64,6 +64,12 @@ def repair_coord(x: str) -> str:
             f"WHEN {fixed} >= -180 AND {fixed} <= 180 THEN {fixed} END)")
 
 
+def stable_id(*cols: str) -> str:
+    parts = ", ".join(f"COALESCE(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '~')"
+                      for c in cols)
+    return f"sha256(concat_ws('||', {parts}))"
+
+
 def damage_red(x: str) -> str:
     return f"CAST(floor(LEAST(GREATEST(COALESCE(TRY_CAST({x} AS DOUBLE), 0.0), 0.0), 100.0) / 100.0 * 255.0) AS INT)"
 
@@ -112,7 +118,7 @@ def hist_ctes() -> str:
     ``principal``, ``detail_all``, ``detail`` (after the stand-in CTEs)."""
     nk = normalize_key
     y = extract_year
-    new_year = y(f"COALESCE(CAST({y('CAST(g.anio_inicio AS VARCHAR)')} AS VARCHAR), CAST({y('g.evento_id')} AS VARCHAR), "
+    new_year = y(f"COALESCE(CAST(g.anio_inicio AS VARCHAR), CAST({y('g.evento_id')} AS VARCHAR), "
                  f"CAST({y('r.source_file')} AS VARCHAR), CAST(r.anio AS VARCHAR))")
     neg = " OR ".join(f"COALESCE({c} < 0, false)" for c in SURFACES)
     aff = "COALESCE(superficie_agricola_afectada, 0.0) + COALESCE(superficie_ganadera_afectada, 0.0)"
@@ -182,10 +188,10 @@ detail AS (
 
 def _ddjj_hist_id() -> str:
     nk = normalize_key
+    who = stable_id('productor_nombre', 'documento_nro', 'departamento', 'actividad', 'cultivo')
     return (f"(CASE WHEN {nk('codigo')} <> '' THEN concat_ws('|', evento_id, 'C', {nk('codigo')}) "
-            f"WHEN {nk('iddj')} <> '' THEN concat_ws('|', evento_id, 'I', {nk('iddj')}) "
-            "ELSE concat_ws('|', evento_id, 'H', sha256(concat_ws('||', productor_nombre, documento_nro, departamento, "
-            "actividad, cultivo))) END)")
+            f"WHEN {nk('iddj')} <> '' THEN concat_ws('|', evento_id, 'I', {nk('iddj')}, {who}) "
+            f"ELSE concat_ws('|', evento_id, 'H', {who}) END)")
 
 
 HERD = [("Vacas", "cantivaca", "mortavaca"), ("Vaquillonas", "cantivaqui", "mortavaqui"),
@@ -208,7 +214,7 @@ vw_hist_resoluciones AS (
 vw_hist_ddjj_personas AS (
   SELECT {_ddjj_hist_id()} AS ddjj_hist_id, make_date(anio, 1, 1) AS fecha,
          COALESCE(porcentaje_afectacion_ganadera, porcentaje_afectacion) AS pondf, evento_id AS id_resolucion,
-         sha256(concat_ws('||', documento_nro, cuit_cuil, productor_nombre)) AS id_productor,
+         {stable_id('documento_nro', 'cuit_cuil', 'productor_nombre')} AS id_productor,
          departamento, 'historico' AS estado, evento_id, source_file, severidad_maxima, dto, anio
   FROM consolidated),
 vw_hist_agricultura AS (

@@ -61,7 +61,17 @@ def resolve(name: str, mode: str = MODE_CURRENT) -> str:
     return mapping.get(name, name)
 
 
-_STAGED: dict[tuple[str, str], Curated] = {}
+_STAGED: list[tuple[DataFrame, DataFrame, Curated]] = []
+"""Consolidations written in this process, with the inputs they were made of."""
+
+
+def staged_for(raw: DataFrame, registry: DataFrame) -> Curated | None:
+    """The tables staged from the same inputs (same plan over the same files)."""
+    for known_raw, known_registry, curated in _STAGED:
+        if (known_raw.sparkSession.sparkContext.applicationId == raw.sparkSession.sparkContext.applicationId
+                and known_raw.sameSemantics(raw) and known_registry.sameSemantics(registry)):
+            return curated
+    return None
 
 
 class Catalog:
@@ -105,16 +115,23 @@ class Catalog:
 
     @cached_property
     def curated(self) -> Curated:
-        """The consolidation.  With ``staged=True`` its tables are written once
-        per session and data folder to the shared checkpoint folder (as the
-        source system stages its curated tables) and every report reads them."""
+        """The consolidation.  With ``staged=True`` its tables are those that
+        :meth:`stage` wrote to the shared checkpoint folder (as the source
+        system stages its curated tables), and every report reads them."""
         if not self.staged:
             return consolidate(self.raw_clean, self.physical("registro_eventos"))
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _STAGED:
-            _STAGED[key] = consolidate(self.raw_clean, self.physical("registro_eventos"),
-                                       stage_many=lambda frames: materialize_all(frames, "curated"))
-        return _STAGED[key]
+        return self.stage()
+
+    def stage(self) -> Curated:
+        """Write the consolidation of this catalog's own inputs, unless it was
+        written from the same inputs before in this process."""
+        raw, registry = self.physical("raw_rows"), self.physical("registro_eventos")
+        curated = staged_for(raw, registry)
+        if curated is None:
+            curated = consolidate(self.raw_clean, registry,
+                                  stage_many=lambda frames: materialize_all(frames, "curated"))
+            _STAGED.append((raw, registry, curated))
+        return curated
 
     @property
     def consolidated(self) -> DataFrame:
@@ -124,7 +141,8 @@ class Catalog:
     def vw_hist_resoluciones(self) -> DataFrame:
         """M1: one resolution per event (*decision*: grouped per event so the
         key is unique; number = smallest decree, date = 1 Jan of the year)."""
-        c = self.consolidated
+        # the few distinct combinations first (hashed); text minima need a sort
+        c = self.consolidated.select("evento_id", "dto", "anio", "evento_nombre").distinct()
         return (c.groupBy("evento_id").agg(F.min("dto").alias("numero_resolucion"), F.min("anio").alias("anio"),
                                            F.min("evento_nombre").alias("nombre_resolucion"))
                  .select(F.col("evento_id").alias("id_resolucion"), "numero_resolucion", "nombre_resolucion",
@@ -132,13 +150,15 @@ class Catalog:
 
     @staticmethod
     def _ddjj_hist_id():
-        """*decision*: event+code, else event+declaration id, else a hash of
-        the producer identity and production."""
+        """*decision*: event+code; a row without a code is known by the
+        identity it is deduplicated on (a hash of producer and production),
+        with the declaration id in front where there is one.  Unique per
+        consolidated row."""
         code, iddj = normalize_key("codigo"), normalize_key("iddj")
+        identity = stable_id("productor_nombre", "documento_nro", "departamento", "actividad", "cultivo")
         return (F.when(code != "", F.concat_ws("|", "evento_id", F.lit("C"), code))
-                 .when(iddj != "", F.concat_ws("|", "evento_id", F.lit("I"), iddj))
-                 .otherwise(F.concat_ws("|", "evento_id", F.lit("H"),
-                                        stable_id("productor_nombre", "documento_nro", "departamento", "actividad", "cultivo"))))
+                 .when(iddj != "", F.concat_ws("|", "evento_id", F.lit("I"), iddj, identity))
+                 .otherwise(F.concat_ws("|", "evento_id", F.lit("H"), identity)))
 
     @staticmethod
     def _productor_hist_id():
@@ -282,10 +302,10 @@ class Catalog:
 
     def vw_all_ganaderia_resumen(self) -> DataFrame:
         """Current branch = cattle table melted to the 7 categories."""
-        b = melt_pairs(self.physical("bovinos"), ["idddjj"], HERD_CATEGORIES, "categoria", "existencias", "mortandad",
+        known = self.physical("bovinos").join(self._decl_context(), F.col("idddjj") == F.col("__id"), "left")
+        b = melt_pairs(known, ["idddjj", "dto", "anio"], HERD_CATEGORIES, "categoria", "existencias", "mortandad",
                        cast="double")
-        cur = (b.join(self._decl_context(), F.col("idddjj") == F.col("__id"), "left")
-                .select(F.concat_ws("-", F.lit("A"), F.col("idddjj").cast("string"), F.col("categoria")).alias("ganaderia_all_id"),
+        cur = (b.select(F.concat_ws("-", F.lit("A"), F.col("idddjj").cast("string"), F.col("categoria")).alias("ganaderia_all_id"),
                         "categoria", F.lit("BOVINOS").alias("especie"), F.lit("GANADERIA").alias("actividad"),
                         F.col("existencias").cast("double").alias("existencias"),
                         F.col("mortandad").cast("double").alias("mortandad"), "dto", "anio"))

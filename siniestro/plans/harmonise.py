@@ -14,7 +14,8 @@ from ..operators.quality import add_quality_flags, apply_event_mapping
 from ..operators.setops import union_all
 from ..schema import OUTPUT_COLUMNS
 from ..session import materialize, materialize_all
-from .layouts import LAYOUTS, HeaderError, Sheet, harmonise_workbook
+from .layouts import (LAYOUTS, HeaderError, Sheet, harmonise_group, harmonise_workbook, is_agricultural,
+                      normalised_names, select_sheets)
 
 # --- fixed values: per-file status ------------------------------------------------
 STATUS_OK = "ok"
@@ -30,12 +31,29 @@ class Harmonised:
     status: DataFrame
 
 
+def _result(spark: SparkSession, frames: list[DataFrame], status: list[tuple], registry: DataFrame | None) -> Harmonised:
+    """The harmonised rows, written once, and the files' status counted on them."""
+    if frames:
+        clean = union_all(frames)
+    else:
+        from ..schema import RAW_CLEAN_SCHEMA
+        clean = spark.createDataFrame([], RAW_CLEAN_SCHEMA).withColumn("row_id", F.lit(None).cast("long"))
+    if registry is not None:
+        clean = add_quality_flags(apply_event_mapping(clean, registry))
+    clean = materialize(clean.select(*OUTPUT_COLUMNS, "row_id"), "harmonised")
+    st = spark.createDataFrame(status, "archivo string, formato string, estado string, error string")
+    counts = clean.groupBy(F.col("source_file").alias("archivo")).agg(F.count(F.lit(1)).alias("filas"))
+    st = (st.join(counts, "archivo", "left")
+            .withColumn("filas", F.when(F.col("estado") == STATUS_OK, F.coalesce("filas", F.lit(0))).otherwise(F.lit(0)))
+            .select("archivo", "formato", "estado", "filas", "error"))
+    return Harmonised(clean, st)
+
+
 def harmonise(spark: SparkSession, sheets: Mapping[str, Sequence[Sheet]], formats: Sequence[tuple[str, str]],
               registry: DataFrame | None = None) -> Harmonised:
-    """B12 + A7: apply each registered file's layout; a file with an unknown
-    layout, no landed sheets or a broken header becomes a status row and
-    never stops the run.  Row counts per file come from one aggregate over
-    the harmonised output."""
+    """B12 + A7 over frames: apply each registered file's layout; a file with
+    an unknown layout, no sheets or a broken header becomes a status row and
+    never stops the run."""
     frames, status = [], []
     for archivo, formato in formats:
         if formato not in LAYOUTS:
@@ -49,27 +67,48 @@ def harmonise(spark: SparkSession, sheets: Mapping[str, Sequence[Sheet]], format
             status.append((archivo, formato, STATUS_OK, None))
         except (HeaderError, FileNotFoundError, KeyError) as exc:
             status.append((archivo, formato, STATUS_ERROR, f"{type(exc).__name__}: {exc}"))
-    if frames:
-        clean = union_all(frames)
-    else:
-        from ..schema import RAW_CLEAN_SCHEMA
-        clean = spark.createDataFrame([], RAW_CLEAN_SCHEMA).withColumn("row_id", F.lit(None).cast("long"))
-    if registry is not None:
-        clean = add_quality_flags(apply_event_mapping(clean, registry))
-    st = spark.createDataFrame(status, "archivo string, formato string, estado string, error string")
-    counts = clean.groupBy(F.col("source_file").alias("archivo")).agg(F.count(F.lit(1)).alias("filas"))
-    st = (st.join(counts, "archivo", "left")
-            .withColumn("filas", F.when(F.col("estado") == STATUS_OK, F.coalesce("filas", F.lit(0))).otherwise(F.lit(0)))
-            .select("archivo", "formato", "estado", "filas", "error"))
-    return Harmonised(clean.select(*OUTPUT_COLUMNS, "row_id"), st)
+    return _result(spark, frames, status, registry)
+
+
+def harmonise_landing(spark: SparkSession, path: str, formats: Sequence[tuple[str, str]],
+                      registry: DataFrame | None = None) -> Harmonised:
+    """B12 + A7 over the landing zone.  Sheets that share layout and header
+    are read by one scan and projected once: the plan grows with the number
+    of different headers, not of files.  Header problems are found on the
+    listing and become status rows."""
+    from ..sources.landing import list_sheets, read_group
+    by_file: dict[str, list] = {}
+    for s in list_sheets(spark, path):
+        by_file.setdefault(s.source_file, []).append(s)
+    groups: dict[tuple, list] = {}
+    status = []
+    for archivo, formato in formats:
+        if formato not in LAYOUTS:
+            status.append((archivo, formato, STATUS_UNKNOWN_LAYOUT, None))
+            continue
+        if archivo not in by_file:
+            status.append((archivo, formato, STATUS_MISSING, archivo))
+            continue
+        try:
+            chosen = select_sheets(LAYOUTS[formato], by_file[archivo])
+            if not chosen:
+                raise FileNotFoundError("no sheet to read")
+            for s in chosen:
+                normalised_names(s.header)
+            for s in chosen:
+                groups.setdefault((formato, s.header, is_agricultural(s.source_sheet)), []).append(s)
+            status.append((archivo, formato, STATUS_OK, None))
+        except (HeaderError, FileNotFoundError) as exc:
+            status.append((archivo, formato, STATUS_ERROR, f"{type(exc).__name__}: {exc}"))
+    frames = [harmonise_group(LAYOUTS[formato], read_group(spark, members))
+              for (formato, _, _), members in groups.items()]
+    return _result(spark, frames, status, registry)
 
 
-def run_pipeline(spark: SparkSession, sheets: Mapping[str, Sequence[Sheet]], formats: Sequence[tuple[str, str]],
+def run_pipeline(spark: SparkSession, landing: str, formats: Sequence[tuple[str, str]],
                  registry: DataFrame) -> tuple[Harmonised, Curated]:
-    """Stages 01-03 as one job: harmonise, write the harmonised table to the
-    shared checkpoint folder (lineage cut, survives executor loss), then
-    consolidate from it with every curated table staged the same way."""
-    h = harmonise(spark, sheets, formats, registry)
-    clean = materialize(h.clean, "raw-clean")
-    curated = consolidate(clean, registry, stage_many=lambda frames: materialize_all(frames, "curated"))
-    return Harmonised(clean, h.status), curated
+    """Stages 01-03 as one job from the landing zone: harmonise (written to
+    the shared checkpoint folder), then consolidate from it with every curated
+    table staged the same way."""
+    h = harmonise_landing(spark, landing, formats, registry)
+    return h, consolidate(h.clean, registry, stage_many=lambda frames: materialize_all(frames, "curated"))

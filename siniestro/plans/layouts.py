@@ -1,5 +1,8 @@
 """Sheet layouts -> the 47-column harmonised table.
 
+Sheets that share layout and header are one group: one frame, one projection,
+however many files they come from.
+
 Each historical spreadsheet layout is a declarative spec: for every target
 column, the header candidates (the first one *present in the sheet header*
 wins -- a plan-time choice, T1), constants, mirrored columns, where year and
@@ -209,22 +212,62 @@ class Sheet:
     sheet_ordinal: int = 0
 
 
+META = ("__row", "__file", "__sheet", "__fidx", "__sidx")
+MAX_FILES, MAX_SHEETS = 1 << 19, 1 << 10
+
+
+@dataclass
+class SheetGroup:
+    """Sheets of one layout with one header: the raw string columns plus
+    ``__file`` and ``__sheet`` (names), ``__fidx`` and ``__sidx`` (ordinals)
+    and ``__row``.  ``agricultural``: what the names say (the side rule)."""
+    frame: DataFrame
+    agricultural: bool = False
+
+
 class HeaderError(ValueError):
     pass
 
 
-def normalise_header(df: DataFrame) -> DataFrame:
-    """C5 on the header; two columns normalising to one name fail the sheet."""
-    raw = [c for c in df.columns if c != "__row"]
+def normalised_names(raw: Sequence[str]) -> list[str]:
+    """C5 on a header; two columns normalising to one name fail the sheet."""
     names = [norm_header(c) for c in raw]
     dupes = sorted({n for n in names if names.count(n) > 1})
     if dupes:
         raise HeaderError(f"duplicate normalised headers: {dupes}")
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw, names)], "__row")
+    return names
 
 
-def file_stem(source_file: str) -> str:
-    return source_file.rsplit(".", 1)[0] if "." in source_file else source_file
+def normalise_header(df: DataFrame) -> DataFrame:
+    """C5 on a frame's header; the meta columns stay."""
+    raw = [c for c in df.columns if c not in META]
+    names = normalised_names(raw)
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw, names)],
+                     *[c for c in META if c in df.columns])
+
+
+def is_agricultural(source_sheet: str) -> bool:
+    return norm_header(source_sheet) in AGRI_SHEET_NAMES
+
+
+def check_ordinals(file_ordinal: int, sheet_ordinal: int) -> None:
+    """Ordinals must fit the row id (file 19 bits, sheet 10, row 34)."""
+    if not (0 <= file_ordinal < MAX_FILES and 0 <= sheet_ordinal < MAX_SHEETS):
+        raise ValueError(f"file {file_ordinal}, sheet {sheet_ordinal}: more than a row id can tell apart")
+
+
+def group_of(sheet: Sheet) -> SheetGroup:
+    """One sheet as a group of its own."""
+    check_ordinals(sheet.file_ordinal, sheet.sheet_ordinal)
+    return SheetGroup(sheet.frame.select(
+        "*", F.lit(sheet.source_file).alias("__file"), F.lit(sheet.source_sheet).alias("__sheet"),
+        F.lit(sheet.file_ordinal).alias("__fidx"), F.lit(sheet.sheet_ordinal).alias("__sidx")),
+        is_agricultural(sheet.source_sheet))
+
+
+def file_stem(source_file: Column) -> Column:
+    """The file's name without its extension."""
+    return F.regexp_replace(source_file, r"\.[^.]*$", "")
 
 
 def select_sheets(layout: Layout, sheets: Sequence[Sheet]) -> list[Sheet]:
@@ -239,9 +282,9 @@ def select_sheets(layout: Layout, sheets: Sequence[Sheet]) -> list[Sheet]:
     return [s for s in ordered if s.source_sheet == layout.sheets]
 
 
-def project_sheet(layout: Layout, sheet: Sheet) -> DataFrame:
-    """One sheet -> the harmonised columns (raw, before cleaning)."""
-    df = normalise_header(sheet.frame)
+def project_group(layout: Layout, group: SheetGroup) -> DataFrame:
+    """A group of sheets -> the harmonised columns (raw, before cleaning)."""
+    df = normalise_header(group.frame)
     header = set(df.columns)
     cols: dict[str, Column] = {t: first_existing(df, cands) for t, cands in layout.fields.items()
                                if any(c in header for c in cands)}
@@ -250,8 +293,8 @@ def project_sheet(layout: Layout, sheet: Sheet) -> DataFrame:
     for t, src in layout.mirrors.items():
         if src in cols:
             cols[t] = cols[src]
-    stem = file_stem(sheet.source_file)
-    file_year, file_decree = extract_year(F.lit(stem)), extract_decree(F.lit(stem))
+    stem = file_stem(F.col("__file"))
+    file_year, file_decree = extract_year(stem), extract_decree(stem)
     if layout.period == "file":
         cols["anio"], cols["dto"] = file_year, file_decree
     elif layout.period in ("decree", "decree_or_file"):
@@ -263,21 +306,18 @@ def project_sheet(layout: Layout, sheet: Sheet) -> DataFrame:
     if layout.period != "fixed":
         cols["periodo"] = build_period(cols["anio"], cols["dto"])
     if layout.activity_from_sheet == "always":
-        cols["actividad"] = F.lit(sheet.source_sheet)
+        cols["actividad"] = F.col("__sheet")
     if layout.side_rule == "sheet_name":
-        side = LIVESTOCK_SIDE if norm_header(sheet.source_sheet) in AGRI_SHEET_NAMES else AGRI_SIDE
-        for t in side:
+        for t in LIVESTOCK_SIDE if group.agricultural else AGRI_SIDE:
             cols.pop(t, None)
     hidden = []
     if layout.side_rule == "presence":
         hidden = [first_existing(df, PRESENCE_AGRI).isNotNull().alias("__pa"),
                   first_existing(df, PRESENCE_LIVESTOCK).isNotNull().alias("__pl")]
-    # ingest order: (file, sheet, row) packed into one long -- files < 2^19,
-    # sheets < 2^10, rows < 2^34 per sheet
-    row_id = (F.lit(sheet.file_ordinal).cast("long") * (1 << 44)
-              + F.lit(sheet.sheet_ordinal).cast("long") * (1 << 34) + F.col("__row"))
+    # ingest order: (file, sheet, row) packed into one long, see check_ordinals
+    row_id = F.col("__fidx").cast("long") * (1 << 44) + F.col("__sidx").cast("long") * (1 << 34) + F.col("__row")
     out = df.select(row_id.alias("row_id"), *[c.cast("string").alias(t) for t, c in cols.items()], *hidden,
-                    F.lit(sheet.source_file).alias("source_file"), F.lit(sheet.source_sheet).alias("source_sheet"))
+                    F.col("__file").alias("source_file"), F.col("__sheet").alias("source_sheet"))
     return apply_sheet_rules(layout, out, has_crop_header="CULTIVO" in header)
 
 
@@ -294,9 +334,9 @@ def apply_sheet_rules(layout: Layout, out: DataFrame, has_crop_header: bool) ->
     if not exprs:
         return out
     keys = ["source_file", "source_sheet"]
-    # exactly one fact row per (file, sheet): a proven bound, so broadcast it
-    # (a shuffle join on a key every row of the sheet shares would put the
-    # whole sheet in one task)
+    # one fact row per (file, sheet), no more rows than the driver's own file
+    # listing: broadcast it (a shuffle join on a key every row of the sheet
+    # shares would put the whole sheet in one task)
     out = out.join(F.broadcast(out.groupBy(*keys).agg(*exprs)), on=keys, how="left")
     empty_activity = ~F.coalesce(F.col("__has_activity"), F.lit(False)) if "__has_activity" in out.columns else None
     if layout.activity_if_crop and has_crop_header:
@@ -362,13 +402,15 @@ def finalize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return out.dropna(how="all", subset=subset)
 
 
+def harmonise_group(layout: Layout, group: SheetGroup) -> DataFrame:
+    projected = project_group(layout, group)
+    return finalize(projected, projected.columns)
+
+
 def harmonise_workbook(layout_name: str, sheets: Sequence[Sheet]) -> DataFrame:
     """B12 for one workbook: its layout over the sheets it reads."""
     layout = LAYOUTS[layout_name]
-    frames = []
-    for s in select_sheets(layout, sheets):
-        projected = project_sheet(layout, s)
-        frames.append(finalize(projected, projected.columns))
+    frames = [harmonise_group(layout, group_of(s)) for s in select_sheets(layout, sheets)]
     if not frames:
         raise FileNotFoundError("no sheet to read")
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -107,8 +107,13 @@ def department_list(cat: Catalog) -> DataFrame:
     return cat.physical("departamentos").select("DepartamentoId", "DepartamentoDesc", "ProvinciaId").orderBy("DepartamentoDesc")
 
 
-def rubro_list(cat: Catalog) -> DataFrame:
-    return cat.physical("rubro_tipos").select("id_rubro", "nombre").orderBy("id_rubro")
+def rubro_list(cat: Catalog, used_only: bool = False) -> DataFrame:
+    """O2: the rubros, or those that some declaration's weights use."""
+    r = cat.physical("rubro_tipos").select("id_rubro", "nombre")
+    if used_only:
+        used = cat.physical("ponderaciones_ddjj").select(F.col("rubro").alias("id_rubro")).distinct()
+        r = r.join(used, "id_rubro", "left_semi")
+    return r.orderBy("id_rubro")
 
 
 # -- O3-O6: home page -------------------------------------------------------------
@@ -155,11 +160,16 @@ def _producer_dims(cat: Catalog) -> list[Dim]:
 
 
 def search_producers(cat: Catalog, q: str | None = None, activities: Sequence[str] = (),
-                     limit: int = DEFAULT_PRODUCER_LIMIT) -> DataFrame:
+                     limit: int | None = DEFAULT_PRODUCER_LIMIT) -> DataFrame:
     """Producer search (name/CUIT/document contains, case-insensitive),
-    activity filter, seven lookups, declaration count (E7), ordered by name."""
+    activity filter, seven lookups, declaration count (E7).  With a ``limit``
+    the first by name; with none every producer, in no order.  The sort keys
+    are the producers' own, so without an activity filter the cut comes first
+    and only its rows meet the lookups and the count."""
     p = cat.physical("productores")
     p = p.filter(search(["ProductorDenominacion", "CUITCUIL", "DocumentoNro"], q))
+    if limit is not None and not activities:
+        p = p.orderBy("ProductorDenominacion", "ProductorId").limit(limit)
     j = lookup(p, _producer_dims(cat))
     if activities:
         j = j.filter(in_list("actividad", activities))
@@ -168,7 +178,7 @@ def search_producers(cat: Catalog, q: str | None = None, activities: Sequence[st
                    F.col("CUITCUIL").alias("cuit"), "tipo_doc", F.col("DocumentoNro").alias("documento"),
                    F.col("Sexo").alias("sexo"), "actividad", "tipo_juridico", "provincia", "departamento",
                    "localidad", "renspa", "ddjj")
-    return out.orderBy("productor", "id").limit(limit)
+    return out if limit is None else out.orderBy("productor", "id").limit(limit)
 
 
 def producer_declarations(cat: Catalog, producer_id) -> DataFrame:
@@ -269,12 +279,16 @@ def _parcel_dims(cat: Catalog) -> list[Dim]:
 
 
 def parcels(cat: Catalog, q: str | None = None, departments: Sequence[str] = (), min_area: float = 0,
-            limit: int = DEFAULT_PARCEL_LIMIT) -> DataFrame:
-    """Parcel listing with five lookups, ordered by surface."""
+            limit: int | None = DEFAULT_PARCEL_LIMIT) -> DataFrame:
+    """Parcel listing with five lookups: the largest ``limit`` ones, or
+    all of them.  Without a text search (which reads the producer) the cut
+    comes before the lookups."""
     a = cat.physical("adremas").filter(non_blank("adrema"))
     if departments:
         a = a.filter(in_list("departamento", departments))
     a = a.filter(at_least("superficie", min_area))
+    if limit is not None and not q:
+        a = top_n(a, "superficie", limit, "adrema", "id_adrema" if "id_adrema" in a.columns else "ddjj")
     j = lookup(a, _parcel_dims(cat) + [
         Dim(cat.physical("ddjj_personas"), "ddjj", "id_ddjj", {"id_productor": "__prod"}),
         Dim(cat.physical("productores"), "__prod", "ProductorId",
@@ -284,7 +298,7 @@ def parcels(cat: Catalog, q: str | None = None, departments: Sequence[str] = (),
         j = j.filter(search(["adrema", "productor"], q))
     out = j.select("adrema", "superficie", F.col("__actividad").alias("actividad"), F.col("__tenencia").alias("tenencia"),
                    "departamento", "nombre_estab", "paraje_estab", "productor", "CUITCUIL", F.col("ddjj").alias("id_ddjj"))
-    return top_n(out, "superficie", limit, "adrema")
+    return out if limit is None else top_n(out, "superficie", limit, "adrema", "id_ddjj")
 
 
 def parcel_total(listing: DataFrame) -> DataFrame:

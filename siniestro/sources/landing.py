@@ -1,26 +1,40 @@
 """Landing zone: delivered sheets as CSV files, registries, writers.
 
-Layout on disk: ``<landing>/<source_file>/<source_sheet>.csv`` (one CSV per
-spreadsheet sheet, header in the first line, all values read as text).
+Layout on disk: ``<landing>/<source_file>/<source_sheet>.csv`` (header in the
+first line, all values read as text); the ``.csv`` may also be a folder of
+parts, each with the header.  A prefix ``<number>__`` before the sheet's name
+is its place in the workbook; without one the sheets go by name.
 """
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_staging_header
-from ..plans.layouts import Sheet
+from ..plans.layouts import Sheet, SheetGroup, check_ordinals, is_agricultural
 
 # --- fixed values ------------------------------------------------------------
 WORKBOOK_EXTENSIONS = ("xlsx", "xls", "xlsm")
 LOCK_PREFIX = "~$"
 PREVIEW_ROWS = 15
-STAGING_BATCH = 5000
-DEFAULT_EXCLUDED_TABLES = ()   # tables of a delivered snapshot kept out of the lake (A13), set per deployment
+# Tables of a delivered snapshot that stay out of the lake.
+DEFAULT_EXCLUDED_TABLES = (
+    "ddjj_personas_temp",
+    "productos_bkp",
+    "AnalisisOvinos",
+    "usuarios_notix",
+    "menu_admin",
+    "submenu_admin",
+    "permisos_admin",
+    "permisos_submenu_admin",
+)
 # -----------------------------------------------------------------------------
 
 
@@ -41,36 +55,98 @@ def list_workbooks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
-    """A1 for landed sheets: one row per (source_file, source_sheet)."""
+    """A1 for landed sheets: one row per CSV file with its workbook, sheet and
+    the sheet's place (null where the name has none)."""
     f = list_files(spark, path, ("csv",))
-    return f.select("path", F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("source_file"),
-                    F.regexp_extract("path", "([^/]+)\\.[cC][sS][vV]$", 1).alias("source_sheet"), "length")
+    parts = F.regexp_extract("path", r"(?i)([^/]+)/([^/]+)\.csv(?:/[^/]+)?$", 1)
+    sheet = F.regexp_extract("path", r"(?i)([^/]+)/([^/]+)\.csv(?:/[^/]+)?$", 2)
+    place = F.regexp_extract(sheet, r"^(\d+)__", 1)
+    return f.select("path", parts.alias("source_file"), F.regexp_replace(sheet, r"^\d+__", "").alias("source_sheet"),
+                    F.when(place != "", place.cast("int")).alias("orden"), "length")
+
+
+@dataclass
+class Landed:
+    """One landed sheet: its files in order, its place and its header."""
+    source_file: str
+    source_sheet: str
+    file_ordinal: int
+    sheet_ordinal: int
+    paths: list[str]
+    header: tuple[str, ...]
+
+
+def list_sheets(spark: SparkSession, path: str) -> list[Landed]:
+    """A1/A2: every landed sheet with its header, by workbook and place.  Only
+    metadata reaches the driver: the listing, and one line per sheet."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").text(path)
+             .select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("n")).filter("at = 0"))
+    first = {_plain(r["path"]): r["line"] for r in
+             lines.groupBy("path").agg(F.min_by("value", "n").alias("line")).collect()}
+    by_sheet: dict[tuple[str, str], list] = {}
+    for r in list_landing(spark, path).collect():
+        by_sheet.setdefault((r["source_file"], r["source_sheet"]), []).append((r["path"], r["orden"]))
+    files = {f: i for i, f in enumerate(sorted({f for f, _ in by_sheet}))}
+    out, seen = [], dict.fromkeys(files, 0)
+    order = sorted(by_sheet, key=lambda k: (k[0], by_sheet[k][0][1] is None, by_sheet[k][0][1] or 0, k[1]))
+    for f, sheet in order:
+        paths = sorted(p for p, _ in by_sheet[f, sheet])
+        line = next((first[_plain(p)] for p in paths if _plain(p) in first), "")
+        header = tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
+        out.append(Landed(f, sheet, files[f], seen[f], paths, header))
+        seen[f] += 1
+    return out
+
+
+def _plain(path: str) -> str:
+    """A file's path without scheme and percent signs, as a key."""
+    return unquote(path.split(":", 1)[-1]).lstrip("/")
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """A3: one landed sheet, all columns text, plus its 0-based row ordinal.
     ``multiLine`` keeps each file in one split, so row order is file order."""
     df = (spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8")
-          .option("nullValue", "").option("inferSchema", False).csv(path))
+          .option("nullValue", "").option("inferSchema", False).option("escape", '"').csv(path))
     return df.withColumn("__row", F.monotonically_increasing_id())
 
 
 def read_landing(spark: SparkSession, path: str) -> dict[str, list[Sheet]]:
-    """A3/A4: every landed sheet grouped by workbook (file ordinal = sorted
-    file order, sheet ordinal = sorted sheet order).  Only the file listing
-    (metadata) reaches the driver."""
-    listing = [(r["source_file"], r["source_sheet"], r["path"]) for r in list_landing(spark, path).collect()]
-    files = sorted({f for f, _, _ in listing})
+    """A3/A4: every landed sheet as a frame of its own, by workbook, in the
+    workbook's order."""
     out: dict[str, list[Sheet]] = {}
-    for f, sheet, p in listing:
-        sheets = out.setdefault(f, [])
-        sheets.append(Sheet(f, sheet, read_sheet(spark, p), files.index(f), 0))
-    for f, sheets in out.items():
-        for i, s in enumerate(sorted(sheets, key=lambda s: s.source_sheet)):
-            s.sheet_ordinal = i
+    for s in list_sheets(spark, path):
+        source = s.paths if len(s.paths) > 1 else s.paths[0]
+        out.setdefault(s.source_file, []).append(
+            Sheet(s.source_file, s.source_sheet, read_sheet(spark, source), s.file_ordinal, s.sheet_ordinal))
     return out
 
 
+def read_group(spark: SparkSession, sheets: Sequence[Landed]) -> SheetGroup:
+    """Landed sheets with one header as one scan: file and sheet come from the
+    path of each row, rows are numbered per sheet in file order."""
+    header = list(sheets[0].header)
+    places = []
+    for s in sheets:
+        check_ordinals(s.file_ordinal, s.sheet_ordinal)
+        places += [(_plain(p), i, s.source_file, s.source_sheet, s.file_ordinal, s.sheet_ordinal)
+                   for i, p in enumerate(s.paths)]
+    # as many rows as the listing has files
+    known = F.broadcast(spark.createDataFrame(
+        places, "__key string, __part int, __file string, __sheet string, __fidx int, __sidx int"))
+    raw = (spark.read.schema(", ".join(f"`{i}` string" for i in range(len(header)))).option("header", True)
+           .option("multiLine", True).option("encoding", "UTF-8").option("nullValue", "").option("escape", '"')
+           .csv([p for s in sheets for p in s.paths]))
+    path = F.replace(F.regexp_replace("_metadata.file_path", "^[^:]*:", ""), F.lit("+"), F.lit("%2B"))
+    key = F.ltrim(F.url_decode(path), F.lit("/"))
+    rows = raw.select("*", key.alias("__key"), F.monotonically_increasing_id().alias("__id")).join(known, "__key")
+    order = Window.partitionBy("__file", "__sheet").orderBy("__part", "__id")
+    return SheetGroup(rows.select(*[F.col(f"`{i}`").alias(c) for i, c in enumerate(header)],
+                                  (F.row_number().over(order) - 1).cast("long").alias("__row"),
+                                  "__file", "__sheet", "__fidx", "__sidx"), is_agricultural(sheets[0].source_sheet))
+
+
 def inventory(sheets: Mapping[str, Sequence[Sheet]]) -> DataFrame:
     """A2: per sheet: rows, columns, header joined by `` | ``, the first 15
     rows as text (bounded preview) and the header problem, if any, as data."""
@@ -100,7 +176,7 @@ def inventory(sheets: Mapping[str, Sequence[Sheet]]) -> DataFrame:
 def read_registry(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """Registry CSV (UTF-8, possibly with a byte-order mark) with a
     required-column check."""
-    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    df = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
     df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
     missing = set(required) - set(df.columns)
     if missing:
@@ -110,18 +186,18 @@ def read_registry(spark: SparkSession, path: str, required: Sequence[str]) -> Da
 
 def read_curated(spark: SparkSession, path: str, schema) -> DataFrame:
     """A5: curated CSV read with an explicit schema (codes stay text)."""
-    return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
+    return spark.read.schema(schema).option("header", True).option("nullValue", "").option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header (the byte-order mark is an Excel nicety, dropped)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_report(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """A multi-sheet report: one directory per entry."""
     for name, df in frames.items():
-        df.write.mode("overwrite").format(fmt).option("header", True).save(os.path.join(path, name))
+        df.write.mode("overwrite").format(fmt).option("header", True).option("escape", '"').save(os.path.join(path, name))
 
 
 def load_staging(df: DataFrame, path: str, partition_by: Sequence[str] = ("anio",),
@@ -133,8 +209,9 @@ def load_staging(df: DataFrame, path: str, partition_by: Sequence[str] = ("anio"
     if "fecha_carga" not in out.columns:
         out = out.withColumn("fecha_carga", F.localtimestamp())
     parts = [c for c in partition_by if c in out.columns]
-    w = out.repartition(*parts) if parts else out
-    w = w.sortWithinPartitions(*[c for c in sort_within if c in out.columns])
+    # REBALANCE gathers a year's rows in few files and, unlike a repartition, splits a large year over tasks
+    w = out.hint("rebalance", *parts) if parts else out
+    w = w.sortWithinPartitions(*parts, *[c for c in sort_within if c in out.columns])
     w.write.mode("overwrite").partitionBy(*parts).parquet(path)
     return out.sparkSession.read.parquet(path)
 
@@ -146,16 +223,20 @@ def select_tables(names: Sequence[str], drop: Sequence[str] = DEFAULT_EXCLUDED_T
     return [n for n in names if n.lower() not in dropped]
 
 
-def snapshot_tables(source: Mapping[str, DataFrame], dest_path: str, tables: Sequence[str]) -> list[dict]:
-    """Copy an allow-list of tables (zero dates repaired, protected
-    names refused); a failing table never stops the others."""
+def snapshot_tables(source: Mapping[str, DataFrame], dest_path: str, tables: Sequence[str],
+                    allowed: Sequence[str] | None = None) -> list[dict]:
+    """Copy tables (zero dates repaired; protected names and names
+    outside the allow-list refused); a failing table never stops the others."""
     from ..functions.dates import repair_zero_dates
-    from ..plans.validate import is_protected
+    from ..plans.validate import CURRENT_TABLES, is_protected
+    allowed = set(CURRENT_TABLES if allowed is None else allowed)
     results = []
     for t in tables:
         try:
             if is_protected(t):
                 raise ValueError(f"protected name: {t}")
+            if t not in allowed:
+                raise ValueError(f"not on the allow-list: {t}")
             repair_zero_dates(source[t]).write.mode("overwrite").parquet(os.path.join(dest_path, t))
             results.append({"tabla": t, "error": None})
         except Exception as exc:  # noqa: BLE001 -- reported per table
@@ -164,7 +245,7 @@ def snapshot_tables(source: Mapping[str, DataFrame], dest_path: str, tables: Seq
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Export a listing as one CSV file.  Meant for the bounded,
-    ``LIMIT``-ed listings of the reports (at most a few thousand rows): a
-    single file means a single writing task."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Export a listing as CSV, as many files as it has partitions.  A
+    listing that ends in a top-N (``LIMIT``) has one partition, hence one
+    file; an unlimited one is written in parallel."""
+    write_csv(df, path)

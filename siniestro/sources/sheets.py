@@ -96,6 +96,33 @@ def testdata_workbooks(spark: SparkSession, sf_dir: str) -> dict[str, list[Sheet
         "COD": k, "CUIT": doc, "AYN": name, "DPTO": F.col("n_name"), "PLANTADA": _num_text(price, 40, True),
         "COSECHADA": _num_text(price / 2, 50, True), "PROD EST": (k % 900).cast("string"),
         "PROD OB": (k % 800).cast("string")}))
+    add("GANADERO 2008-12 RESUMIDO.xlsx", 8, "Hoja1", 0, _sheet(o, {
+        "COD": k, "DOC": doc, "AyN": name, "DPTO": F.col("n_name"), "Localización": F.concat(F.col("n_name"), F.lit(" norte")),
+        "SECCION": (k % 11).cast("string"), "SUP TOT": _num_text(price, 500, True),
+        "SUP GAN": _num_text(price / 2, 400, False), "SUP GAN AF": _num_text(price / 3, 410, True),
+        "EXIS": F.when(k % 13 == 0, F.lit("s/d")).otherwise((k % 90).cast("string"))}))
+    add("MONTE CASEROS 2006-300.xlsx", 9, "Datos", 0, _sheet(o, {
+        "COD": k, "DOC": doc, "CUIL O CUIT": F.concat(F.lit("27-"), doc, F.lit("-3")), "AYN": name,
+        "DPTO": F.lit("Monte  Caseros"), "LOC PJE PART": F.concat(F.col("n_name"), F.lit(" norte")), "SECCION": (k % 5).cast("string"),
+        "SUP TOT": _num_text(price, 700, True), "SUP SEM": _num_text(price / 2, 300, True),
+        "SUP AF": _num_text(price / 4, 320, False), "AF": F.concat((k % 100).cast("string"), F.lit(" %")),
+        "OBS": F.when(k % 4 == 0, F.lit("Sin Dato")).otherwise(F.col("o_orderpriority"))}))
+    add("AGRICOLA 2007-61.xls", 10, "Hoja1", 0, _sheet(o, {
+        "IDDJ": k, "DOC. NRO": doc, "ING BRUTOS": F.concat(F.lit("20"), doc), "AYN": name, "DPTO ESTAB": F.col("n_name"),
+        "LOC PJE PART": F.concat(F.col("n_name"), F.lit(" norte")), "DOM ESTAB": F.concat(F.lit("tel "), F.col("c_custkey").cast("string")), "SECCION": (k % 3).cast("string"),
+        "ESPECIE": F.lower(F.col("c_mktsegment")), "CATEGORIA": F.col("o_orderpriority"),
+        "SUPTOT": _num_text(price, 800, True), "SUP PLANT SEMB": _num_text(price / 2, 310, True),
+        "PROD ESTIM": (k % 1000).cast("string")}))
+    add("DTO 2019-128.xlsx", 11, "Hoja1", 0, _sheet(o, {
+        "CODIGO": k, "DNI": doc, "Nombre / Razón Social": F.concat(F.lit('"'), F.col("c_name"), F.lit('" y otro')),
+        "CUIT": F.concat(F.lit("30"), doc), "DEPARTAMENTO": F.col("n_name"), "LOCALIDAD": F.concat(F.col("n_name"), F.lit(" norte")),
+        "PARAJE": F.when(k % 6 == 0, F.lit("-")).otherwise(F.concat(F.lit("tel "), F.col("c_custkey").cast("string"))),
+        "RENSPA": F.concat(F.lit("05."), (k % 77).cast("string")),
+        "MIXTO": F.when(k % 2 == 0, F.lit("ganadería")).otherwise(F.lit(None)), "ACTIVIDAD": F.lit("no se lee"),
+        "TIPO CULTIVO": F.col("c_mktsegment"), "SUPERFICIE TOTAL": _num_text(price, 900, True),
+        "SUPERFICIE EN USO AGR": _num_text(price / 2, 500, True), "SUP. EN USO GAN": _num_text(price / 3, 510, True),
+        "SUPERFICIE AFECTADA AGR": _num_text(price / 4, 520, False),
+        "SUP. AFECTADA TOTAL GAN": _num_text(price / 5, 530, True), "TOTAL CABEZAS": (k % 333).cast("string")}))
     add("ROTO 2012.xlsx", 7, "Hoja1", 0, _sheet(o.filter(k % 16 == 10), {"SUP TOT": k, "SUP. TOT": k}))
     return wb
 
@@ -110,6 +137,10 @@ TESTDATA_FORMATS = [
     ("DTO 2015-55.xlsx", "formato_multisheet_2015"),
     ("TABACO 2007-44.xlsx", "formato_tabaco_2007"),
     ("ROTO 2012.xlsx", "formato_ganadero_resumido"),
+    ("GANADERO 2008-12 RESUMIDO.xlsx", "formato_ganadero_resumido"),
+    ("MONTE CASEROS 2006-300.xlsx", "formato_agricola_monte_caseros"),
+    ("AGRICOLA 2007-61.xls", "formato_detalle_agricola_2007_xls"),
+    ("DTO 2019-128.xlsx", "formato_2019"),
     ("NUEVO 2020.xlsx", "formato_desconocido"),
     ("FALTA 2010.xlsx", "formato_2019"),
 ]

@@ -93,7 +93,7 @@ def test_sanitize_and_zero_dates(spark):
 def test_headers():
     assert norm_header("AÑO DECRETO") == "ANO_DECRETO"
     assert norm_header(" Sup. Afect (ha) ") == "SUP_AFECT_HA"
-    assert norm_staging_header("Año  Decreto") == "ao_decreto"
+    assert norm_staging_header("Año  Dto") == "a_o_dto"
     assert norm_staging_header("???") == "columna"
 
 
@@ -101,5 +101,24 @@ def test_rgb_and_stable_id(spark):
     df = spark.createDataFrame([(150.0,), (None,), (50.0,)], "p double")
     r, g, b = C.damage_rgb("p")
     assert [tuple(x) for x in df.select(r, g, b).collect()] == [(255, 80, 0), (0, 80, 255), (127, 80, 128)]
-    df2 = spark.createDataFrame([("a", None, "b")], "x string, y string, z string")
-    assert df2.select(C.stable_id("x", "y", "z")).first()[0] == df2.select(C.stable_id("x", "z")).first()[0]
+    same = spark.createDataFrame([("1", None, "A"), (None, "1", "A"), ("1", "", "A"), ("1", None, "A")],
+                                 "x string, y string, z string")
+    ids = [r[0] for r in same.select(C.stable_id("x", "y", "z")).collect()]
+    assert len(set(ids)) == 3 and ids[0] == ids[3]
+
+
+def test_keys_over_all_of_unicode(spark):
+    chars = [chr(cp) for cp in range(1, 0x110000) if not 0xD800 <= cp < 0xE000]
+    texts = ["a" + "x".join(chars[i:i + 40]) + "9" for i in range(0, len(chars), 40)]
+    texts += ["ＡＢＣ１２", "½", "№5", "ﬁn", "①②", "Å", "㎏ x"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    both = df.select("x", C.normalize_key("x").alias("a"), C.normalize_key("x", exact=True).alias("b"))
+    assert [r.x for r in both.filter("a <> b").collect()] == []
+    got = {r.x: r.a for r in both.collect()}
+    assert (got["ＡＢＣ１２"], got["½"], got["№5"]) == ("ABC12", "1_2", "N_5")
+
+
+@pytest.mark.parametrize("value", ["27d", "27f", "1.5F", "0x1p3", "27D "])
+def test_numbers_that_only_java_reads(spark, value):
+    assert one(spark, C.to_number("x"), value) is None
+    assert one(spark, C.repair_coord("x"), value) is None

@@ -86,6 +86,92 @@ def test_streaming_refresh_matches_batch(spark):
     assert got == want
 
 
+def test_redelivered_file_replaces_its_rows(spark):
+    from siniestro.streaming.refresh import refresh_declarations
+    from siniestro.streaming.refresh import land
+    work = tempfile.mkdtemp(prefix="p1b-")
+    rows = lambda *r: spark.createDataFrame(r, "source_file string, k int")
+    first = rows(("A", 1), ("A", 2), ("B", 5))
+    for run in (first, rows(("A", 10)), rows(("C", 7))):
+        land(run, f"{work}/landing", "source_file")
+        refresh_declarations(spark, f"{work}/landing", first.schema, f"{work}/table", f"{work}/ckpt", lambda df: df)
+    got = sorted((r["source_file"], r["k"]) for r in spark.read.parquet(f"{work}/table").collect())
+    assert got == [("A", 10), ("B", 5), ("C", 7)]
+
+
+def test_registry_duplicate_in_the_last_row(spark):
+    import pytest
+    from siniestro.operators.joins import attach_registry
+    reg = spark.range(2000).selectExpr("concat('f', least(id, 1998)) as source_file", "id as n")
+    with pytest.raises(ValueError, match="f1998"):
+        attach_registry(reg.select("source_file"), reg)
+
+
+def test_staging_honours_its_own_inputs(spark):
+    from siniestro.plans.catalog import Catalog
+    whole = Catalog(spark, SF_SMALL)
+    n = whole.curated.inputs.count()
+    few = Catalog(spark, SF_SMALL, frames={"raw_rows": whole.physical("raw_rows").orderBy("row_id").limit(3)})
+    assert few.curated.inputs.count() == 3 and n > 3
+    assert Catalog(spark, SF_SMALL).stage() is whole.stage()
+
+
+def test_csv_quotes(spark):
+    from siniestro.sources.landing import read_sheet, write_csv
+    root = tempfile.mkdtemp(prefix="csv-")
+    _write_sheet(f"{root}/a.csv", ["X", "Y"], [['"a ""b"" c"', "1"]])
+    got = read_sheet(spark, f"{root}/a.csv").select("X").first()["X"]
+    assert got == 'a "b" c'
+    write_csv(spark.createDataFrame([('p "q", r',)], "X string"), f"{root}/out")
+    assert read_sheet(spark, f"{root}/out").first()["X"] == 'p "q", r'
+
+
+def test_copy_allow_list_and_exclusions(spark):
+    from siniestro.sources.landing import select_tables, snapshot_tables
+    frames = {n: spark.range(3) for n in ("fotos", "usuarios_notix", "vw_all_x")}
+    out = {r["tabla"]: r["error"] for r in snapshot_tables(frames, tempfile.mkdtemp(prefix="snap-"), list(frames))}
+    assert out["fotos"] is None and "allow-list" in out["usuarios_notix"] and "protected" in out["vw_all_x"]
+    assert select_tables(["fotos", "Menu_Admin"]) == ["fotos"]
+
+
+def test_workbook_order_and_grouped_scan(spark):
+    from siniestro.plans.harmonise import harmonise_landing
+    from siniestro.sources.landing import list_sheets
+    root = tempfile.mkdtemp(prefix="grouped-")
+    header = ["COD", "AyN", "SUP. TOT"]
+    for i in range(200):
+        _write_sheet(f"{root}/DTO 2009-{i} GANADERO.xlsx/001__Zeta.csv", header,
+                     [[str(i), "Ana", "1"], [f"x{i}", '"Luz ""B"""', "2"]])
+        _write_sheet(f"{root}/DTO 2009-{i} GANADERO.xlsx/002__Alfa.csv", header, [["no", "no", "9"]])
+    first = [s.source_sheet for s in list_sheets(spark, root) if s.sheet_ordinal == 0]
+    assert first == ["Zeta"] * 200
+    out = harmonise_landing(spark, root, [(f"DTO 2009-{i} GANADERO.xlsx", "formato_ganadero_ancho") for i in range(200)])
+    rows = out.clean.collect()
+    assert len(rows) == 400 and {r["source_sheet"] for r in rows} == {"Zeta"}
+    assert len({r["row_id"] for r in rows}) == 400
+    assert {(r["dto"], r["source_file"]) for r in rows} == {(str(i), f"DTO 2009-{i} GANADERO.xlsx") for i in range(200)}
+    assert {r["productor_nombre"] for r in rows} == {"ANA", 'LUZ "B"'}
+    assert [r["estado"] for r in out.status.collect()] == ["ok"] * 200
+
+
+def test_one_group_is_one_scan(spark):
+    from siniestro.sources.landing import list_sheets, read_group
+    root = tempfile.mkdtemp(prefix="scan-")
+    for i in range(30):
+        _write_sheet(f"{root}/F{i}.xlsx/H.csv", ["A", "B"], [[str(i), "x"], [str(i), "y"]])
+    frame = read_group(spark, list_sheets(spark, root)).frame
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert sorted((r["__file"], r["__row"], r["A"], r["B"]) for r in frame.collect()) == sorted(
+        (f"F{i}.xlsx", k, str(i), v) for i in range(30) for k, v in enumerate("xy"))
+
+
+def test_keep_best_null_priority_last(spark):
+    from siniestro.operators.windows import keep_best
+    df = spark.createDataFrame([("a", None, 1), ("a", 0.0, 2), ("b", None, 3)], "k string, p double, o int")
+    assert sorted((r.k, r.o) for r in keep_best(df, "k", "p", "o").collect()) == [("a", 2), ("b", 3)]
+
+
 def test_inventory_reports_header_problems(spark):
     from siniestro.sources.landing import inventory
     inv = {(r["archivo"], r["hoja"]): r for r in inventory(SH.testdata_workbooks(spark, SF_SMALL)).collect()}
