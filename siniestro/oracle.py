@@ -113,20 +113,24 @@ ABSENT_NUM = ["produccion_estimada", "produccion_obtenida", "superficie_plantada
               "porcentaje_afectacion"]
 
 
-def hist_ctes() -> str:
+def hist_ctes(harmonised: bool = False) -> str:
     """CTEs ``raw_clean``, ``inputs``, ``same``, ``consolidated``, ``principal_all``,
-    ``principal``, ``detail_all``, ``detail`` (after the stand-in CTEs)."""
+    ``principal``, ``detail_all``, ``detail`` (after the stand-in CTEs).
+    ``harmonised``: ``raw_rows`` has every harmonised column (but the period),
+    not only those of the stand-in."""
     nk = normalize_key
+    event = "COALESCE(g.evento_id, r.evento_id)" if harmonised else "g.evento_id"
     y = extract_year
-    new_year = y(f"COALESCE(CAST(g.anio_inicio AS VARCHAR), CAST({y('g.evento_id')} AS VARCHAR), "
+    new_year = y(f"COALESCE(CAST(g.anio_inicio AS VARCHAR), CAST({y(event)} AS VARCHAR), "
                  f"CAST({y('r.source_file')} AS VARCHAR), CAST(r.anio AS VARCHAR))")
     neg = " OR ".join(f"COALESCE({c} < 0, false)" for c in SURFACES)
     aff = "COALESCE(superficie_agricola_afectada, 0.0) + COALESCE(superficie_ganadera_afectada, 0.0)"
-    absent = ", ".join([f"CAST(NULL AS VARCHAR) AS {c}" for c in ABSENT_TEXT] + [f"CAST(NULL AS DOUBLE) AS {c}" for c in ABSENT_NUM])
+    known = "r.* EXCLUDE (evento_id)" if harmonised else "r.*"
+    absent = "" if harmonised else ", CAST(NULL AS VARCHAR) AS dto, " + ", ".join([f"CAST(NULL AS VARCHAR) AS {c}" for c in ABSENT_TEXT] + [f"CAST(NULL AS DOUBLE) AS {c}" for c in ABSENT_NUM])
     return f""",
 mapped AS (
-  SELECT r.*, g.evento_id AS evento_id, g.dataset_role AS dataset_role, g.relation_type AS relation_type,
-         {new_year} AS anio_new, CAST(NULL AS VARCHAR) AS dto, {absent}
+  SELECT {known}, {event} AS evento_id, g.dataset_role AS dataset_role, g.relation_type AS relation_type,
+         {new_year} AS anio_new{absent}
   FROM raw_rows r LEFT JOIN registro_eventos g ON g.source_file = r.source_file),
 flagged AS (
   SELECT * EXCLUDE (anio, anio_new), anio_new AS anio,

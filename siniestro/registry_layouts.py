@@ -196,6 +196,9 @@ def file_sql(file: str) -> str:
     return " UNION ALL ".join(sheet_sql(k) for k in RULES if k[0] == file)
 
 
+EVERY_SHEET = " UNION ALL ".join(sheet_sql(k) for k in RULES)
+
+
 def _inventory_sql() -> str:
     parts = []
     for (file, sheet), (_, _, rows, row, cells) in CELLS.items():
@@ -245,7 +248,6 @@ def register_all(register) -> None:
         register(name, file_sql(file))(
             lambda s, d, layout=layout, file=file: harmonise_workbook(layout, testdata_workbooks(s, d)[file])
             .select("row_id", *SHOWN))
-    everything = " UNION ALL ".join(sheet_sql(k) for k in RULES)
 
     def harmonised(s, d):
         return harmonise(s, testdata_workbooks(s, d), TESTDATA_FORMATS)
@@ -264,8 +266,8 @@ def register_all(register) -> None:
         return harmonise_landing(s, path, TESTDATA_FORMATS)
 
     shown = ", ".join(SHOWN)
-    register("a1_b12_harmonise_landing", f"SELECT {shown} FROM ({everything}) x")(
+    register("a1_b12_harmonise_landing", f"SELECT {shown} FROM ({EVERY_SHEET}) x")(
         lambda s, d: landed(s, d).clean.select(*SHOWN))
-    register("b0_b12_harmonise_workbooks", everything)(lambda s, d: harmonised(s, d).clean.select("row_id", *SHOWN))
+    register("b0_b12_harmonise_workbooks", EVERY_SHEET)(lambda s, d: harmonised(s, d).clean.select("row_id", *SHOWN))
     register("a7_harmonise_status", _status_sql())(lambda s, d: harmonised(s, d).status)
     register("a2_sheet_inventory", _inventory_sql())(lambda s, d: inventory(testdata_workbooks(s, d)))
