@@ -27,7 +27,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``n_chars`` is counted again for documents that lose lines."""
     out = line_dedup.drop_lines(docs)
     count = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", count).select(*docs.columns)
+    return out.withColumn("n_chars", count).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

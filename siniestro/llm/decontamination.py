@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siniestro.llm.columns import doc_key
+from siniestro.llm.columns import doc_key, set_aside
 from siniestro.llm.words import (
     LOWER, Chunk, Rolling, Words, chunks, find_words, fold_ascii, hash_words, inside, separators)
 
@@ -201,8 +201,8 @@ def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMEN
 def remove(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """The documents that contain no item; all columns stay."""
     bad = contained(docs, items, containment).select(doc_key().alias("_id")).distinct()
-    return docs.withColumn("_id", doc_key()) \
-        .join(bad, "_id", "left_anti").select(*docs.columns)
+    away, back = set_aside(docs)
+    return docs.select(*away, doc_key().alias("_id")).join(bad, "_id", "left_anti").select(*back)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siniestro.llm.columns import fold_of
+from siniestro.llm.columns import fold_of, set_aside
 from siniestro.llm.words import Chunk, chunks
 
 BUCKETS = 1 << 14
@@ -222,9 +222,8 @@ def learn(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the model does not reject; all columns stay."""
-    cols = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    out = predict(docs, model, *cols).filter("not rejected")
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    away, back = set_aside(docs)
+    return predict(docs, model, *away).filter("not rejected").select(*back)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siniestro.llm.columns import doc_key, lower_ascii, text_or_empty, text_version
+from siniestro.llm.columns import doc_key, lower_ascii, set_aside, text_or_empty, text_version
 from siniestro.session import materialize
 
 MIN_CHARS = 10
@@ -37,8 +37,8 @@ SLICES = 64
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def lines_of() -> Column:
-    return F.split(text_or_empty(), "\n", -1)
+def lines_of(name: str = "text") -> Column:
+    return F.split(text_or_empty(name), "\n", -1)
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -88,16 +88,17 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, slices: int = SLICES
     masks = keep_bitmaps(keys, holders).select(
         F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("dense").alias("_dense"),
         F.col("n_dropped").alias("_dropped"))
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*keep, doc_key().alias("_id"), text_version().alias("_version")) \
+    away, back = set_aside(docs, "n_lines", "n_dropped")
+    joined = docs.select(*away, F.col("text").alias("_text"), doc_key().alias("_id"), text_version().alias("_version")) \
         .join(masks, ["_id", "_version"], "left")
-    text = text_or_empty()
+    text = text_or_empty("_text")
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    left = F.filter(lines_of(), lambda line, i: (
+    left = F.filter(lines_of("_text"), lambda line, i: (
         F.getbit(F.coalesce(F.get(F.col("_dense"), F.floor(i / 64).cast("int")), F.lit(0).cast("long")),
                  F.pmod(i, F.lit(64))) == 0))
-    out = [F.when(F.col("_dense").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
-           if c == "text" else F.col(c) for c in keep]
+    kept = F.when(F.col("_dense").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n")).alias("text")
+    out = [kept if c == "text" else column
+           for c, column in zip((c for c in docs.columns if c not in ("n_lines", "n_dropped")), back, strict=True)]
     return joined.select(*out, n_lines.cast("long").alias("n_lines"),
                          F.coalesce("_dropped", F.lit(0).cast("long")).alias("n_dropped"))
 

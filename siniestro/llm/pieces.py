@@ -40,6 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siniestro.llm.columns import set_aside
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 PENALTY = 10.0
@@ -244,8 +246,8 @@ def load(path: str = MODEL) -> Vocabulary:
 
 def _mapped(frame: DataFrame, vocabulary: Vocabulary, source: str, kind: str, made: dict[str, str], make) -> DataFrame:
     """``frame`` with the columns ``made`` (name: type) from ``source`` batch by batch."""
-    kept = [c for c in frame.columns if c not in made]
-    given = frame.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), F.col(source).cast(kind).alias("_in"))
+    away, back = set_aside(frame, *made)
+    given = frame.select(*away, F.col(source).cast(kind).alias("_in"))
     outs = [f"_out{i}" for i in range(len(made))]
     schema = given.drop("_in").select(
         "*", *(F.lit(None).cast(t).alias(o) for o, t in zip(outs, made.values(), strict=True))).schema
@@ -257,8 +259,7 @@ def _mapped(frame: DataFrame, vocabulary: Vocabulary, source: str, kind: str, ma
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *outs])
 
     return given.mapInArrow(work, schema).select(
-        *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
-        *(F.col(o).alias(name) for o, name in zip(outs, made, strict=True)))
+        *back, *(F.col(o).alias(name) for o, name in zip(outs, made, strict=True)))
 
 
 def _encode_batch(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:

@@ -27,10 +27,10 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siniestro.llm.columns import text_or_empty
+from siniestro.llm.columns import doc_key, set_aside, text_or_empty
 from siniestro.session import materialize
 
 SHARDS = 8
@@ -49,44 +49,39 @@ def schedule(items: list[tuple[str, int]], shards: int = SHARDS) -> dict[str, in
     return placed
 
 
-def groups_of(docs: DataFrame) -> DataFrame:
-    """``docs`` without text: carried columns, ``size``, ``text_crc32`` and the group's hash ``g``."""
-    text = text_or_empty()
-    carried = [c for c in docs.columns if c not in ("text", "size", "text_crc32", "g")]
-    return docs.select(*carried, (F.octet_length(text) + 1).cast("long").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text.cast("binary")).alias("g"))
-
-
-def bucket_of(items: int):
-    return F.concat(F.lit("b"), F.lpad(F.pmod(F.xxhash64("g"), F.lit(items)).cast("string"), 8, "0"))
+def bucket_of(items: int) -> Column:
+    return F.concat(F.lit("b"), F.lpad(F.pmod(F.xxhash64("_group"), F.lit(items)).cast("string"), 8, "0"))
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, items: int = ITEMS) -> DataFrame:
-    """``docs`` without text, with ``size``, ``text_crc32``, ``shard`` and ``slot``."""
-    rows = materialize(groups_of(docs), "shard-rows")
-    groups = rows.groupBy("g").agg(F.sum("size").alias("size"))
+    """``docs`` without text, with ``size``, ``text_crc32``, ``shard`` and ``slot`` (like-named columns are replaced)."""
+    away, back = set_aside(docs, "text", "size", "text_crc32", "shard", "slot")
+    raw = text_or_empty().cast("binary")
+    rows = materialize(docs.select(
+        *away, doc_key().alias("_id"), (F.octet_length(raw) + 1).cast("long").alias("size"),
+        F.crc32(raw).alias("text_crc32"), F.md5(raw).alias("_group")), "shard-rows")
+    groups = rows.groupBy("_group").agg(F.sum("size").alias("size"))
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    heavy = groups.filter(F.col("size") * items > total).select(F.col("g").alias("item"), "size")
+    heavy = groups.filter(F.col("size") * items > total).select(F.col("_group").alias("item"), "size")
     light = groups.filter(F.col("size") * items <= total).select(bucket_of(items).alias("item"), "size") \
         .groupBy("item").agg(F.sum("size").alias("size"))
     placed = schedule([(r[0], r[1]) for r in heavy.unionByName(light).collect()], shards)  # at most 2 * items rows
-    spark = docs.sparkSession
-    table = spark.createDataFrame(list(placed.items()), "item string, shard int")
-    own = F.broadcast(table.filter("item not like 'b________'").select(F.col("item").alias("g"), F.col("shard").alias("_own")))
-    shared = F.broadcast(table.filter("item like 'b________'").select(F.col("item").alias("_bucket"), "shard"))
-    carried = [c for c in rows.columns if c not in ("g", "shard", "slot")]
-    dealt = (rows.join(own, "g", "left").withColumn("_bucket", bucket_of(items))
-             .select(*carried, "g", "_own", "_bucket").join(shared, "_bucket", "left")
-             .select(*carried, F.coalesce("_own", "shard").alias("shard"), "g"))
+    table = docs.sparkSession.createDataFrame(list(placed.items()), "item string, shard int")
+    bucket = F.col("item").like("b________")  # a group's hash is longer
+    own = F.broadcast(table.filter(~bucket).select(F.col("item").alias("_group"), F.col("shard").alias("_own")))
+    shared = F.broadcast(table.filter(bucket).select(F.col("item").alias("_bucket"), F.col("shard").alias("_shared")))
     chunks = max(1, -(-n // CHUNK_ROWS))
-    mark = F.xxhash64(*[F.col(c) for c in ("doc_id",) if c in carried], "g")
-    dealt = materialize(dealt.withColumn("_chunk", F.pmod(mark, F.lit(chunks))).drop("g"), "shard-dealt")
+    dealt = (rows.join(own, "_group", "left").withColumn("_bucket", bucket_of(items)).join(shared, "_bucket", "left")
+             .withColumn("shard", F.coalesce("_own", "_shared"))
+             .withColumn("_chunk", F.pmod(F.xxhash64("_id", "_group"), F.lit(chunks)))
+             .drop("_group", "_bucket", "_own", "_shared"))
+    dealt = materialize(dealt, "shard-dealt")
     before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     start = (dealt.groupBy("shard", "_chunk").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
-    place = Window.partitionBy("shard", "_chunk").orderBy(*carried[:1], "size", "text_crc32")
+             .select("shard", "_chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")))
+    place = Window.partitionBy("shard", "_chunk").orderBy("_id", "size", "text_crc32")
     return (dealt.withColumn("_at", F.row_number().over(place) - 1).join(start, ["shard", "_chunk"])
-            .select(*carried, "shard", (F.col("_start") + F.col("_at")).cast("long").alias("slot")))
+            .select(*back, "size", "text_crc32", "shard", (F.col("_start") + F.col("_at")).cast("long").alias("slot")))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

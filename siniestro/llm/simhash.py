@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siniestro.llm.columns import NULL_ID, doc_key
+from siniestro.llm.columns import NULL_ID, doc_key, set_aside
 from siniestro.llm.components import components
 from siniestro.llm.words import LOWER, word_blocks
 from siniestro.session import materialize
@@ -140,7 +140,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """The documents whose id is the smallest of their group; all columns stay."""
     found = near_duplicates(docs, shingle, max_bits)
     gone = found.filter("id <> component").select(F.col("id").alias("_id")).distinct()
-    return docs.withColumn("_id", doc_key()).join(gone, "_id", "left_anti").select(*docs.columns)
+    away, back = set_aside(docs)
+    return docs.select(*away, doc_key().alias("_id")).join(gone, "_id", "left_anti").select(*back)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

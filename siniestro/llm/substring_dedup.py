@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siniestro.llm.columns import doc_key
+from siniestro.llm.columns import doc_key, set_aside
 from siniestro.llm.words import Rolling, chunks, find_words, hash_words, i64, inside, separators
 from siniestro.session import materialize
 
@@ -202,17 +202,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     All columns of ``docs`` stay; one of these four names among them is replaced.
     """
     made = ("kept_text", "n_words", "n_removed", "removed")
-    keep = [c for c in docs.columns if c not in made]
+    away, back = set_aside(docs, *made)
     ranges = removal_ranges(docs, window, gram).withColumnRenamed("id", "_id")
-    joined = docs.select(*keep, doc_key().alias("_id")).join(ranges, "_id", "left").drop("_id")
-    schema = docs.select(*keep).schema.add("kept_text", "string").add("n_words", "long") \
+    kept_rows = docs.select(*away, doc_key().alias("_id"), F.col("text").cast("string").alias("_text"))
+    joined = kept_rows.join(ranges, "_id", "left").select(*kept_rows.columns, "ranges").drop("_id")
+    schema = docs.select(*away).schema.add("kept_text", "string").add("n_words", "long") \
         .add("n_removed", "long").add("removed", T.ArrayType(T.StructType().add("lo", "integer").add("hi", "integer")))
-    text_at = keep.index("text")
     interval = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column(text_at), batch.column(batch.num_columns - 1)
+            texts, lists = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
             out: list[tuple] = []
             for text, ranges in zip(texts, lists, strict=True):
                 words = (text.as_py() or "").encode().split()
@@ -227,11 +227,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                             [{"lo": int(a), "hi": int(b)} for a, b in zip(turn[::2], turn[1::2], strict=True)]))
             kept, n, gone, cut = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(kept, pa.string()), pa.array(n, pa.int64()),
+                [*batch.columns[:-2], pa.array(kept, pa.string()), pa.array(n, pa.int64()),
                  pa.array(gone, pa.int64()), pa.array(cut, interval)],
-                names=[*batch.schema.names[:-1], "kept_text", "n_words", "n_removed", "removed"])
+                names=[*batch.schema.names[:-2], *made])
 
-    return joined.mapInArrow(work, schema)
+    return joined.mapInArrow(work, schema).select(*back, *made)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
