@@ -11,10 +11,15 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+"""Applications that have the package."""
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
@@ -69,6 +74,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    What ``--py-files`` does at submission, for sessions that were started
+    without it: operators with Python tasks import their helpers there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="siniestro-code-")) / "siniestro.zip"  # the driver serves it to the executors
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 

@@ -169,3 +169,46 @@ def test_report_filters_reach_the_scan(spark, capsys):
     # the date range on the derived DATE column is unwrapped into a timestamp range on the raw scan
     assert "GreaterThanOrEqual(o_orderdate,1996-03-01" in plan and "LessThan(o_orderdate,2000-11-01" in plan
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_hashes_and_profile_groups_once(spark):
+    from siniestro.operators.aggregates import profile
+    from siniestro.operators.windows import keep_best
+    df = spark.createDataFrame([("a", 1.0, 1, "e", "f", 2000, "critico"), ("a", 2.0, 2, "e", None, 2001, None)],
+                               "k string, p double, o long, evento_id string, source_file string, anio int, "
+                               "severidad_maxima string")
+    plan = _executed(keep_best(df, "k", "p", "o"))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    out = profile(df, "t").first().asDict()
+    assert out == {"tabla": "t", "filas": 2, "eventos": 1, "evento_id_nulos": 0, "source_files": 1, "anio_min": 2000,
+                   "anio_max": 2001, "criticos": 1}
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+    from siniestro.operators.aggregates import exact_quantiles
+    rng = np.random.default_rng(3)
+    x = np.concatenate((rng.normal(0, 1000, 501), np.repeat(7.5, 200), [-0.25, 0.0, 1e12]))
+    y = [None, 1.0, 1.0, 4.0]
+    rows = [(float(v), y[i % 4]) for i, v in enumerate(x)]
+    got = {r.variable: (r.q0, r.q1, r.q2) for r in
+           exact_quantiles(spark.createDataFrame(rows, "x double, y double"), ["x", "y"], (0.25, 0.5, 0.99)).collect()}
+    ys = [v for _, v in rows if v is not None]
+    for name, values in (("x", x), ("y", ys)):
+        assert np.allclose(got[name], np.quantile(values, (0.25, 0.5, 0.99)))
+
+
+def test_listings_without_a_cut(spark):
+    from conftest import SF_SMALL
+    from siniestro.plans import reports as R
+    from siniestro.plans.catalog import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    n = cat.physical("productores").count()
+    assert R.search_producers(cat, limit=None).count() == n
+    first = [r["id"] for r in R.search_producers(cat, limit=20).collect()]
+    every = sorted((r["productor"] or "", r["id"]) for r in R.search_producers(cat, limit=None).collect())
+    assert first == [i for _, i in every[:20]]
