@@ -12,7 +12,8 @@ layers are trained by stochastic gradient descent in numpy.
 * Calibration: a fifth of the sample takes no part in training.  The
   temperature that minimises its log loss calibrates the probabilities, and
   the rejection threshold is the confidence that all but ``REJECT`` of it
-  reach (at most one half).
+  reach, but no more than ``DOUBT`` times that of a pure guess: a text of one
+  known word is no reason to reject it.
 * Prediction: mean and linear layer are both linear, so each bucket's score
   for each language is computed once and a document's scores are sums over
   its subwords.  Whole texts, no shuffle.
@@ -43,6 +44,7 @@ DIMENSIONS = 16
 EPOCHS = 12
 RATE = 0.5
 REJECT = 0.001
+DOUBT = 1.5
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -137,7 +139,7 @@ def train(sample: Sample, epochs: int = EPOCHS, rate: float = RATE, reject: floa
         return float(np.mean(np.log(np.exp(x).sum(axis=1)) - x[np.arange(len(x)), truth]))
 
     model.temperature = min(np.geomspace(0.25, 8, 61), key=loss)
-    model.threshold = min(0.5, float(np.quantile(model.probabilities(logits).max(axis=1), reject)))
+    model.threshold = min(DOUBT / len(languages), 0.5, float(np.quantile(model.probabilities(logits).max(axis=1), reject)))
     return model
 
 

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from siniestro.llm import (
-    class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, pieces, sharding, simhash, substring_dedup)
+    class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, pieces, sharding, simhash,
+    substring_dedup)
+from siniestro.session import ship_package
+
+MODULES = (metric_tree, line_dedup, substring_dedup, license_scan, pieces, simhash, sharding, language_id,
+           decontamination, class_lm)
+
+
+def _with_code(query):
+    """The query, with the package on the executors."""
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
-MODULES = (metric_tree, line_dedup, substring_dedup, license_scan, pieces, simhash, sharding, language_id, decontamination, class_lm)
 
-QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
+QUERIES = {name: _with_code(query) for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
