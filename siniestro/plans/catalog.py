@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import standins
-from ..session import materialize_all
+from ..session import materialize_all, removals
 from ..functions.dates import year_start
 from ..functions.misc import stable_id
 from ..functions.text import normalize_key
@@ -61,14 +61,15 @@ def resolve(name: str, mode: str = MODE_CURRENT) -> str:
     return mapping.get(name, name)
 
 
-_STAGED: list[tuple[DataFrame, DataFrame, Curated]] = []
+_STAGED: list[tuple[DataFrame, DataFrame, int, Curated]] = []
 """Consolidations written in this process, with the inputs they were made of."""
 
 
 def staged_for(raw: DataFrame, registry: DataFrame) -> Curated | None:
     """The tables staged from the same inputs (same plan over the same files)."""
-    for known_raw, known_registry, curated in _STAGED:
-        if (known_raw.sparkSession.sparkContext.applicationId == raw.sparkSession.sparkContext.applicationId
+    application = raw.sparkSession.sparkContext.applicationId
+    for known_raw, known_registry, removed, curated in _STAGED:
+        if (known_raw.sparkSession.sparkContext.applicationId == application and removed == removals(raw.sparkSession)
                 and known_raw.sameSemantics(raw) and known_registry.sameSemantics(registry)):
             return curated
     return None
@@ -130,7 +131,7 @@ class Catalog:
         if curated is None:
             curated = consolidate(self.raw_clean, registry,
                                   stage_many=lambda frames: materialize_all(frames, "curated"))
-            _STAGED.append((raw, registry, curated))
+            _STAGED.append((raw, registry, removals(self.spark), curated))
         return curated
 
     @property

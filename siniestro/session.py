@@ -17,6 +17,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: dict[str, list[str]] = {}
+"""Folders that materialize() wrote, by application."""
+
+_REMOVALS: dict[str, int] = {}
+
 _SHIPPED: set[str] = set()
 """Applications that have the package."""
 
@@ -27,6 +32,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     # Small dimension tables (registries, lookups) are broadcast by size
     # statistics; anything above this stays a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -74,13 +80,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
-    What ``--py-files`` does at submission, for sessions that were started
-    without it: operators with Python tasks import their helpers there.
+def ready_for_python(spark: SparkSession) -> None:
+    """Make a session fit for operators with Python tasks.
+
+    Sends this package to the executors' Python workers, once per application
+    (what ``--py-files`` does at submission), and bounds Arrow batches by
+    bytes: ten thousand rows of whole texts may be any size.
     """
     context = spark.sparkContext
+    spark.conf.set(ARROW_BYTES, DEFAULT_CONF[ARROW_BYTES])
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
@@ -103,9 +114,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def removals(spark: SparkSession) -> int:
+    """How often this application's materialised tables were removed."""
+    return _REMOVALS.get(spark.sparkContext.applicationId, 0)
+
+
+def remove_materialized(spark: SparkSession) -> int:
+    """Delete what this application materialised; returns how many folders.
+
+    To be called when all results are written: frames that still read an
+    intermediate can't be computed afterwards.
+    """
+    application = spark.sparkContext.applicationId
+    paths = _WRITTEN.pop(application, [])
+    _REMOVALS[application] = removals(spark) + 1
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
+
+
 def materialize_all(frames: dict[str, DataFrame], prefix: str) -> dict[str, DataFrame]:
     """``materialize`` several independent tables concurrently: one Spark job
     per table, submitted from threads, so small jobs share the executors

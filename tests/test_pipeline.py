@@ -116,6 +116,16 @@ def test_staging_honours_its_own_inputs(spark):
     assert Catalog(spark, SF_SMALL).stage() is whole.stage()
 
 
+def test_materialized_tables_can_be_removed(spark):
+    from siniestro import session
+    known = session._WRITTEN.pop(spark.sparkContext.applicationId, [])   # other tests still read theirs
+    out = session.materialize(spark.range(3), "cleanup")
+    path = session._WRITTEN[spark.sparkContext.applicationId][0]
+    assert out.count() == 3 and os.path.isdir(path)
+    assert session.remove_materialized(spark) == 1 and not os.path.exists(path)
+    session._WRITTEN[spark.sparkContext.applicationId] = known
+
+
 def test_csv_quotes(spark):
     from siniestro.sources.landing import read_sheet, write_csv
     root = tempfile.mkdtemp(prefix="csv-")
