@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siniestro.llm import decontamination, language_id, line_dedup, pieces, simhash
-from siniestro.session import materialize, ship_package
+from siniestro.session import materialize, ready_for_python
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready_for_python(spark)
     return language_id.keep_known(docs, language_id.learn(docs))
 
 
@@ -32,17 +32,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready_for_python(spark)
     return simhash.keep_one(docs, simhash.SHINGLE, simhash.MAX_BITS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready_for_python(spark)
     return decontamination.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready_for_python(spark)
     return pieces.round_trip(docs)
 
 
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn; each one's rows are written as Parquet and read again by the next."""
-    ship_package(spark)
+    ready_for_python(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")

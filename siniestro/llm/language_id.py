@@ -44,7 +44,7 @@ DIMENSIONS = 16
 EPOCHS = 12
 RATE = 0.5
 REJECT = 0.001
-DOUBT = 1.5
+DOUBT = 1.3
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)

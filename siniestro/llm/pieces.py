@@ -45,7 +45,7 @@ from siniestro.llm.columns import set_aside
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 PENALTY = 10.0
-MEMO = 200_000
+MEMO = 150_000
 MEMO_CHARS = 64
 TOGETHER = 4 << 20
 """Bytes of text whose stretches are solved together (a longer text alone)."""

@@ -7,17 +7,17 @@ from functools import wraps
 from siniestro.llm import (
     class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, pieces, sharding, simhash,
     substring_dedup)
-from siniestro.session import ship_package
+from siniestro.session import ready_for_python
 
 MODULES = (metric_tree, line_dedup, substring_dedup, license_scan, pieces, simhash, sharding, language_id,
            decontamination, class_lm)
 
 
 def _with_code(query):
-    """The query, with the package on the executors."""
+    """The query, in a session fit for Python tasks."""
     @wraps(query)
     def run(spark, sf_dir):
-        ship_package(spark)
+        ready_for_python(spark)
         return query(spark, sf_dir)
 
     return run
