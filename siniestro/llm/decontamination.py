@@ -13,9 +13,12 @@ may stand in about equally large at any document length.
    takes, per chunk, the smallest hash of every bin (one-permutation MinHash,
    two bins per shingle of the class bound, at least 64).  An item is a
    candidate of a document if one of its bin minima is a bin minimum of a
-   chunk.  An item with containment 0.8 has most of its shingles in one or two
-   neighbouring chunks; some forty independent chances leave a miss
-   probability below 1e-6.
+   chunk.  Each shared shingle is a chance of its own, so an item needs some
+   of them: from nine shingles on, at least eight are shared at 0.8.
+   Items of the smallest class (up to eight shingles, twelve words) have too
+   few chances and are looked up exactly: an item that may lack m of its
+   shingles is found by any m + 1 of them, and every shingle of the document,
+   not only the bin minima, is looked up.
 3. ``contained`` - candidates are verified in the same task on the words
    themselves: the share of the item's distinct shingles that the document has.
 
@@ -67,6 +70,11 @@ def size_class(n: int) -> int:
     return max(SMALLEST, 1 << (n - 1).bit_length())
 
 
+def may_lack(n: int, containment: float) -> int:
+    """How many of its n shingles a contained item may lack."""
+    return n - min(k for k in range(n + 1) if k == n or k >= containment * n)
+
+
 def _bins(bound: int) -> int:
     """log2 of the number of bins of a class."""
     return max(6, (2 * bound).bit_length() - 1)
@@ -90,22 +98,31 @@ def bin_minima(hashes: np.ndarray, group: np.ndarray, bits: int) -> tuple[np.nda
 
 
 class _Block:
-    """What one pass searches for: per class the sorted bin minima of its items."""
+    """What one pass searches for: hashes and the items they stand for, sorted by hash.
 
-    def __init__(self, items: list[tuple[int | None, str | None]], shingle: int) -> None:
+    ``exact``: of the smallest class, as many of each item's shingles as a
+    document can't all lack; ``classes``: the bin minima of the others.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str | None]], shingle: int,
+                 containment: float = CONTAINMENT) -> None:
         self.shingle = shingle
         self.items = [(key, s) for key, text in items if (s := shingles_of(words_of(text), shingle))]
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
         for at, (_, grams) in enumerate(self.items):
             hashes = np.unique(_gram_hashes(sorted(grams), shingle))
             bound = size_class(len(grams))
-            low, _, _ = bin_minima(hashes, np.zeros(len(hashes), np.int64), _bins(bound))
+            if bound == SMALLEST:
+                low = hashes[:may_lack(len(grams), containment) + 1]
+            else:
+                low, _, _ = bin_minima(hashes, np.zeros(len(hashes), np.int64), _bins(bound))
             found[bound].append((low, np.full(len(low), at)))
         self.classes = {}
         for bound, parts in sorted(found.items()):
             low, at = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(low, kind="stable")
             self.classes[bound] = (low[order], at[order])
+        self.exact = self.classes.pop(SMALLEST, None)
 
 
 def _gram_hashes(grams: list[bytes], shingle: int) -> np.ndarray:
@@ -129,6 +146,15 @@ def _search(chunk: Chunk, block: _Block) -> set[tuple[int, int]]:
     doc = np.searchsorted(words.off, starts, side="right") - 1
     place = starts - words.off[doc]
     out: set[tuple[int, int]] = set()
+    if block.exact:
+        known, item = block.exact
+        left = np.searchsorted(known, hashes)
+        hit = np.flatnonzero(known[np.minimum(left, len(known) - 1)] == hashes)
+        left = left[hit]
+        right = np.searchsorted(known, hashes[hit], "right")
+        for i, at in enumerate(hit):
+            for j in item[left[i]:right[i]]:
+                out.add((int(doc[at]), int(j)))
     for bound, (low, item) in block.classes.items():
         piece = place // bound
         new = np.ones(len(starts), bool)
@@ -173,18 +199,19 @@ def _pass(docs: DataFrame, block: _Block, containment: float) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
-def item_blocks(items: DataFrame, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS) -> Iterator[_Block]:
+def item_blocks(items: DataFrame, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS,
+                containment: float = CONTAINMENT) -> Iterator[_Block]:
     """The items in blocks of about ``block_words`` words, one partition at a time on the driver."""
     held: list[tuple[int | None, str | None]] = []
     size = 0
     for row in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         n = len(row[1] or "") // 6 + 1
         if held and size + n > block_words:
-            yield _Block(held, shingle)
+            yield _Block(held, shingle, containment)
             held, size = [], 0
         held.append((row[0], row[1]))
         size += n
-    yield _Block(held, shingle)
+    yield _Block(held, shingle, containment)
 
 
 def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, shingle: int = SHINGLE,
@@ -192,7 +219,7 @@ def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMEN
     """(doc_id, item_id, n_shared, n_shingles): every item contained in a document."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     found = None
-    for block in item_blocks(items, shingle, block_words):
+    for block in item_blocks(items, shingle, block_words, containment):
         part = _pass(texts, block, containment)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_shared").alias("n_shared"))

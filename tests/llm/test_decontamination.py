@@ -46,6 +46,19 @@ def test_items_of_all_sizes_in_long_documents(spark):
     assert rows_of(contained(docs_of(spark, docs), items_of(spark, items), block_words=50)) == want
 
 
+def test_short_items_are_never_missed(spark):
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 50_000, n)]
+    items, docs = [], []
+    for k in range(3000):
+        text = word(5 + k % 8)
+        items.append((k, " ".join(text)))
+        copy = [*text[:-1], "changed"] if len(text) >= 9 and k % 16 >= 8 else text
+        docs.append((k, " ".join(word(int(rng.integers(20, 60))) + copy + word(40))))
+    got = rows_of(contained(docs_of(spark, docs), items_of(spark, items)))
+    assert {(i, j) for i, j, _, _ in got} == {(k, k) for k in range(3000)}
+
+
 def test_odd_rows(spark):
     docs = [*odd_rows(), (40, "a b c d e f g"), (40, "a b c d e f g"), (41, "A, b; c d-e f g!"), (None, "a b c d e f g")]
     items = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (3, ""), (4, "a b c"), (None, "b c d e f g")]
