@@ -45,6 +45,33 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < len(rows)
 
 
+WORDS = {"en": "the cat sat on a mat and then went out with another friend through rain while people were watching",
+         "de": "der hund und die katze sind nicht mehr auf dem weg nach hause weil es schon wieder regnet"}
+
+
+def sentences(lang, n, seed, words=WORDS):
+    rng = np.random.default_rng(seed)
+    return [" ".join(rng.choice(words[lang].split(), int(rng.integers(5, 120)))) for _ in range(n)]
+
+
+def test_foreign_and_gibberish_go_and_short_clean_texts_stay(spark):
+    known = [(1000 * k + i, t, lang) for k, lang in enumerate(WORDS) for i, t in enumerate(sentences(lang, 400, k))]
+    rng = np.random.default_rng(5)
+    gibberish = [" ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 7)) for _ in range(60)) for _ in range(40)]
+    foreign = {"fi": "kaikki ihmiset syntyv\u00e4t vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu",
+               "ru": "\u0432\u0441\u0435 \u043b\u044e\u0434\u0438 \u0440\u043e\u0436\u0434\u0430\u044e\u0442\u0441\u044f "
+                     "\u0441\u0432\u043e\u0431\u043e\u0434\u043d\u044b\u043c\u0438 \u0438 \u0440\u0430\u0432\u043d\u044b\u043c\u0438"}
+    away = gibberish + [t for lang in foreign for t in sentences(lang, 40, 7, foreign)]
+    clean = [t for lang in WORDS for t in sentences(lang, 100, 8)]
+    short = [w for text in WORDS.values() for w in text.split()] + ["on the mat", "der hund", "Die Katze!"]
+    model = learn(docs_of(spark, known))
+    rejected = {r.text: r.rejected for r in predict(docs_of(spark, list(enumerate(away + clean + short))), model,
+                                                    F.col("text")).collect()}
+    assert sum(rejected[t] for t in away) >= 0.95 * len(away)
+    assert sum(rejected[t] for t in clean) <= 0.02 * len(clean)
+    assert not any(rejected[t] for t in short)
+
+
 def test_without_labels(spark):
     docs = docs_of(spark, [(1, "some text"), (2, None), (3, "12")])
     model = learn(docs)
