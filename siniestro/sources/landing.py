@@ -14,11 +14,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_staging_header
 from ..plans.layouts import Sheet, SheetGroup, check_ordinals, is_agricultural
+from ..session import materialize
 
 # --- fixed values ------------------------------------------------------------
 WORKBOOK_EXTENSIONS = ("xlsx", "xls", "xlsm")
@@ -125,25 +126,37 @@ def read_landing(spark: SparkSession, path: str) -> dict[str, list[Sheet]]:
 
 def read_group(spark: SparkSession, sheets: Sequence[Landed]) -> SheetGroup:
     """Landed sheets with one header as one scan: file and sheet come from the
-    path of each row, rows are numbered per sheet in file order."""
+    path of each row, rows are numbered per sheet in file order.
+
+    A multi-line file is read by one task, so its rows have consecutive ids.
+    The rows are written once with their ids; a row's number is its distance
+    from the file's first row plus the rows of the sheet's files before it, so
+    no task holds a sheet.  The driver reads one count per file."""
     header = list(sheets[0].header)
     places = []
     for s in sheets:
         check_ordinals(s.file_ordinal, s.sheet_ordinal)
         places += [(_plain(p), i, s.source_file, s.source_sheet, s.file_ordinal, s.sheet_ordinal)
                    for i, p in enumerate(s.paths)]
-    # as many rows as the listing has files
-    known = F.broadcast(spark.createDataFrame(
-        places, "__key string, __part int, __file string, __sheet string, __fidx int, __sidx int"))
     raw = (spark.read.schema(", ".join(f"`{i}` string" for i in range(len(header)))).option("header", True)
            .option("multiLine", True).option("encoding", "UTF-8").option("nullValue", "").option("escape", '"')
            .csv([p for s in sheets for p in s.paths]))
     path = F.replace(F.regexp_replace("_metadata.file_path", "^[^:]*:", ""), F.lit("+"), F.lit("%2B"))
     key = F.ltrim(F.url_decode(path), F.lit("/"))
-    rows = raw.select("*", key.alias("__key"), F.monotonically_increasing_id().alias("__id")).join(known, "__key")
-    order = Window.partitionBy("__file", "__sheet").orderBy("__part", "__id")
+    rows = materialize(raw.select("*", key.alias("__key"), F.monotonically_increasing_id().alias("__id")), "landing-group")
+    found = {r["__key"]: (r["first"], r["n"]) for r in
+             rows.groupBy("__key").agg(F.min("__id").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
+    shifts, before = [], {}
+    for place in places:  # a sheet's files in order
+        first, n = found.get(place[0], (0, 0))
+        shifts.append((*place, before.get(place[2:4], 0) - first))
+        before[place[2:4]] = before.get(place[2:4], 0) + n
+    # as many rows as the listing has files
+    known = F.broadcast(spark.createDataFrame(
+        shifts, "__key string, __part int, __file string, __sheet string, __fidx int, __sidx int, __shift long"))
+    rows = rows.join(known, "__key")
     return SheetGroup(rows.select(*[F.col(f"`{i}`").alias(c) for i, c in enumerate(header)],
-                                  (F.row_number().over(order) - 1).cast("long").alias("__row"),
+                                  (F.col("__id") + F.col("__shift")).alias("__row"),
                                   "__file", "__sheet", "__fidx", "__sidx"), is_agricultural(sheets[0].source_sheet))
 
 

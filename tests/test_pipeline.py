@@ -188,3 +188,24 @@ def test_inventory_reports_header_problems(spark):
     assert inv[("ROTO 2012.xlsx", "Hoja1")]["error"].startswith("HeaderError")
     assert inv[("DTO 2009-277 GANADERO.xlsx", "Hoja1")]["error"] is None
     assert inv[("DTO 2001-133 AGRICOLAS.xlsx", "N2")]["filas"] == 0
+
+
+def test_group_rows_are_numbered_without_gathering_a_sheet(spark):
+    from siniestro.sources.landing import list_sheets, read_group
+    root = tempfile.mkdtemp(prefix="landing-parts-")
+    want = set()
+    for book in ("A.xlsx", "B.xlsx"):
+        os.makedirs(f"{root}/{book}/hoja.csv")
+        n = 0
+        for part, size in enumerate((3, 0, 700, 1, 40)):
+            lines = ["a,b"]
+            for i in range(size):
+                lines.append(f'{book}{part}-{i},"x\ny"' if i % 3 else f"{book}{part}-{i},")
+                want.add((book, n, f"{book}{part}-{i}"))
+                n += 1
+            with open(f"{root}/{book}/hoja.csv/part-{part:05d}.csv", "w") as f:
+                f.write("\n".join(lines) + "\n")
+    frame = read_group(spark, list_sheets(spark, root)).frame
+    assert {(r["__file"], r["__row"], r["a"]) for r in frame.collect()} == want
+    assert frame.count() == len(want)
+    assert "row_number" not in frame._jdf.queryExecution().toString()
