@@ -5,12 +5,12 @@ from __future__ import annotations
 from functools import wraps
 
 from siniestro.llm import (
-    class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, pieces, sharding, simhash,
-    substring_dedup)
+    class_lm, decontamination, language_id, license_scan, line_dedup, metric_tree, mixing, pieces, prefix_trie, sharding,
+    simhash, substring_dedup, walsh_clusters)
 from siniestro.session import ready_for_python
 
 MODULES = (metric_tree, line_dedup, substring_dedup, license_scan, pieces, simhash, sharding, language_id,
-           decontamination, class_lm)
+           decontamination, class_lm, prefix_trie, mixing, walsh_clusters)
 
 
 def _with_code(query):
