@@ -90,7 +90,7 @@ def test_turnless_and_empty(spark):
 
 
 def test_extra_columns_are_ignored(spark):
-    frame = spark.createDataFrame([(1, 0, "a", "b", 5, "x")], TURNS + ", conv int, h string")
+    frame = spark.createDataFrame([(20, 0, "a", "b", 5, "x")], TURNS + ", conv int, h string")
     assert len(collected(prefix_trie(rebuilt(conversations(frame))))) == 2
 
 
