@@ -1,5 +1,12 @@
 """Harmonisation job (A7, B12): registry-driven layouts over landed sheets,
-then the registry mapping and quality flags (K), then consolidation (L)."""
+then the registry mapping and quality flags (K), then consolidation (L).
+
+One job for all files: their cells are one table (``sources.cells``), their
+layouts are joined to it as data (``plans.layouts``).  What is wrong with a
+file is data, too: a workbook whose header is ambiguous, or of which a record
+is cut off, ragged or not UTF-8, gets the status ``error`` with the first
+problem found, gives no rows, and stops nothing.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +18,10 @@ from pyspark.sql import functions as F
 
 from ..operators.consolidate import Curated, consolidate
 from ..operators.quality import add_quality_flags, apply_event_mapping
-from ..operators.setops import union_all
 from ..schema import OUTPUT_COLUMNS
 from ..session import materialize, materialize_all
-from .layouts import (LAYOUTS, HeaderError, Sheet, harmonise_group, harmonise_workbook, is_agricultural,
-                      normalised_names, select_sheets)
+from ..sources.cells import Cells, Landed, all_flaws, cells_of, read_cells
+from .layouts import LAYOUTS, harmonise_rows, picks, select_sheets, sheet_rows
 
 # --- fixed values: per-file status ------------------------------------------------
 STATUS_OK = "ok"
@@ -31,78 +37,78 @@ class Harmonised:
     status: DataFrame
 
 
-def _result(spark: SparkSession, frames: list[DataFrame], status: list[tuple], registry: DataFrame | None) -> Harmonised:
-    """The harmonised rows, written once, and the files' status counted on them."""
-    if frames:
-        clean = union_all(frames)
-    else:
-        from ..schema import RAW_CLEAN_SCHEMA
-        clean = spark.createDataFrame([], RAW_CLEAN_SCHEMA).withColumn("row_id", F.lit(None).cast("long"))
+def chosen_sheets(sheets: Sequence[Landed], formats: Sequence[tuple[str, str]]) -> tuple[list, list]:
+    """What the registry says of the listing, metadata only: the sheets to read
+    as (number in the listing, sheet, layout), and each file's status so far."""
+    by_file: dict[str, list[int]] = {}
+    for number, s in enumerate(sheets):
+        by_file.setdefault(s.source_file, []).append(number)
+    chosen, status = [], []
+    for archivo, formato in formats:
+        if formato not in LAYOUTS:
+            status.append((archivo, formato, STATUS_UNKNOWN_LAYOUT, None))
+            continue
+        if archivo not in by_file:
+            status.append((archivo, formato, STATUS_MISSING, archivo))
+            continue
+        wanted = select_sheets(LAYOUTS[formato], [sheets[n] for n in by_file[archivo]])
+        if not wanted:
+            status.append((archivo, formato, STATUS_ERROR, "FileNotFoundError: no sheet to read"))
+            continue
+        chosen += [(n, sheets[n], formato) for n in by_file[archivo] if sheets[n] in wanted]
+        status.append((archivo, formato, STATUS_OK, None))
+    return chosen, status
+
+
+def harmonise_cells(spark: SparkSession, cells: Cells, formats: Sequence[tuple[str, str]],
+                    registry: DataFrame | None = None) -> Harmonised:
+    """B12 + A7: every registered file's layout over all cells at once."""
+    chosen, status = chosen_sheets(cells.sheets, formats)
+    sheets = sheet_rows(spark, chosen)
+    first = (all_flaws(cells).join(sheets, "sheet").groupBy("source_file")
+             .agg(F.min_by(F.concat(F.col("problem"), F.lit(" ("), F.col("source_sheet"), F.lit(")")), "sidx").alias("problem")))
+    broken = materialize(first, "harmonise-broken")  # at most one row per file
+    good = sheets.join(F.broadcast(broken), "source_file", "left_anti")
+    parts = materialize(picks(cells.heads, good), "harmonise-parts")
+    clean = harmonise_rows(cells, parts)
     if registry is not None:
         clean = add_quality_flags(apply_event_mapping(clean, registry))
     clean = materialize(clean.select(*OUTPUT_COLUMNS, "row_id"), "harmonised")
-    st = spark.createDataFrame(status, "archivo string, formato string, estado string, error string")
-    counts = clean.groupBy(F.col("source_file").alias("archivo")).agg(F.count(F.lit(1)).alias("filas"))
-    st = (st.join(counts, "archivo", "left")
-            .withColumn("filas", F.when(F.col("estado") == STATUS_OK, F.coalesce("filas", F.lit(0))).otherwise(F.lit(0)))
-            .select("archivo", "formato", "estado", "filas", "error"))
+    counts = clean.groupBy(F.col("source_file").alias("archivo")).agg(F.count(F.lit(1)).alias("n"))
+    known = spark.createDataFrame(status, "archivo string, formato string, estado string, error string")
+    bad = F.col("problem").isNotNull() & (F.col("estado") == STATUS_OK)
+    st = (known.join(broken.withColumnRenamed("source_file", "archivo"), "archivo", "left").join(counts, "archivo", "left")
+          .withColumns({"error": F.when(bad, F.col("problem")).otherwise(F.col("error")),
+                        "estado": F.when(bad, F.lit(STATUS_ERROR)).otherwise(F.col("estado"))})
+          .withColumn("filas", F.when(F.col("estado") == STATUS_OK, F.coalesce("n", F.lit(0))).otherwise(F.lit(0)).cast("long"))
+          .select("archivo", "formato", "estado", "filas", "error"))
     return Harmonised(clean, st)
 
 
-def harmonise(spark: SparkSession, sheets: Mapping[str, Sequence[Sheet]], formats: Sequence[tuple[str, str]],
+def harmonise(spark: SparkSession, workbooks: Mapping[str, Sequence], formats: Sequence[tuple[str, str]],
               registry: DataFrame | None = None) -> Harmonised:
-    """B12 + A7 over frames: apply each registered file's layout; a file with
-    an unknown layout, no sheets or a broken header becomes a status row and
-    never stops the run."""
-    frames, status = [], []
-    for archivo, formato in formats:
-        if formato not in LAYOUTS:
-            status.append((archivo, formato, STATUS_UNKNOWN_LAYOUT, None))
-            continue
-        if archivo not in sheets:
-            status.append((archivo, formato, STATUS_MISSING, archivo))
-            continue
-        try:
-            frames.append(harmonise_workbook(formato, sheets[archivo]))
-            status.append((archivo, formato, STATUS_OK, None))
-        except (HeaderError, FileNotFoundError, KeyError) as exc:
-            status.append((archivo, formato, STATUS_ERROR, f"{type(exc).__name__}: {exc}"))
-    return _result(spark, frames, status, registry)
+    """:func:`harmonise_cells` over sheets that are frames."""
+    return harmonise_cells(spark, cells_of(spark, workbooks), formats, registry)
 
 
 def harmonise_landing(spark: SparkSession, path: str, formats: Sequence[tuple[str, str]],
                       registry: DataFrame | None = None) -> Harmonised:
-    """B12 + A7 over the landing zone.  Sheets that share layout and header
-    are read by one scan and projected once: the plan grows with the number
-    of different headers, not of files.  Header problems are found on the
-    listing and become status rows."""
-    from ..sources.landing import list_sheets, read_group
-    by_file: dict[str, list] = {}
-    for s in list_sheets(spark, path):
-        by_file.setdefault(s.source_file, []).append(s)
-    groups: dict[tuple, list] = {}
-    status = []
-    for archivo, formato in formats:
-        if formato not in LAYOUTS:
-            status.append((archivo, formato, STATUS_UNKNOWN_LAYOUT, None))
-            continue
-        if archivo not in by_file:
-            status.append((archivo, formato, STATUS_MISSING, archivo))
-            continue
-        try:
-            chosen = select_sheets(LAYOUTS[formato], by_file[archivo])
-            if not chosen:
-                raise FileNotFoundError("no sheet to read")
-            for s in chosen:
-                normalised_names(s.header)
-            for s in chosen:
-                groups.setdefault((formato, s.header, is_agricultural(s.source_sheet)), []).append(s)
-            status.append((archivo, formato, STATUS_OK, None))
-        except (HeaderError, FileNotFoundError) as exc:
-            status.append((archivo, formato, STATUS_ERROR, f"{type(exc).__name__}: {exc}"))
-    frames = [harmonise_group(LAYOUTS[formato], read_group(spark, members))
-              for (formato, _, _), members in groups.items()]
-    return _result(spark, frames, status, registry)
+    """:func:`harmonise_cells` over the landing zone: one scan of the files that the registry wants."""
+    from ..sources.landing import list_sheets
+    sheets = list_sheets(spark, path)
+    wanted = {n for n, _, _ in chosen_sheets(sheets, formats)[0]}
+    few = [s if n in wanted else Landed(s.source_file, s.source_sheet, s.file_ordinal, s.sheet_ordinal)
+           for n, s in enumerate(sheets)]
+    return harmonise_cells(spark, read_cells(spark, few), formats, registry)
+
+
+def harmonise_workbook(spark: SparkSession, layout_name: str, sheets: Sequence) -> DataFrame:
+    """B12 for one workbook of frames: its layout over the sheets it reads, not written yet."""
+    cells = cells_of(spark, {sheets[0].source_file: sheets})
+    chosen, status = chosen_sheets(cells.sheets, [(sheets[0].source_file, layout_name)])
+    if status[0][2] != STATUS_OK:
+        raise FileNotFoundError(status[0][3])
+    return harmonise_rows(cells, materialize(picks(cells.heads, sheet_rows(spark, chosen)), "harmonise-parts"))
 
 
 def run_pipeline(spark: SparkSession, landing: str, formats: Sequence[tuple[str, str]],

@@ -1,30 +1,29 @@
 """Sheet layouts -> the 47-column harmonised table.
 
-Sheets that share layout and header are one group: one frame, one projection,
-however many files they come from.
-
 Each historical spreadsheet layout is a declarative spec: for every target
 column, the header candidates (the first one *present in the sheet header*
-wins -- a plan-time choice, T1), constants, mirrored columns, where year and
-decree come from, and sheet-level rules.  A spec compiles, per distinct
-header, into one ``select``; all sheets are then unioned by name and
-finalised in one projection.  Sheet-level tests ("is the activity column
-empty in this whole sheet?") are one small aggregate per sheet joined back.
+wins -- decided per header, never per row, T1), constants, mirrored columns,
+where year and decree come from, and sheet-level rules.
+
+Specs are data to the job: ``rule_rows`` is a table of (layout, target, rank,
+header).  Joined with the headers of all sheets it gives, per file, the place
+of every target among its cells; the rows then pick their cells by index.  So
+one projection serves all sheets of all layouts, and the plan depends neither
+on the number of files nor on their headers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.misc import first_existing
 from ..functions.numeric import numeric_chars, parse_numeric_chars
 from ..functions.text import build_period, clean_stripped_text, extract_decree, extract_year, norm_header, strip_ws
 from ..schema import NUMERIC_COLUMNS, OUTPUT_COLUMNS, OUTPUT_TYPES, TEXT_COLUMNS
+from ..sources.cells import Cells, Landed, header_names
 
 
 @dataclass(frozen=True)
@@ -201,49 +200,39 @@ LAYOUTS: dict[str, Layout] = {
 # ---------------------------------------------------------------------------------
 
 
-@dataclass
-class Sheet:
-    """One landed sheet: string columns with the raw header, plus the
-    ``__row`` ordinal (0-based, file order)."""
-    source_file: str
-    source_sheet: str
-    frame: DataFrame
-    file_ordinal: int = 0
-    sheet_ordinal: int = 0
-
-
-META = ("__row", "__file", "__sheet", "__fidx", "__sidx")
 MAX_FILES, MAX_SHEETS = 1 << 19, 1 << 10
 
-
-@dataclass
-class SheetGroup:
-    """Sheets of one layout with one header: the raw string columns plus
-    ``__file`` and ``__sheet`` (names), ``__fidx`` and ``__sidx`` (ordinals)
-    and ``__row``.  ``agricultural``: what the names say (the side rule)."""
-    frame: DataFrame
-    agricultural: bool = False
+# What a sheet's cells are picked for: the columns of the table, and four uses of its header alone.
+DECREE, HAS_AGRI, HAS_LIVESTOCK, CROP_HEADER = "__decree", "__agri", "__livestock", "__crop"
+TARGETS = [*OUTPUT_COLUMNS, DECREE, HAS_AGRI, HAS_LIVESTOCK, CROP_HEADER]
 
 
-class HeaderError(ValueError):
-    pass
+def layout_fields(layout: Layout) -> dict[str, tuple[str, ...]]:
+    """Target -> header candidates, mirrored columns and header uses included; constants are no fields."""
+    fields = dict(layout.fields)
+    fields.update({t: layout.fields[src] for t, src in layout.mirrors.items() if src in layout.fields})
+    if layout.decree:
+        fields[DECREE] = layout.decree
+    if layout.side_rule == "presence":
+        fields[HAS_AGRI], fields[HAS_LIVESTOCK] = PRESENCE_AGRI, PRESENCE_LIVESTOCK
+    if layout.activity_if_crop:
+        fields[CROP_HEADER] = ("CULTIVO",)
+    return {t: c for t, c in fields.items() if t not in layout.constants}
 
 
-def normalised_names(raw: Sequence[str]) -> list[str]:
-    """C5 on a header; two columns normalising to one name fail the sheet."""
-    names = [norm_header(c) for c in raw]
-    dupes = sorted({n for n in names if names.count(n) > 1})
-    if dupes:
-        raise HeaderError(f"duplicate normalised headers: {dupes}")
-    return names
+def rule_rows(spark: SparkSession) -> DataFrame:
+    """(layout, target, rank, name): which normalised headers feed which target, best first."""
+    rows = [(name, TARGETS.index(t), rank, header) for name, layout in LAYOUTS.items()
+            for t, candidates in layout_fields(layout).items() for rank, header in enumerate(candidates)]
+    return spark.createDataFrame(rows, "layout string, target int, rank int, name string")
 
 
-def normalise_header(df: DataFrame) -> DataFrame:
-    """C5 on a frame's header; the meta columns stay."""
-    raw = [c for c in df.columns if c not in META]
-    names = normalised_names(raw)
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw, names)],
-                     *[c for c in META if c in df.columns])
+def layout_rows(spark: SparkSession) -> DataFrame:
+    """One row per layout: constants by target, and its rules."""
+    rows = [(name, [None if x.constants.get(t) is None else str(x.constants[t]) for t in TARGETS], x.period,
+             x.activity_from_sheet, x.activity_if_crop, x.side_rule) for name, x in LAYOUTS.items()]
+    return spark.createDataFrame(rows, "layout string, constants array<string>, period string, activity_from_sheet string, "
+                                       "activity_if_crop string, side_rule string")
 
 
 def is_agricultural(source_sheet: str) -> bool:
@@ -256,21 +245,12 @@ def check_ordinals(file_ordinal: int, sheet_ordinal: int) -> None:
         raise ValueError(f"file {file_ordinal}, sheet {sheet_ordinal}: more than a row id can tell apart")
 
 
-def group_of(sheet: Sheet) -> SheetGroup:
-    """One sheet as a group of its own."""
-    check_ordinals(sheet.file_ordinal, sheet.sheet_ordinal)
-    return SheetGroup(sheet.frame.select(
-        "*", F.lit(sheet.source_file).alias("__file"), F.lit(sheet.source_sheet).alias("__sheet"),
-        F.lit(sheet.file_ordinal).alias("__fidx"), F.lit(sheet.sheet_ordinal).alias("__sidx")),
-        is_agricultural(sheet.source_sheet))
-
-
 def file_stem(source_file: Column) -> Column:
     """The file's name without its extension."""
     return F.regexp_replace(source_file, r"\.[^.]*$", "")
 
 
-def select_sheets(layout: Layout, sheets: Sequence[Sheet]) -> list[Sheet]:
+def select_sheets(layout: Layout, sheets: Sequence[Landed]) -> list[Landed]:
     """Which sheets of a workbook the layout reads (first / all / named)."""
     if not sheets:
         return []
@@ -282,92 +262,89 @@ def select_sheets(layout: Layout, sheets: Sequence[Sheet]) -> list[Sheet]:
     return [s for s in ordered if s.source_sheet == layout.sheets]
 
 
-def project_group(layout: Layout, group: SheetGroup) -> DataFrame:
-    """A group of sheets -> the harmonised columns (raw, before cleaning)."""
-    df = normalise_header(group.frame)
-    header = set(df.columns)
-    cols: dict[str, Column] = {t: first_existing(df, cands) for t, cands in layout.fields.items()
-                               if any(c in header for c in cands)}
-    for t, v in layout.constants.items():
-        cols[t] = F.lit(v)
-    for t, src in layout.mirrors.items():
-        if src in cols:
-            cols[t] = cols[src]
-    stem = file_stem(F.col("__file"))
-    file_year, file_decree = extract_year(stem), extract_decree(stem)
-    if layout.period == "file":
-        cols["anio"], cols["dto"] = file_year, file_decree
-    elif layout.period in ("decree", "decree_or_file"):
-        dec = first_existing(df, layout.decree)
-        y, d = extract_year(dec), extract_decree(dec)
-        if layout.period == "decree_or_file":
-            y, d = F.coalesce(y, file_year), F.coalesce(d, file_decree)
-        cols["anio"], cols["dto"] = y, d
-    if layout.period != "fixed":
-        cols["periodo"] = build_period(cols["anio"], cols["dto"])
-    if layout.activity_from_sheet == "always":
-        cols["actividad"] = F.col("__sheet")
-    if layout.side_rule == "sheet_name":
-        for t in LIVESTOCK_SIDE if group.agricultural else AGRI_SIDE:
-            cols.pop(t, None)
-    hidden = []
-    if layout.side_rule == "presence":
-        hidden = [first_existing(df, PRESENCE_AGRI).isNotNull().alias("__pa"),
-                  first_existing(df, PRESENCE_LIVESTOCK).isNotNull().alias("__pl")]
+def sheet_rows(spark: SparkSession, chosen: Sequence[tuple[int, Landed, str]]) -> DataFrame:
+    """One row per sheet to read: (number, sheet, layout) as data."""
+    rows = []
+    for number, s, layout in chosen:
+        check_ordinals(s.file_ordinal, s.sheet_ordinal)
+        rows.append((number, s.source_file, s.source_sheet, s.file_ordinal, s.sheet_ordinal, layout,
+                     is_agricultural(s.source_sheet)))
+    return spark.createDataFrame(rows, "sheet int, source_file string, source_sheet string, fidx int, sidx int, "
+                                       "layout string, agricultural boolean")
+
+
+def picks(heads: DataFrame, sheets: DataFrame) -> DataFrame:
+    """One row per file part: its sheet's facts and ``picks``, the place of each target among its cells.
+
+    Small tables only: header cells, sheets, rules.
+    """
+    spark = heads.sparkSession
+    found = (header_names(heads).join(sheets.select("sheet", "layout"), "sheet").join(rule_rows(spark), ["layout", "name"])
+             .groupBy("part", "target").agg(F.min_by("pos", "rank").alias("pos"))
+             .groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("target", "pos"))).alias("of")))
+    place = F.transform(F.sequence(F.lit(0), F.lit(len(TARGETS) - 1)), lambda t: F.coalesce(
+        F.try_element_at("of", t), F.lit(-1)))
+    stem = file_stem(F.col("source_file"))
+    return (heads.select("part", "sheet").join(sheets, "sheet").join(layout_rows(spark), "layout")
+            .join(found, "part", "left").withColumn("picks", F.coalesce(
+                F.when(F.col("of").isNotNull(), place), F.array_repeat(F.lit(-1), len(TARGETS)))).drop("of")
+            .withColumns({"file_year": extract_year(stem), "file_decree": extract_decree(stem)}))
+
+
+def cell(target: str) -> Column:
+    """The row's cell for ``target``: null where its header has no candidate."""
+    return F.get("cells", F.get("picks", F.lit(TARGETS.index(target))))
+
+
+def sheet_facts(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rules decided from a whole sheet's content: one aggregate over the sheets that need it.
+
+    ``has_activity``, ``has_agri``, ``has_livestock``: any row has such a cell.
+    """
+    needs = F.col("activity_if_crop").isNotNull() | (F.col("activity_from_sheet") == "if_empty") | (
+        F.col("side_rule") == "presence")
+    some = rows.join(F.broadcast(parts.filter(F.coalesce(needs, F.lit(False))).select("part", "picks")), "part")
+    return some.groupBy("sheet").agg(
+        F.max(cell("actividad").isNotNull()).alias("has_activity"), F.max(cell(HAS_AGRI).isNotNull()).alias("has_agri"),
+        F.max(cell(HAS_LIVESTOCK).isNotNull()).alias("has_livestock"))
+
+
+def project_rows(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """All rows of all layouts -> the harmonised columns (raw, before cleaning).
+
+    ``parts`` has one row per file of the listing, so it is broadcast.
+    """
+    df = rows.drop("sheet").join(F.broadcast(parts), "part")
+    made: dict[str, Column] = {}
+    for i, target in enumerate(OUTPUT_COLUMNS):
+        made[target] = F.coalesce(F.get("constants", F.lit(i)), cell(target))
+    by_period = lambda own, file, fixed: (
+        F.when(F.col("period") == "fixed", fixed).when(F.col("period") == "file", F.col(file))
+        .when(F.col("period") == "decree", own).otherwise(F.coalesce(own, F.col(file))))
+    decree = cell(DECREE)
+    df = df.select("*", by_period(extract_year(decree), "file_year", made["anio"].cast("int")).alias("__anio"),
+                   by_period(extract_decree(decree), "file_decree", made["dto"]).alias("__dto"))
+    made["anio"], made["dto"] = F.col("__anio").cast("string"), F.col("__dto")
+    made["periodo"] = F.when(F.col("period") == "fixed", made["periodo"]).otherwise(build_period("__anio", "__dto"))
+    empty = ~F.coalesce(F.col("has_activity"), F.lit(False))
+    crop = F.col("activity_if_crop").isNotNull() & (F.get("picks", F.lit(TARGETS.index(CROP_HEADER))) >= 0)
+    from_sheet = F.col("activity_from_sheet")
+    made["actividad"] = (F.when((from_sheet == "always") | ((from_sheet == "if_empty") & empty), F.col("source_sheet"))
+                         .when(crop & empty, F.col("activity_if_crop")).otherwise(made["actividad"]))
+    by_name, by_presence = F.col("side_rule") == "sheet_name", F.col("side_rule") == "presence"
+    agri, livestock = F.col("has_agri"), F.col("has_livestock")
+    no_livestock = (by_name & F.col("agricultural")) | (by_presence & agri & ~livestock)
+    no_agri = (by_name & ~F.col("agricultural")) | (by_presence & livestock & ~agri)
+    for side, gone in ((LIVESTOCK_SIDE, no_livestock), (AGRI_SIDE, no_agri)):
+        for target in side:
+            made[target] = F.when(~F.coalesce(gone, F.lit(False)), made[target])
+    made["source_file"], made["source_sheet"] = F.col("source_file"), F.col("source_sheet")
     # ingest order: (file, sheet, row) packed into one long, see check_ordinals
-    row_id = F.col("__fidx").cast("long") * (1 << 44) + F.col("__sidx").cast("long") * (1 << 34) + F.col("__row")
-    out = df.select(row_id.alias("row_id"), *[c.cast("string").alias(t) for t, c in cols.items()], *hidden,
-                    F.col("__file").alias("source_file"), F.col("__sheet").alias("source_sheet"))
-    return apply_sheet_rules(layout, out, has_crop_header="CULTIVO" in header)
-
-
-def apply_sheet_rules(layout: Layout, out: DataFrame, has_crop_header: bool) -> DataFrame:
-    """Rules decided per sheet from the whole sheet's content: one aggregate
-    row per (file, sheet), joined back on that key."""
-    exprs = []
-    if layout.activity_if_crop or layout.activity_from_sheet == "if_empty":
-        if "actividad" not in out.columns:
-            out = out.withColumn("actividad", F.lit(None).cast("string"))
-        exprs.append(F.max(F.col("actividad").isNotNull()).alias("__has_activity"))
-    if layout.side_rule == "presence":
-        exprs += [F.max("__pa").alias("__has_agri"), F.max("__pl").alias("__has_livestock")]
-    if not exprs:
-        return out
-    keys = ["source_file", "source_sheet"]
-    # one fact row per (file, sheet), no more rows than the driver's own file
-    # listing: broadcast it (a shuffle join on a key every row of the sheet
-    # shares would put the whole sheet in one task)
-    out = out.join(F.broadcast(out.groupBy(*keys).agg(*exprs)), on=keys, how="left")
-    empty_activity = ~F.coalesce(F.col("__has_activity"), F.lit(False)) if "__has_activity" in out.columns else None
-    if layout.activity_if_crop and has_crop_header:
-        out = out.withColumn("actividad", F.when(empty_activity, F.lit(layout.activity_if_crop)).otherwise(F.col("actividad")))
-    if layout.activity_from_sheet == "if_empty":
-        out = out.withColumn("actividad", F.when(empty_activity, F.col("source_sheet")).otherwise(F.col("actividad")))
-    if layout.side_rule == "presence":
-        agri, liv = F.col("__has_agri"), F.col("__has_livestock")
-        sides = {t: F.when(agri & ~liv, F.lit(None).cast("string")).otherwise(F.col(t))
-                 for t in LIVESTOCK_SIDE if t in out.columns}
-        sides.update({t: F.when(liv & ~agri, F.lit(None).cast("string")).otherwise(F.col(t))
-                      for t in AGRI_SIDE if t in out.columns})
-        out = out.withColumns(sides)
-    return out.drop(*[c for c in out.columns if c.startswith(("__has", "__pa", "__pl"))])
-
-
-_EXPR_CACHE: dict[tuple, Column] = {}
+    row_id = F.col("fidx").cast("long") * (1 << 44) + F.col("sidx").cast("long") * (1 << 34) + F.col("row")
+    return df.select(row_id.alias("row_id"), *[c.cast("string").alias(t) for t, c in made.items()])
 
 
-def _cached(kind: str, name: str, build) -> Column:
-    """Column expressions are immutable: build each (kind, column) once per
-    Spark application instead of once per sheet (saves driver round trips
-    when many sheets share the harmonised column names)."""
-    from pyspark import SparkContext
-    key = (SparkContext._active_spark_context.applicationId, kind, name)
-    if key not in _EXPR_CACHE:
-        _EXPR_CACHE[key] = build()
-    return _EXPR_CACHE[key]
-
-
-def finalize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def finalize(df: DataFrame) -> DataFrame:
     """The 47 columns in order, C1 on text, C2 on numbers, C3 on the
     year; rows empty in every column but file/sheet are dropped (T7: a
     layout with constants never drops a row).
@@ -375,23 +352,17 @@ def finalize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     Two projections: the first computes each stripped / filtered string
     once; the second parses them (Catalyst keeps the two apart because each
     intermediate is used several times)."""
-    present = set(columns) if columns is not None else set(df.columns)
-    src = lambda c: F.col(c) if c in present else F.lit(None).cast("string")
     stage = df.select(
         "row_id",
-        *[_cached("strip", c, lambda c=c: strip_ws(F.col(c).cast("string")).alias(f"__t_{c}"))
-          for c in TEXT_COLUMNS if c in present],
-        *[_cached("chars", c, lambda c=c: numeric_chars(F.col(c)).alias(f"__n_{c}"))
-          for c in NUMERIC_COLUMNS if c in present],
-        *[src(c).alias(c) for c in OUTPUT_COLUMNS if c not in TEXT_COLUMNS and c not in NUMERIC_COLUMNS])
+        *[strip_ws(F.col(c)).alias(f"__t_{c}") for c in TEXT_COLUMNS],
+        *[numeric_chars(F.col(c)).alias(f"__n_{c}") for c in NUMERIC_COLUMNS],
+        *[F.col(c) for c in OUTPUT_COLUMNS if c not in TEXT_COLUMNS and c not in NUMERIC_COLUMNS])
     cols = []
     for c in OUTPUT_COLUMNS:
-        if c in (TEXT_COLUMNS + NUMERIC_COLUMNS) and c not in present:
-            e = F.lit(None)
-        elif c in TEXT_COLUMNS:
-            e = _cached("text", c, lambda c=c: clean_stripped_text(F.col(f"__t_{c}")))
+        if c in TEXT_COLUMNS:
+            e = clean_stripped_text(F.col(f"__t_{c}"))
         elif c in NUMERIC_COLUMNS:
-            e = _cached("number", c, lambda c=c: parse_numeric_chars(F.col(f"__n_{c}")))
+            e = parse_numeric_chars(F.col(f"__n_{c}"))
         elif c == "anio":
             e = extract_year(F.col(c))
         else:
@@ -402,15 +373,7 @@ def finalize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return out.dropna(how="all", subset=subset)
 
 
-def harmonise_group(layout: Layout, group: SheetGroup) -> DataFrame:
-    projected = project_group(layout, group)
-    return finalize(projected, projected.columns)
-
-
-def harmonise_workbook(layout_name: str, sheets: Sequence[Sheet]) -> DataFrame:
-    """B12 for one workbook: its layout over the sheets it reads."""
-    layout = LAYOUTS[layout_name]
-    frames = [harmonise_group(layout, group_of(s)) for s in select_sheets(layout, sheets)]
-    if not frames:
-        raise FileNotFoundError("no sheet to read")
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def harmonise_rows(cells: Cells, parts: DataFrame) -> DataFrame:
+    """B0-B12 over every sheet of ``parts``."""
+    parts = parts.join(sheet_facts(cells.rows, parts), "sheet", "left")
+    return finalize(project_rows(cells.rows, parts))

@@ -7,11 +7,14 @@ over the same cells as ``sources.sheets`` makes; it shares no code with
 
 from __future__ import annotations
 
+import uuid
+
 from . import oracle as Q
-from .plans.harmonise import harmonise
-from .plans.layouts import harmonise_workbook
+from .plans.harmonise import harmonise, harmonise_landing, harmonise_workbook
 from .schema import NUMERIC_COLUMNS, OUTPUT_COLUMNS, TEXT_COLUMNS
-from .sources.landing import inventory, write_csv
+from .session import checkpoint_dir
+from .sources.cells import cells_of, inventory
+from .sources.landing import write_csv
 from .sources.sheets import TESTDATA_FORMATS, testdata_workbooks
 
 K = "CAST(o_orderkey AS VARCHAR)"
@@ -19,6 +22,9 @@ NAME = "CASE WHEN o_orderkey % 9 = 0 THEN ' s/d ' ELSE '  ' || c_name || ' ' END
 DOC = "lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
 ORDERS = "orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"
 
+LINES = """(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+ l_quantity, l_shipdate) AS nth FROM lineitem) li"""
+
 
 def _num(expr: str, mod: int, mark: str = ",") -> str:
     whole = f"CAST(floor({expr}) AS BIGINT)"
@@ -32,41 +38,41 @@ def _mod(n: int) -> str:
 P = "o_totalprice"
 # (file, sheet) -> file number, sheet number, rows, row number, cells by raw header
 CELLS: dict[tuple[str, str], tuple[int, int, str, str, dict[str, str]]] = {
-    ("DTO 1998.xlsx", "Hoja1"): (0, 0, f"{ORDERS} WHERE o_orderkey % 8 = 0", "o_orderkey", {
+    ("DTO 1998.xlsx", "Hoja1"): (0, 0, ORDERS, "o_orderkey", {
         "AÑO DECRETO": f"'DTO ' || CAST(1998 + o_orderkey % 2 AS VARCHAR) || '-' || {_mod(900)}", "CODIGO": K, "DNI": DOC,
         "Apellido y Nombre": NAME, "Localización": "n_name", "DEPARTAMENTO": "n_name", "CULTIVO": "lower(c_mktsegment)",
         "SUPTOT": _num(P, 500), "SUP. AG": _num(f"{P} / 3", 300), "SUP AFECT": _num(f"{P} / 5", 310, ".")}),
-    ("DTO 2000-1171.xlsx", "JURADAS"): (1, 1, f"{ORDERS} WHERE o_orderkey % 8 = 1", "o_orderkey", {
+    ("DTO 2000-1171.xlsx", "JURADAS"): (1, 1, ORDERS, "o_orderkey", {
         "IDDJ": K, "Doc Nro": DOC, "AyN": NAME, "Sección": _mod(7), "SUPTOT": _num(P, 400), "SUPAG": _num(f"{P} / 2", 200),
         "SUPAFECT": _num(f"{P} / 4", 250), "SUPGAN": _num(f"{P} / 7", 90), "SUPGANAFECT": _num(f"{P} / 9", 95),
         "OBS": "CASE WHEN o_orderkey % 3 = 0 THEN 'sin dato' ELSE 'revisar' END",
         "FECHA": "strftime(o_orderdate, '%d/%m/%Y')"}),
     ("DTO 2000-1171.xlsx", "Resumen"): (1, 0, ORDERS, "o_orderkey", {"TOTAL": K}),
-    ("DTO 2001-133 AGRICOLAS.xlsx", "N1"): (2, 0, "lineitem", "l_orderkey * 10 + l_linenumber", {
+    ("DTO 2001-133 AGRICOLAS.xlsx", "N1"): (2, 0, LINES, "l_orderkey * 64 + nth - 1", {
         "IDDJ": "CAST(l_orderkey AS VARCHAR)", "AYN": "'Productor'", "ESPECIE": "'especie ' || CAST(l_partkey % 7 AS VARCHAR)",
         "CATEGORIA": "CAST(l_linenumber % 3 AS VARCHAR)", "SUP PLANT. SEMB": "CAST(CAST(trunc(l_quantity) AS INT) AS VARCHAR)",
         "SUP AFEC": "CAST(CAST(trunc(l_quantity) AS INT) % 9 AS VARCHAR)", "PORC AFEC": "'12 %'"}),
     ("DTO 2001-133 AGRICOLAS.xlsx", "N2"): (2, 1, f"{ORDERS} WHERE false", "o_orderkey", {"IDDJ": K}),
-    ("DTO 2016-01 EMERGENCIA.xlsx", "AGRICULTURA"): (3, 0, f"{ORDERS} WHERE o_orderkey % 8 = 3", "o_orderkey", {
+    ("DTO 2016-01 EMERGENCIA.xlsx", "AGRICULTURA"): (3, 0, ORDERS, "o_orderkey", {
         "AÑO DTO": "CASE WHEN o_orderkey % 4 <> 3 THEN 'DTO 2016-1' END", "SOLICITUDID": K, "PRODUCTORDENOMINACION": NAME,
         "DOCUMENTONRO": DOC, "CUITCUIL": f"'20' || {DOC} || '1'", "DEPARTAMENTODESC": "n_name", "CULTIVODESC": "c_mktsegment",
         "SUPERFICIEPLANTADA": _num(P, 600), "SUPERFICIEAFECTADA": _num(f"{P} / 2", 700), "SUPUSO": _num(P, 50)}),
-    ("DTO 2016-01 EMERGENCIA.xlsx", "GANADERIA"): (3, 1, f"{ORDERS} WHERE o_orderkey % 8 = 4", "o_orderkey", {
+    ("DTO 2016-01 EMERGENCIA.xlsx", "GANADERIA"): (3, 1, ORDERS, "o_orderkey", {
         "Año Dto": "'2016-1'", "CODIGO": K, "ACTIVIDAD": "CAST(NULL AS VARCHAR)", "SUPUSO": _num(P, 80),
         "SUPAFECT": _num(f"{P} / 3", 90), "EXISTENC": _mod(60), "MORTANDAD": _mod(70)}),
-    ("DTO 2009-277 GANADERO.xlsx", "Hoja1"): (4, 0, f"{ORDERS} WHERE o_orderkey % 8 = 5", "o_orderkey", {
+    ("DTO 2009-277 GANADERO.xlsx", "Hoja1"): (4, 0, ORDERS, "o_orderkey", {
         "COD": K, "N° DOC": DOC, "AyN": NAME, "DPTO": "n_name", "SUP. TOT": _num(P, 500), "SUP GAN": _num(f"{P} / 2", 300),
         "SUP GAN AF": _num(f"{P} / 3", 350), "EXIS": _mod(40), "PORC AF": f"{_mod(100)} || '%'",
         "OBS": "CASE WHEN o_orderkey % 5 = 0 THEN '  ' ELSE 'ok' END"}),
-    ("DTO 2015-55.xlsx", "AGRIC"): (5, 0, f"{ORDERS} WHERE o_orderkey % 8 = 6", "o_orderkey", {
+    ("DTO 2015-55.xlsx", "AGRIC"): (5, 0, ORDERS, "o_orderkey", {
         "AÑO DTO": "'2015-55'", "CODIGO": K, "PRODUCTORDENOMINACION": NAME, "SUPERFICIEPLANTADA": _num(P, 100),
         "SUPUSO": _num(P, 70), "SUPAFECT": _num(f"{P} / 2", 90)}),
-    ("DTO 2015-55.xlsx", "GANAD"): (5, 1, f"{ORDERS} WHERE o_orderkey % 8 = 7", "o_orderkey", {
+    ("DTO 2015-55.xlsx", "GANAD"): (5, 1, ORDERS, "o_orderkey", {
         "CODIGO": K, "SUPUSO": _num(P, 70), "SUPAFECT": _num(f"{P} / 2", 90), "EXISTENC": _mod(30)}),
-    ("TABACO 2007-44.xlsx", "Hoja1"): (6, 0, f"{ORDERS} WHERE o_orderkey % 16 = 2", "o_orderkey", {
+    ("TABACO 2007-44.xlsx", "Hoja1"): (6, 0, ORDERS, "o_orderkey", {
         "COD": K, "CUIT": DOC, "AYN": NAME, "DPTO": "n_name", "PLANTADA": _num(P, 40), "COSECHADA": _num(f"{P} / 2", 50),
         "PROD EST": _mod(900), "PROD OB": _mod(800)}),
-    ("ROTO 2012.xlsx", "Hoja1"): (7, 0, f"{ORDERS} WHERE o_orderkey % 16 = 10", "o_orderkey", {"SUP TOT": K, "SUP. TOT": K}),
+    ("ROTO 2012.xlsx", "Hoja1"): (7, 0, ORDERS, "o_orderkey", {"SUP TOT": K, "SUP. TOT": K}),
     ("GANADERO 2008-12 RESUMIDO.xlsx", "Hoja1"): (8, 0, ORDERS, "o_orderkey", {
         "COD": K, "DOC": DOC, "AyN": NAME, "DPTO": "n_name", "Localización": "n_name || ' norte'", "SECCION": _mod(11),
         "SUP TOT": _num(P, 500), "SUP GAN": _num(f"{P} / 2", 400, "."), "SUP GAN AF": _num(f"{P} / 3", 410),
@@ -218,7 +224,7 @@ def _status_sql() -> str:
     for file, layout in TESTDATA_FORMATS:
         state, error = "ok", "CAST(NULL AS VARCHAR)"
         if file.startswith("ROTO"):
-            state, error = "error", "'HeaderError: duplicate normalised headers: [''SUP_TOT'']'"
+            state, error = "error", "'HeaderError: duplicate normalised headers: [''SUP_TOT''] (Hoja1)'"
         elif file.startswith("NUEVO"):
             state = "formato_no_implementado"
         elif file.startswith("FALTA"):
@@ -243,31 +249,65 @@ LAYOUT_QUERIES = {
 }
 
 
+GOOD_FILES = ("DTO 1998.xlsx", "DTO 2019-128.xlsx")
+CUT_FILE, SHORT_FILE, LATIN_FILE = "DTO 2016-01 EMERGENCIA.xlsx", "DTO 2015-55.xlsx", "GANADERO 2008-12 RESUMIDO.xlsx"
+
+
+def _damaged_sql() -> str:
+    layouts = dict(TESTDATA_FORMATS)
+    good = [f"SELECT '{f}' AS archivo, '{layouts[f]}' AS formato, 'ok' AS estado, count(*) AS filas, "
+            f"CAST(NULL AS VARCHAR) AS error FROM ({file_sql(f)}) s" for f in GOOD_FILES]
+    bad = [f"SELECT '{f}', '{layouts[f]}', 'error', 0, '{text}'" for f, text in (
+        (CUT_FILE, "TruncatedRecord: row 3: a quote is never closed (RESTO)"),
+        (SHORT_FILE, "RaggedRecord: row 3: 1 cells, the header has 2 (RESTO)"),
+        (LATIN_FILE, "EncodingError: row 1: not UTF-8 (Hoja1)"))]
+    return " UNION ALL ".join(good + bad)
+
+
 def register_all(register) -> None:
     for name, (layout, file) in LAYOUT_QUERIES.items():
         register(name, file_sql(file))(
-            lambda s, d, layout=layout, file=file: harmonise_workbook(layout, testdata_workbooks(s, d)[file])
+            lambda s, d, layout=layout, file=file: harmonise_workbook(s, layout, testdata_workbooks(s, d)[file])
             .select("row_id", *SHOWN))
 
     def harmonised(s, d):
         return harmonise(s, testdata_workbooks(s, d), TESTDATA_FORMATS)
 
+    def landing_zone(s):
+        return f"{checkpoint_dir(s).rstrip('/')}/landing-{uuid.uuid4().hex[:10]}"
+
+    def land(sheet, path):
+        write_csv(sheet.frame.orderBy("__row").drop("__row"),
+                  f"{path}/{sheet.source_file}/{sheet.sheet_ordinal:03d}__{sheet.source_sheet}.csv")
+
     def landed(s, d):
         """The workbooks written to a landing zone as CSV, then harmonised from there."""
-        import uuid
-
-        from .plans.harmonise import harmonise_landing
-        from .session import checkpoint_dir
-        path = f"{checkpoint_dir(s).rstrip('/')}/landing-{uuid.uuid4().hex[:10]}"
+        path = landing_zone(s)
         for sheets in testdata_workbooks(s, d).values():
             for sheet in sheets:
-                write_csv(sheet.frame.orderBy("__row").drop("__row"),
-                          f"{path}/{sheet.source_file}/{sheet.sheet_ordinal:03d}__{sheet.source_sheet}.csv")
+                land(sheet, path)
         return harmonise_landing(s, path, TESTDATA_FORMATS)
 
+    def damaged(s, d):
+        """Two whole workbooks; one in another encoding, one with a sheet that
+        was cut off, one with a short record."""
+        path, books = landing_zone(s), testdata_workbooks(s, d)
+        for file in GOOD_FILES + (CUT_FILE, SHORT_FILE):
+            for sheet in books[file]:
+                land(sheet, path)
+        write_csv(books[LATIN_FILE][0].frame.drop("__row"), f"{path}/{LATIN_FILE}/Hoja1.csv", encoding="ISO-8859-1")
+        for file, lines in ((CUT_FILE, ["CODIGO,OBS", "1,uno", '2,"dos']), (SHORT_FILE, ["CODIGO,SUPUSO", "1,2", "3"])):
+            raw = s.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string").orderBy("i").coalesce(1)
+            raw.select("x").write.option("sep", "\x01").option("quote", "\x00").csv(f"{path}/{file}/009__RESTO.csv")
+        return harmonise_landing(s, path, [x for x in TESTDATA_FORMATS if x[0] in {
+            *GOOD_FILES, CUT_FILE, SHORT_FILE, LATIN_FILE}])
+
     shown = ", ".join(SHOWN)
     register("a1_b12_harmonise_landing", f"SELECT {shown} FROM ({EVERY_SHEET}) x")(
         lambda s, d: landed(s, d).clean.select(*SHOWN))
     register("b0_b12_harmonise_workbooks", EVERY_SHEET)(lambda s, d: harmonised(s, d).clean.select("row_id", *SHOWN))
     register("a7_harmonise_status", _status_sql())(lambda s, d: harmonised(s, d).status)
-    register("a2_sheet_inventory", _inventory_sql())(lambda s, d: inventory(testdata_workbooks(s, d)))
+    register("a7_damaged_files_status", _damaged_sql())(lambda s, d: damaged(s, d).status)
+    register("a7_damaged_files_rows", f"SELECT {shown} FROM ({' UNION ALL '.join(map(file_sql, GOOD_FILES))}) x")(
+        lambda s, d: damaged(s, d).clean.select(*SHOWN))
+    register("a2_sheet_inventory", _inventory_sql())(lambda s, d: inventory(s, cells_of(s, testdata_workbooks(s, d))))

@@ -8,23 +8,19 @@ is its place in the workbook; without one the sheets go by name.
 
 from __future__ import annotations
 
-import csv
 import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_staging_header
-from ..plans.layouts import Sheet, SheetGroup, check_ordinals, is_agricultural
-from ..session import materialize
+from .cells import Landed
 
 # --- fixed values ------------------------------------------------------------
 WORKBOOK_EXTENSIONS = ("xlsx", "xls", "xlsm")
 LOCK_PREFIX = "~$"
-PREVIEW_ROWS = 15
 # Tables of a delivered snapshot that stay out of the lake.
 DEFAULT_EXCLUDED_TABLES = (
     "ddjj_personas_temp",
@@ -67,24 +63,19 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 @dataclass
-class Landed:
-    """One landed sheet: its files in order, its place and its header."""
+class Sheet:
+    """One sheet as a frame: string columns with the raw header, plus the
+    ``__row`` ordinal (0-based, file order)."""
     source_file: str
     source_sheet: str
-    file_ordinal: int
-    sheet_ordinal: int
-    paths: list[str]
-    header: tuple[str, ...]
+    frame: DataFrame
+    file_ordinal: int = 0
+    sheet_ordinal: int = 0
 
 
 def list_sheets(spark: SparkSession, path: str) -> list[Landed]:
-    """A1/A2: every landed sheet with its header, by workbook and place.  Only
-    metadata reaches the driver: the listing, and one line per sheet."""
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").text(path)
-             .select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("at"),
-                     F.monotonically_increasing_id().alias("n")).filter("at = 0"))
-    first = {_plain(r["path"]): r["line"] for r in
-             lines.groupBy("path").agg(F.min_by("value", "n").alias("line")).collect()}
+    """A1: every landed sheet by workbook and place.  Only the listing reaches
+    the driver; headers stay with the rows (``cells``)."""
     by_sheet: dict[tuple[str, str], list] = {}
     for r in list_landing(spark, path).collect():
         by_sheet.setdefault((r["source_file"], r["source_sheet"]), []).append((r["path"], r["orden"]))
@@ -92,19 +83,11 @@ def list_sheets(spark: SparkSession, path: str) -> list[Landed]:
     out, seen = [], dict.fromkeys(files, 0)
     order = sorted(by_sheet, key=lambda k: (k[0], by_sheet[k][0][1] is None, by_sheet[k][0][1] or 0, k[1]))
     for f, sheet in order:
-        paths = sorted(p for p, _ in by_sheet[f, sheet])
-        line = next((first[_plain(p)] for p in paths if _plain(p) in first), "")
-        header = tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
-        out.append(Landed(f, sheet, files[f], seen[f], paths, header))
+        out.append(Landed(f, sheet, files[f], seen[f], sorted(p for p, _ in by_sheet[f, sheet])))
         seen[f] += 1
     return out
 
 
-def _plain(path: str) -> str:
-    """A file's path without scheme and percent signs, as a key."""
-    return unquote(path.split(":", 1)[-1]).lstrip("/")
-
-
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """A3: one landed sheet, all columns text, plus its 0-based row ordinal.
     ``multiLine`` keeps each file in one split, so row order is file order."""
@@ -114,8 +97,8 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path: str) -> dict[str, list[Sheet]]:
-    """A3/A4: every landed sheet as a frame of its own, by workbook, in the
-    workbook's order."""
+    """A3: every landed sheet as a frame of its own, by workbook, in the
+    workbook's order; jobs over all sheets read ``cells`` instead."""
     out: dict[str, list[Sheet]] = {}
     for s in list_sheets(spark, path):
         source = s.paths if len(s.paths) > 1 else s.paths[0]
@@ -124,68 +107,6 @@ def read_landing(spark: SparkSession, path: str) -> dict[str, list[Sheet]]:
     return out
 
 
-def read_group(spark: SparkSession, sheets: Sequence[Landed]) -> SheetGroup:
-    """Landed sheets with one header as one scan: file and sheet come from the
-    path of each row, rows are numbered per sheet in file order.
-
-    A multi-line file is read by one task, so its rows have consecutive ids.
-    The rows are written once with their ids; a row's number is its distance
-    from the file's first row plus the rows of the sheet's files before it, so
-    no task holds a sheet.  The driver reads one count per file."""
-    header = list(sheets[0].header)
-    places = []
-    for s in sheets:
-        check_ordinals(s.file_ordinal, s.sheet_ordinal)
-        places += [(_plain(p), i, s.source_file, s.source_sheet, s.file_ordinal, s.sheet_ordinal)
-                   for i, p in enumerate(s.paths)]
-    raw = (spark.read.schema(", ".join(f"`{i}` string" for i in range(len(header)))).option("header", True)
-           .option("multiLine", True).option("encoding", "UTF-8").option("nullValue", "").option("escape", '"')
-           .csv([p for s in sheets for p in s.paths]))
-    path = F.replace(F.regexp_replace("_metadata.file_path", "^[^:]*:", ""), F.lit("+"), F.lit("%2B"))
-    key = F.ltrim(F.url_decode(path), F.lit("/"))
-    rows = materialize(raw.select("*", key.alias("__key"), F.monotonically_increasing_id().alias("__id")), "landing-group")
-    found = {r["__key"]: (r["first"], r["n"]) for r in
-             rows.groupBy("__key").agg(F.min("__id").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
-    shifts, before = [], {}
-    for place in places:  # a sheet's files in order
-        first, n = found.get(place[0], (0, 0))
-        shifts.append((*place, before.get(place[2:4], 0) - first))
-        before[place[2:4]] = before.get(place[2:4], 0) + n
-    # as many rows as the listing has files
-    known = F.broadcast(spark.createDataFrame(
-        shifts, "__key string, __part int, __file string, __sheet string, __fidx int, __sidx int, __shift long"))
-    rows = rows.join(known, "__key")
-    return SheetGroup(rows.select(*[F.col(f"`{i}`").alias(c) for i, c in enumerate(header)],
-                                  (F.col("__id") + F.col("__shift")).alias("__row"),
-                                  "__file", "__sheet", "__fidx", "__sidx"), is_agricultural(sheets[0].source_sheet))
-
-
-def inventory(sheets: Mapping[str, Sequence[Sheet]]) -> DataFrame:
-    """A2: per sheet: rows, columns, header joined by `` | ``, the first 15
-    rows as text (bounded preview) and the header problem, if any, as data."""
-    from ..plans.layouts import HeaderError, normalise_header
-    parts = []
-    for f, group in sheets.items():
-        for s in group:
-            cols = [c for c in s.frame.columns if c != "__row"]
-            try:
-                normalise_header(s.frame)
-                problem = None
-            except HeaderError as exc:   # reported as data, the inventory goes on
-                problem = f"{type(exc).__name__}: {exc}"
-            line = F.concat_ws(" | ", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cols])
-            parts.append(s.frame.agg(
-                F.count(F.lit(1)).alias("filas"),
-                F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("__row") < PREVIEW_ROWS,
-                                                                            F.struct("__row", line.alias("t"))))),
-                                         lambda x: x["t"]), "\n").alias("vista_previa"))
-                .select(F.lit(f).alias("archivo"), F.lit(s.source_sheet).alias("hoja"), "filas",
-                        F.lit(len(cols)).alias("columnas"), F.lit(" | ".join(cols)).alias("encabezado"),
-                        "vista_previa", F.lit(problem).cast("string").alias("error")))
-    from ..operators.setops import union_all
-    return union_all(parts)
-
-
 def read_registry(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """Registry CSV (UTF-8, possibly with a byte-order mark) with a
     required-column check."""
@@ -202,9 +123,9 @@ def read_curated(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("nullValue", "").option("escape", '"').csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """CSV with header (the byte-order mark is an Excel nicety, dropped)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
 
 
 def write_report(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> None:

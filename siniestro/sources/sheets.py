@@ -9,11 +9,11 @@ shape.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.layouts import Sheet
 from ..standins import base_table
+from .landing import Sheet
 
 
 def _num_text(c: Column, mod: int, comma: bool) -> Column:
@@ -34,9 +34,8 @@ def _sheet(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
 
 
 def testdata_workbooks(spark: SparkSession, sf_dir: str) -> dict[str, list[Sheet]]:
-    """Workbooks over whole tables: the orders are split among the
-    single-declaration workbooks by ``o_orderkey % 8`` (every order lands in
-    exactly one sheet); every line item is a row of the agricultural detail."""
+    """Workbooks over whole tables: every order is a row of every sheet of
+    declarations, every line item a row of the agricultural detail."""
     o = _orders(spark, sf_dir)
     k = F.col("o_orderkey")
     name = F.when(k % 9 == 0, F.lit(" s/d ")).otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
@@ -47,13 +46,13 @@ def testdata_workbooks(spark: SparkSession, sf_dir: str) -> dict[str, list[Sheet
     def add(file: str, fidx: int, sheet: str, sidx: int, frame: DataFrame) -> None:
         wb.setdefault(file, []).append(Sheet(file, sheet, frame, fidx, sidx))
 
-    add("DTO 1998.xlsx", 0, "Hoja1", 0, _sheet(o.filter(k % 8 == 0), {
+    add("DTO 1998.xlsx", 0, "Hoja1", 0, _sheet(o, {
         "AÑO DECRETO": F.concat(F.lit("DTO "), (F.lit(1998) + k % 2).cast("string"), F.lit("-"), (k % 900).cast("string")),
         "CODIGO": k, "DNI": doc, "Apellido y Nombre": name, "Localización": F.col("n_name"),
         "DEPARTAMENTO": F.col("n_name"), "CULTIVO": F.lower(F.col("c_mktsegment")),
         "SUPTOT": _num_text(price, 500, True), "SUP. AG": _num_text(price / 3, 300, True),
         "SUP AFECT": _num_text(price / 5, 310, False)}))
-    add("DTO 2000-1171.xlsx", 1, "JURADAS", 1, _sheet(o.filter(k % 8 == 1), {
+    add("DTO 2000-1171.xlsx", 1, "JURADAS", 1, _sheet(o, {
         "IDDJ": k, "Doc Nro": doc, "AyN": name, "Sección": (k % 7).cast("string"), "SUPTOT": _num_text(price, 400, True),
         "SUPAG": _num_text(price / 2, 200, True), "SUPAFECT": _num_text(price / 4, 250, True),
         "SUPGAN": _num_text(price / 7, 90, True), "SUPGANAFECT": _num_text(price / 9, 95, True),
@@ -61,38 +60,41 @@ def testdata_workbooks(spark: SparkSession, sf_dir: str) -> dict[str, list[Sheet
         "FECHA": F.date_format("o_orderdate", "dd/MM/yyyy")}))
     add("DTO 2000-1171.xlsx", 1, "Resumen", 0, _sheet(o, {"TOTAL": k}))
     li = base_table(spark, sf_dir, "lineitem")
-    det = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_partkey")
+    # line numbers repeat within an order: rows are numbered by all that tells them apart
+    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"))
+    det = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_partkey", nth.alias("nth"))
     add("DTO 2001-133 AGRICOLAS.xlsx", 2, "N1", 0, det.select(
         F.col("o_orderkey").cast("string").alias("IDDJ"), F.lit("Productor").alias("AYN"),
         F.concat(F.lit("especie "), (F.col("l_partkey") % 7).cast("string")).alias("ESPECIE"),
         (F.col("l_linenumber") % 3).cast("string").alias("CATEGORIA"),
         F.col("l_quantity").cast("int").cast("string").alias("SUP PLANT. SEMB"),
         (F.col("l_quantity").cast("int") % 9).cast("string").alias("SUP AFEC"),
-        F.lit("12 %").alias("PORC AFEC"), (F.col("o_orderkey") * 10 + F.col("l_linenumber")).alias("__row")))
+        F.lit("12 %").alias("PORC AFEC"), (F.col("o_orderkey") * 64 + F.col("nth") - 1).alias("__row")))
     add("DTO 2001-133 AGRICOLAS.xlsx", 2, "N2", 1, _sheet(o.limit(0), {"IDDJ": k}))   # an empty sheet
-    add("DTO 2016-01 EMERGENCIA.xlsx", 3, "AGRICULTURA", 0, _sheet(o.filter(k % 8 == 3), {
+    add("DTO 2016-01 EMERGENCIA.xlsx", 3, "AGRICULTURA", 0, _sheet(o, {
         "AÑO DTO": F.when(k % 4 == 3, F.lit(None)).otherwise(F.lit("DTO 2016-1")), "SOLICITUDID": k,
         "PRODUCTORDENOMINACION": name, "DOCUMENTONRO": doc, "CUITCUIL": F.concat(F.lit("20"), doc, F.lit("1")),
         "DEPARTAMENTODESC": F.col("n_name"), "CULTIVODESC": F.col("c_mktsegment"),
         "SUPERFICIEPLANTADA": _num_text(price, 600, True), "SUPERFICIEAFECTADA": _num_text(price / 2, 700, True),
         "SUPUSO": _num_text(price, 50, True)}))
-    add("DTO 2016-01 EMERGENCIA.xlsx", 3, "GANADERIA", 1, _sheet(o.filter(k % 8 == 4), {
+    add("DTO 2016-01 EMERGENCIA.xlsx", 3, "GANADERIA", 1, _sheet(o, {
         "Año Dto": F.lit("2016-1"), "CODIGO": k, "ACTIVIDAD": F.lit(None), "SUPUSO": _num_text(price, 80, True),
         "SUPAFECT": _num_text(price / 3, 90, True), "EXISTENC": (k % 60).cast("string"),
         "MORTANDAD": (k % 70).cast("string")}))
-    add("DTO 2009-277 GANADERO.xlsx", 4, "Hoja1", 0, _sheet(o.filter(k % 8 == 5), {
+    add("DTO 2009-277 GANADERO.xlsx", 4, "Hoja1", 0, _sheet(o, {
         "COD": k, "N° DOC": doc, "AyN": name, "DPTO": F.col("n_name"), "SUP. TOT": _num_text(price, 500, True),
         "SUP GAN": _num_text(price / 2, 300, True), "SUP GAN AF": _num_text(price / 3, 350, True),
         "EXIS": (k % 40).cast("string"), "PORC AF": F.concat((k % 100).cast("string"), F.lit("%")),
         "OBS": F.when(k % 5 == 0, F.lit("  ")).otherwise(F.lit("ok"))}))
-    add("DTO 2015-55.xlsx", 5, "AGRIC", 0, _sheet(o.filter(k % 8 == 6), {
+    add("DTO 2015-55.xlsx", 5, "AGRIC", 0, _sheet(o, {
         "AÑO DTO": F.lit("2015-55"), "CODIGO": k, "PRODUCTORDENOMINACION": name,
         "SUPERFICIEPLANTADA": _num_text(price, 100, True), "SUPUSO": _num_text(price, 70, True),
         "SUPAFECT": _num_text(price / 2, 90, True)}))
-    add("DTO 2015-55.xlsx", 5, "GANAD", 1, _sheet(o.filter(k % 8 == 7), {
+    add("DTO 2015-55.xlsx", 5, "GANAD", 1, _sheet(o, {
         "CODIGO": k, "SUPUSO": _num_text(price, 70, True), "SUPAFECT": _num_text(price / 2, 90, True),
         "EXISTENC": (k % 30).cast("string")}))
-    add("TABACO 2007-44.xlsx", 6, "Hoja1", 0, _sheet(o.filter(k % 16 == 2), {
+    add("TABACO 2007-44.xlsx", 6, "Hoja1", 0, _sheet(o, {
         "COD": k, "CUIT": doc, "AYN": name, "DPTO": F.col("n_name"), "PLANTADA": _num_text(price, 40, True),
         "COSECHADA": _num_text(price / 2, 50, True), "PROD EST": (k % 900).cast("string"),
         "PROD OB": (k % 800).cast("string")}))
@@ -123,7 +125,7 @@ def testdata_workbooks(spark: SparkSession, sf_dir: str) -> dict[str, list[Sheet
         "SUPERFICIE EN USO AGR": _num_text(price / 2, 500, True), "SUP. EN USO GAN": _num_text(price / 3, 510, True),
         "SUPERFICIE AFECTADA AGR": _num_text(price / 4, 520, False),
         "SUP. AFECTADA TOTAL GAN": _num_text(price / 5, 530, True), "TOTAL CABEZAS": (k % 333).cast("string")}))
-    add("ROTO 2012.xlsx", 7, "Hoja1", 0, _sheet(o.filter(k % 16 == 10), {"SUP TOT": k, "SUP. TOT": k}))
+    add("ROTO 2012.xlsx", 7, "Hoja1", 0, _sheet(o, {"SUP TOT": k, "SUP. TOT": k}))
     return wb
 
 

@@ -6,8 +6,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from siniestro.plans.harmonise import harmonise
-from siniestro.plans.layouts import LAYOUTS, harmonise_workbook
+from siniestro.plans.harmonise import harmonise, harmonise_workbook
+from siniestro.plans.layouts import LAYOUTS
 from siniestro.sources.landing import list_landing, list_workbooks, read_landing, read_registry, select_tables
 from siniestro.sources import sheets as SH
 from siniestro.sources.sheets import TESTDATA_FORMATS
@@ -34,7 +34,7 @@ def test_landing_roundtrip_and_layout(spark):
     assert [r["nombre"] for r in list_workbooks(spark, root).collect()] == ["Libro.XLSX"]
     assert list_landing(spark, root).count() == 2
     sheets = read_landing(spark, root)
-    out = harmonise_workbook("formato_ganadero_ancho", sheets["DTO 2009-277 GANADERO.xlsx"])
+    out = harmonise_workbook(spark, "formato_ganadero_ancho", sheets["DTO 2009-277 GANADERO.xlsx"])
     got = out.orderBy("row_id").collect()
     assert len(got) == 30 and got[0]["anio"] == 2009 and got[0]["dto"] == "277"
     assert got[0]["productor_nombre"] == "JOSE PEREZ" and got[0]["actividad"] == "GANADERIA"
@@ -164,16 +164,52 @@ def test_workbook_order_and_grouped_scan(spark):
     assert [r["estado"] for r in out.status.collect()] == ["ok"] * 200
 
 
-def test_one_group_is_one_scan(spark):
-    from siniestro.sources.landing import list_sheets, read_group
-    root = tempfile.mkdtemp(prefix="scan-")
-    for i in range(30):
-        _write_sheet(f"{root}/F{i}.xlsx/H.csv", ["A", "B"], [[str(i), "x"], [str(i), "y"]])
-    frame = read_group(spark, list_sheets(spark, root)).frame
-    plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 1
-    assert sorted((r["__file"], r["__row"], r["A"], r["B"]) for r in frame.collect()) == sorted(
-        (f"F{i}.xlsx", k, str(i), v) for i in range(30) for k, v in enumerate("xy"))
+def test_headers_are_data(spark):
+    """Sixty sheets with sixty headers: one scan, and the plan of three."""
+    from siniestro.plans.harmonise import harmonise_landing
+    from siniestro.sources.cells import _records
+    from siniestro.sources.landing import list_sheets
+
+    def run(n):
+        root = tempfile.mkdtemp(prefix="headers-")
+        for i in range(n):
+            _write_sheet(f"{root}/DTO 2009-{i} GANADERO.xlsx/Hoja.csv", [f"X{i}", "COD", *["Y"] * (i % 4), "AyN"],
+                         [["-", str(i), *["z"] * (i % 4), f"Ana {i}"]])
+        paths = [p for s in list_sheets(spark, root) for p in s.paths]
+        plan = _records(spark, paths)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(paths) == n and plan.count("Relation [") == 1
+        formats = [(f"DTO 2009-{i} GANADERO.xlsx", "formato_ganadero_ancho") for i in range(n)]
+        out = harmonise_landing(spark, root, formats)
+        rows = {(r["codigo"], r["productor_nombre"], r["dto"]) for r in out.clean.collect()}
+        assert rows == {(str(i), f"ANA {i}", str(i)) for i in range(n)}
+
+    run(3)
+    run(60)
+
+
+def test_damaged_files_are_status_rows(spark):
+    from siniestro.plans.harmonise import harmonise_landing
+    root = tempfile.mkdtemp(prefix="damaged-")
+    books = {"good": b'COD,AyN\n1,"Ana ""B"", x\ny"\n2,\n', "cut": b'COD,AyN\n1,Ana\n2,"Lu', "short": b"COD,AyN\n1\n",
+             "long": b"COD,AyN\n1,2,3\n", "latin": "COD,AyN\n1,Peña\n".encode("latin-1"), "wide": b",".join([b"A"] * 300),
+             "twice": b"AyN,A.y.N,SUP TOT,SUP. TOT\n1,2,3,4\n", "same": "﻿COD,COD,,\n7,8,9,10\n".encode(),
+             "late": "COD,AyN\n".encode() + b"1,a\n" * 5000 + "2,ñ\n".encode("latin-1"), "header": b"COD\n"}
+    for name, data in books.items():
+        os.makedirs(f"{root}/{name}.xlsx")
+        with open(f"{root}/{name}.xlsx/H.csv", "wb") as f:
+            f.write(data)
+    out = harmonise_landing(spark, root, [(f"{n}.xlsx", "formato_ganadero_ancho") for n in books])
+    status = {r["archivo"][:-5]: (r["estado"], r["filas"], r["error"]) for r in out.status.collect()}
+    assert {n for n, (state, _, _) in status.items() if state == "ok"} == {"good", "same", "header"}
+    assert status["good"][1] == 2 and status["same"][1] == 1 and status["header"][1] == 0
+    assert status["cut"][2] == "TruncatedRecord: row 3: a quote is never closed (H)"
+    assert status["short"][2] == "RaggedRecord: row 2: 1 cells, the header has 2 (H)"
+    assert status["long"][2].startswith("RaggedRecord: row 2: 3 cells")
+    assert status["latin"][2].startswith("EncodingError: row 2") and status["late"][2].startswith("EncodingError: row 5002")
+    assert status["wide"][2].startswith("TooWide")
+    assert status["twice"][2] == "HeaderError: duplicate normalised headers: ['SUP_TOT'] (H)"
+    rows = sorted((r["source_file"], r["codigo"], r["productor_nombre"]) for r in out.clean.collect())
+    assert rows == [("good.xlsx", "1", 'ANA "B", X Y'), ("good.xlsx", "2", None), ("same.xlsx", "7", None)]
 
 
 def test_keep_best_null_priority_last(spark):
@@ -183,15 +219,17 @@ def test_keep_best_null_priority_last(spark):
 
 
 def test_inventory_reports_header_problems(spark):
-    from siniestro.sources.landing import inventory
-    inv = {(r["archivo"], r["hoja"]): r for r in inventory(SH.testdata_workbooks(spark, SF_SMALL)).collect()}
+    from siniestro.sources.cells import cells_of, inventory
+    books = cells_of(spark, SH.testdata_workbooks(spark, SF_SMALL))
+    inv = {(r["archivo"], r["hoja"]): r for r in inventory(spark, books).collect()}
     assert inv[("ROTO 2012.xlsx", "Hoja1")]["error"].startswith("HeaderError")
     assert inv[("DTO 2009-277 GANADERO.xlsx", "Hoja1")]["error"] is None
     assert inv[("DTO 2001-133 AGRICOLAS.xlsx", "N2")]["filas"] == 0
 
 
-def test_group_rows_are_numbered_without_gathering_a_sheet(spark):
-    from siniestro.sources.landing import list_sheets, read_group
+def test_rows_are_numbered_over_the_parts_of_a_sheet(spark):
+    from siniestro.sources.cells import read_cells
+    from siniestro.sources.landing import list_sheets
     root = tempfile.mkdtemp(prefix="landing-parts-")
     want = set()
     for book in ("A.xlsx", "B.xlsx"):
@@ -205,7 +243,7 @@ def test_group_rows_are_numbered_without_gathering_a_sheet(spark):
                 n += 1
             with open(f"{root}/{book}/hoja.csv/part-{part:05d}.csv", "w") as f:
                 f.write("\n".join(lines) + "\n")
-    frame = read_group(spark, list_sheets(spark, root)).frame
-    assert {(r["__file"], r["__row"], r["a"]) for r in frame.collect()} == want
-    assert frame.count() == len(want)
-    assert "row_number" not in frame._jdf.queryExecution().toString()
+    cells = read_cells(spark, list_sheets(spark, root))
+    names = [s.source_file for s in cells.sheets]
+    assert {(names[r["sheet"]], r["row"], r["cells"][0]) for r in cells.rows.collect()} == want
+    assert cells.rows.count() == len(want) and cells.flaws.count() == 0
