@@ -7,6 +7,7 @@ before the shuffle: a hot group costs one row per map task, not its size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,50 +94,94 @@ def null_counts(df: DataFrame, name_col: str = "columna", value_col: str = "cant
     return wide.selectExpr(f"stack({len(df.columns)}, {args}) AS ({name_col}, {value_col})")
 
 
+SKETCH = 100_000
+"""Accuracy of the quantile sketch: its ranks are wrong by less than rows / SKETCH."""
+
+WIDTHS = (3.0 / SKETCH, 3e-4, 3e-3, 3e-2, 1.0)
+"""Brackets around a wanted share: the narrowest that holds the sketch's error and two rows more."""
+
+_BASICS = (("n", F.count), ("a", F.avg), ("d", F.stddev_samp), ("i", F.min), ("x", F.max))
+
+
+def _as_double(c: str) -> Column:
+    return F.col(f"`{c}`").cast("double")
+
+
+def _summary(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """One row, one scan: per column j its basic statistics (n, a, d, i, x) and,
+    per share i, values f and t that have the wanted rank between them (from a
+    mergeable sketch)."""
+    ends = [e for p in shares for w in WIDTHS for e in (max(0.0, p - w), min(1.0, p + w))]
+    wide = df.agg(*[f(_as_double(c)).alias(f"{name}{j}") for j, c in enumerate(cols) for name, f in _BASICS],
+                  *[F.percentile_approx(_as_double(c), ends, SKETCH).alias(f"s{j}") for j, c in enumerate(cols)])
+
+    def end(j: int, i: int, side: int) -> Column:
+        level = F.lit(len(WIDTHS) - 1)
+        for k in reversed(range(len(WIDTHS) - 1)):
+            level = F.when(F.col(f"n{j}") * (WIDTHS[k] - 1.0 / SKETCH) >= 2, F.lit(k)).otherwise(level)
+        return F.get(f"s{j}", 2 * (i * len(WIDTHS) + level) + side)
+
+    return wide.select(*[f"{name}{j}" for j in range(len(cols)) for name, _ in _BASICS], *[
+        end(j, i, k).alias(f"{side}{j}_{i}") for j in range(len(cols)) for i in range(len(shares))
+        for k, side in enumerate("ft")])
+
+
+def _ranked_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """(variable, q0, q1, ...) and one row with all of :func:`_summary`.
+
+    Both read the summary through one exchange: three scans of ``df`` in all.
+    """
+    one = F.broadcast(_summary(df, cols, shares))  # one row
+    rows = df.select(*[_as_double(c).alias(f"v{j}") for j, c in enumerate(cols)]).crossJoin(one)
+    cells = [(j, i, F.col(f"v{j}"), F.col(f"f{j}_{i}"), F.col(f"t{j}_{i}"))
+             for j in range(len(cols)) for i in range(len(shares))]
+    known = [f"{name}{j}" for j in range(len(cols)) for name, _ in _BASICS]
+    whole = rows.agg(*[F.count_if(v < lo).alias(f"b{j}_{i}") for j, i, v, lo, _ in cells],
+                     *[F.first(c).alias(c) for c in known])
+    spelled = ", ".join(f"{j}, {i}, n{j}, b{j}_{i}" for j, i, *_ in cells)
+    facts = whole.selectExpr(f"stack({len(cells)}, {spelled}) AS (col, share, rows, below)")
+    hit = {(j, i): (v >= lo) & (v <= hi) for j, i, v, lo, hi in cells}
+    near = F.array_compact(F.array(*[F.when(hit[j, i], F.struct(
+        F.lit(j).alias("col"), F.lit(i).alias("share"), v.alias("valor"))) for j, i, v, _, _ in cells]))
+    inside = (rows.filter(reduce(lambda x, y: x | y, hit.values())).select(F.explode(near).alias("x"))
+              .groupBy("x.col", "x.share", "x.valor").agg(F.count(F.lit(1)).alias("n")))
+    # one bracket holds a few of SKETCH parts of the rows, each distinct value once
+    order = Window.partitionBy("col", "share").orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (inside.withColumn("upto", F.sum("n").over(order)).join(F.broadcast(facts), ["col", "share"])
+              .withColumn("last", F.col("below") + F.col("upto") - 1).withColumn("first", F.col("last") - F.col("n") + 1))
+    place = (F.col("rows") - 1) * F.element_at(F.array(*(F.lit(float(p)) for p in shares)), F.col("share") + 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (rank <= F.col("last")), F.col("valor")))
+
+    lo, hi = at(F.floor(place)), at(F.ceil(place))
+    exact = ranked.groupBy("col", "share").agg(lo.alias("lo"), hi.alias("hi"), F.max(place - F.floor(place)).alias("w"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w")
+    names = F.element_at(F.array(*(F.lit(c) for c in cols)), F.col("col") + 1)
+    return exact.groupBy(names.alias("variable")).agg(
+        *[F.max(F.when(F.col("share") == i, value)).alias(f"q{i}") for i in range(len(shares))]), whole
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """One row per column: ``variable`` and the exact linear quantiles ``q0``,
     ``q1``, ...; no task sees a whole column.
 
-    Rows are first counted per distinct value (combined map-side).  A monotone
-    function of the value deals them to buckets; running counts inside a
-    bucket plus the totals of the buckets below give every value's ranks, and
-    the values at the wanted ranks are picked by an aggregate.
+    A mergeable sketch brackets every wanted rank between two values; rows
+    below a bracket are counted, and only the values inside are ranked: a few
+    of ``SKETCH`` parts of the rows, each distinct value once, however close
+    they are to each other.  NaN is the largest value.
     """
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    values = (df.selectExpr(f"stack({len(cols)}, {pairs}) AS (variable, valor)").filter("valor IS NOT NULL")
-              .groupBy("variable", "valor").agg(F.count(F.lit(1)).alias("n")))
-    v = F.col("valor")
-    values = values.withColumn("bucket", F.when(F.isnan(v), F.lit(1 << 30)).otherwise(
-        (F.signum(v) * F.floor(F.log1p(F.abs(v)) * 64)).cast("int")))
-    below = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (values.groupBy("variable", "bucket").agg(F.sum("n").alias("total"))
-               .select(F.col("variable").alias("v2"), F.col("bucket").alias("b2"),
-                       F.coalesce(F.sum("total").over(below), F.lit(0)).alias("start"),
-                       F.sum("total").over(Window.partitionBy("variable")).alias("rows")))
-    inside = Window.partitionBy("variable", "bucket").orderBy("valor").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (values.withColumn("upto", F.sum("n").over(inside))
-              .join(buckets, (F.col("variable") == F.col("v2")) & (F.col("bucket") == F.col("b2")))
-              .withColumn("last", F.col("start") + F.col("upto") - 1).withColumn("first", F.col("last") - F.col("n") + 1))
-    picks = []
-    for i, share in enumerate(shares):
-        place = (F.col("rows") - 1) * F.lit(float(share))
-        for name, at in ((f"lo{i}", F.floor(place)), (f"hi{i}", F.ceil(place))):
-            picks.append(F.max(F.when((F.col("first") <= at) & (at <= F.col("last")), F.col("valor"))).alias(name))
-        picks.append(F.max(place - F.floor(place)).alias(f"w{i}"))
-    out = ranked.groupBy("variable").agg(*picks)
-    return out.select("variable", *[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
-                                    for i in range(len(shares))])
+    return _ranked_quantiles(df, cols, shares)[0]
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """pandas ``describe()``: count, mean, sample std, min, linear
     quartiles (exact), max."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    x = F.col("valor")
-    basic = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (variable, valor)").groupBy("variable").agg(
-        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"))
-    both = basic.join(exact_quantiles(df, cols, (0.25, 0.5, 0.75)), "variable", "left")
+    shares = (0.25, 0.5, 0.75)
+    quartiles, whole = _ranked_quantiles(df, cols, shares)
+    spelled = ", ".join(f"'{c}', CAST(coalesce(n{j}, 0) AS DOUBLE), a{j}, d{j}, i{j}, x{j}" for j, c in enumerate(cols))
+    basic = whole.selectExpr(f"stack({len(cols)}, {spelled}) AS (variable, count, mean, std, min, max)")
+    both = basic.join(F.broadcast(quartiles), "variable", "left")
     stats = dict(zip(DESCRIBE_STATS, ["count", "mean", "std", "min", "q0", "q1", "q2", "max"], strict=True))
     spelled = ", ".join(f"'{name}', {k}, {source}" for k, (name, source) in enumerate(stats.items()))
     # at most eight rows per column from here on

@@ -10,29 +10,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .filters import CURRENT, HISTORIC
 
 
-def check_registry(registry: DataFrame, on: str) -> None:
-    """Raise if some ``on`` value has more than one registry row (a duplicate
-    would multiply rows).  One distributed aggregate over the whole registry."""
-    repeated = registry.groupBy(on).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
-    if repeated is not None:
-        raise ValueError(f"registry has {repeated['n']} rows for {on} {repeated[on]!r}")
+def one_row_per(registry: DataFrame, on: str) -> DataFrame:
+    """``registry`` unchanged, or an error when it is read: a second row for
+    one ``on`` value would multiply rows.  Part of the plan: nothing runs
+    while a query is built, and the query that meets the duplicate fails."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(on))
+    complaint = F.concat(F.lit("registry has "), F.col("__n").cast("string"), F.lit(f" rows for {on} "),
+                         F.coalesce(F.col(on).cast("string"), F.lit("null")))
+    kind = registry.schema[on].dataType
+    # the key itself, so that no optimisation can skip the check
+    checked = F.when(F.col("__n") > 1, F.raise_error(complaint).cast(kind)).otherwise(F.col(on))
+    return registry.withColumn("__n", n).withColumn(on, checked).drop("__n")
 
 
 def attach_registry(df: DataFrame, registry: DataFrame, on: str = "source_file",
                     indicator: str | None = "sin_event_mapping", check: bool = True) -> DataFrame:
     """Rows LEFT JOIN registry on the file name, plus an unmatched flag.
 
-    The registry must have one row per file, which is checked before
-    joining.  The join strategy is left to statistics and AQE.
+    The registry must have one row per file, which the query itself checks.
+    The join strategy is left to statistics and AQE.
     """
     if check:
-        check_registry(registry, on)
+        registry = one_row_per(registry, on)
     out = df.join(registry.withColumn("__matched", F.lit(True)), on=on, how="left")
     if indicator:
         out = out.withColumn(indicator, F.col("__matched").isNull())

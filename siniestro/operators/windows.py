@@ -10,21 +10,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def keep_best(df: DataFrame, key: str | Sequence[str], priority: str, order: str) -> DataFrame:
     """G1: one row per key: highest ``priority`` (a null one sorts last), then
-    lowest ``order`` (ingest order).  ``order`` must be unique in ``df``: the
-    winners are picked on key, priority and order alone, and their rows are
-    fetched by it."""
+    lowest ``order`` (ingest order), then smallest content hash.
+
+    Winners are picked on key, priority and order alone; their rows are
+    fetched by key and order.  Where ``order`` repeats within a key, the rows
+    left are told apart by priority and content, on the partitioning and
+    order that the join leaves behind, so exactly one stays.
+    """
     keys = [key] if isinstance(key, str) else list(key)
+    named = [f"__k{i}" for i in range(len(keys))]
     p = F.col(priority).cast("double")
     rank = F.when(p.isNull() | F.isnan(p), F.lit(float("-inf"))).otherwise(p)
-    first = df.groupBy(*keys, rank.alias("__p")).agg(F.min(order).alias("__o"))
-    best = first.groupBy(*keys).agg(F.max_by("__o", "__p").alias("__best")).select("__best")
-    return df.join(best, F.col(order) == F.col("__best"), "left_semi")
+    rows = df.select("*", *[F.coalesce(F.col(k).cast("string"), F.lit("\x00")).alias(n) for k, n in zip(keys, named)],
+                     F.col(order).alias("__o"), rank.alias("__p"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h"))
+    first = rows.groupBy(*named, "__p").agg(F.min("__o").alias("__o"))
+    best = first.groupBy(*named).agg(F.max_by("__o", "__p").alias("__o"))
+    one = Window.partitionBy(*named, "__o").orderBy(F.desc("__p"), "__h")
+    return (rows.join(best, [*named, "__o"], "left_semi").withColumn("__n", F.row_number().over(one)).filter("__n = 1")
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "__n") -> DataFrame:

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_staging_header
 from .cells import Landed
 
 # --- fixed values ------------------------------------------------------------
@@ -134,22 +133,6 @@ def write_report(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet
         df.write.mode("overwrite").format(fmt).option("header", True).option("escape", '"').save(os.path.join(path, name))
 
 
-def load_staging(df: DataFrame, path: str, partition_by: Sequence[str] = ("anio",),
-                 sort_within: Sequence[str] = ("evento_id", "departamento")) -> DataFrame:
-    """Typed staging table: staging column names (C6), load time
-    added when absent, overwrite; partitioned by year and sorted within
-    partitions so Parquet statistics prune like the source's indexes."""
-    out = df.toDF(*[norm_staging_header(c) for c in df.columns])
-    if "fecha_carga" not in out.columns:
-        out = out.withColumn("fecha_carga", F.localtimestamp())
-    parts = [c for c in partition_by if c in out.columns]
-    # REBALANCE gathers a year's rows in few files and, unlike a repartition, splits a large year over tasks
-    w = out.hint("rebalance", *parts) if parts else out
-    w = w.sortWithinPartitions(*parts, *[c for c in sort_within if c in out.columns])
-    w.write.mode("overwrite").partitionBy(*parts).parquet(path)
-    return out.sparkSession.read.parquet(path)
-
-
 def select_tables(names: Sequence[str], drop: Sequence[str] = DEFAULT_EXCLUDED_TABLES, keep: Sequence[str] = ()) -> list[str]:
     """Tables of a snapshot that enter the lake (case-insensitive
     exclusion list with explicit keep overrides)."""

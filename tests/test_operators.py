@@ -39,7 +39,8 @@ def test_keep_best_priority_then_order_and_hot_key(spark):
     assert best["HOT"] == 3          # highest priority (1.0) first, then lowest row id
     assert len(best) == 201
     plan = keep_best(df, "k", "p", "row_id")._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan       # aggregate with map-side combine, not a window sort
+    # winners by aggregates with map-side combine; what is sorted is the winners, above the join
+    assert plan.count("Window [") <= 1 and plan.index("Window") < plan.index("LeftSemi")
 
 
 def test_duplicated_nulls_equal(spark):
@@ -188,6 +189,24 @@ def test_dedup_hashes_and_profile_groups_once(spark):
                    "anio_max": 2001, "criticos": 1}
 
 
+def test_quantiles_of_near_equal_and_equal_values(spark):
+    import numpy as np
+    from siniestro.operators.aggregates import exact_quantiles
+    rng = np.random.default_rng(4)
+    near = (1.0 + rng.random(20_000) * 1e-9).tolist()       # one bucket of any fixed grid
+    few = [float(x) for x in rng.integers(0, 3, 20_000)]
+    heavy = np.exp(rng.normal(0, 6, 20_000)).tolist()
+    df = spark.createDataFrame(list(zip(near, few, heavy)), "a double, b double, c double").repartition(5)
+    shares = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
+    got = {r["variable"]: tuple(r)[1:] for r in exact_quantiles(df, ["a", "b", "c"], shares).collect()}
+    for name, values in (("a", near), ("b", few), ("c", heavy)):
+        assert np.allclose(got[name], np.quantile(values, shares), rtol=1e-15, atol=0)
+    for n in (1, 2, 3, 7, 130):
+        small = spark.createDataFrame([(float(i * i),) for i in range(n)], "a double")
+        one = exact_quantiles(small, ["a"], shares).first()
+        assert np.allclose(tuple(one)[1:], np.quantile([float(i * i) for i in range(n)], shares))
+
+
 def test_exact_quantiles(spark):
     import numpy as np
     from siniestro.operators.aggregates import exact_quantiles

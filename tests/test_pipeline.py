@@ -103,8 +103,10 @@ def test_registry_duplicate_in_the_last_row(spark):
     import pytest
     from siniestro.operators.joins import attach_registry
     reg = spark.range(2000).selectExpr("concat('f', least(id, 1998)) as source_file", "id as n")
-    with pytest.raises(ValueError, match="f1998"):
-        attach_registry(reg.select("source_file"), reg)
+    joined = attach_registry(reg.select("source_file").distinct(), reg)   # nothing runs yet
+    with pytest.raises(Exception, match="registry has 2 rows for source_file f1998"):
+        joined.collect()
+    assert attach_registry(reg.select("source_file"), reg.filter("n < 1999")).count() == 2000
 
 
 def test_staging_honours_its_own_inputs(spark):
@@ -218,6 +220,17 @@ def test_keep_best_null_priority_last(spark):
     assert sorted((r.k, r.o) for r in keep_best(df, "k", "p", "o").collect()) == [("a", 2), ("b", 3)]
 
 
+def test_keep_best_one_row_per_key_on_repeated_ids(spark):
+    from siniestro.operators.windows import keep_best
+    rows = [("a", 1.0, 7, "x"), ("a", 1.0, 7, "y"), ("a", 1.0, 7, "y"), ("b", 1.0, 7, "z"), ("b", 2.0, 9, "w"),
+            ("c", None, 7, "v"), (None, 1.0, 7, "n"), (None, 1.0, 8, "m"), ("d", 1.0, 3, "p"), ("d", 2.0, 3, "q")]
+    df = spark.createDataFrame(rows, "k string, p double, o int, t string").repartition(3)
+    got = sorted((str(r.k), r.o, r.t) for r in keep_best(df, "k", "p", "o").collect())
+    assert [(k, o) for k, o, _ in got] == [("None", 7), ("a", 7), ("b", 9), ("c", 7), ("d", 3)]
+    assert dict((k, t) for k, _, t in got)["d"] == "q" and dict((k, t) for k, _, t in got)["None"] == "n"
+    assert got == sorted((str(r.k), r.o, r.t) for r in keep_best(df.repartition(5), "k", "p", "o").collect())
+
+
 def test_inventory_reports_header_problems(spark):
     from siniestro.sources.cells import cells_of, inventory
     books = cells_of(spark, SH.testdata_workbooks(spark, SF_SMALL))
