@@ -114,13 +114,4 @@ def refresh_monthly_events(spark: SparkSession, runs: DataFrame | Sequence[DataF
             .select("mes", "event_type", "eventos", "usuarios", "valor_max"))
 
 
-def refresh_declarations(spark: SparkSession, landing_path: str, schema: StructType, table_path: str,
-                         checkpoint_path: str, transform: Callable[[DataFrame], DataFrame]) -> None:
-    """The same refresh keyed by ``source_file``: a re-delivered file's
-    harmonised rows replace the previous ones (partition per file)."""
-    refresh_landing(spark, landing_path, schema, table_path, checkpoint_path, lambda df: df, "source_file", transform,
-                    "source_file")
-
-
-__all__: Sequence[str] = ["land", "live_keys", "refresh_landing", "refresh_monthly_events", "refresh_declarations",
-                          "monthly_events"]
+__all__: Sequence[str] = ["land", "live_keys", "refresh_landing", "refresh_monthly_events", "monthly_events"]

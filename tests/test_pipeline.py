@@ -86,19 +86,6 @@ def test_streaming_refresh_matches_batch(spark):
     assert got == want
 
 
-def test_redelivered_file_replaces_its_rows(spark):
-    from siniestro.streaming.refresh import refresh_declarations
-    from siniestro.streaming.refresh import land
-    work = tempfile.mkdtemp(prefix="p1b-")
-    rows = lambda *r: spark.createDataFrame(r, "source_file string, k int")
-    first = rows(("A", 1), ("A", 2), ("B", 5))
-    for run in (first, rows(("A", 10)), rows(("C", 7))):
-        land(run, f"{work}/landing", "source_file")
-        refresh_declarations(spark, f"{work}/landing", first.schema, f"{work}/table", f"{work}/ckpt", lambda df: df)
-    got = sorted((r["source_file"], r["k"]) for r in spark.read.parquet(f"{work}/table").collect())
-    assert got == [("A", 10), ("B", 5), ("C", 7)]
-
-
 def test_registry_duplicate_in_the_last_row(spark):
     import pytest
     from siniestro.operators.joins import attach_registry
