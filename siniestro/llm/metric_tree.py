@@ -7,26 +7,31 @@ those with the largest product.  Distances serve as bounds only; the scores
 are exact integers.
 
 1. Pivots (a bounded sample of rows, see ``MAX_PIVOTS``) cut the vectors into
-   cells; a cell larger than ``TREE_ROWS`` is cut further by a hash of the id,
-   so a vector that a third of all rows share fills no tree.
+   cells; a cell larger than ``TREE_ROWS`` is cut again by pivots of its own.
+   Only what pivots cannot tell apart (equal vectors) is cut by a hash of the
+   id, so a vector that a third of all rows share fills no tree.
 2. One task builds each tree: pages of at most ``PAGE`` entries, every inner
    node with its routing vector, covering radius and distance to its parent,
    every leaf entry with its distance to the leaf's routing vector.  Pages are
    rows of a table in the shared checkpoint folder; every vector is in one.
 3. A query is first answered on one tree of its own cell, which bounds the
-   distance that matters.  It then goes to every other tree whose cell can
-   hold something as near (triangle inequality on the pivot's radius).
-   Queries travel in blocks of at most ``QUERY_BLOCK`` a task.
-4. In a tree, nodes wait in a heap by the least distance they can hold.  The
-   stored parent distances rule children and entries out before their
-   distance is computed; the search ends at the first node beyond the k-th
-   best.  Ties are kept, so equal scores are decided by id.
+   distance that matters; then on the ``NEAR`` next cells by their bound
+   (triangle inequality on inner and outer radius), with the bound updated;
+   then on every cell that can still hold something as near.  Queries travel
+   in blocks of at most ``QUERY_BLOCK`` a task.
+4. In a tree every query goes best first: of the nodes it knows it takes the
+   one with the least distance that it can hold, until none is nearer than its
+   k-th best.  Queries that take the same page in a step are scored together,
+   one matrix product.  The stored parent distances rule children and entries
+   out before their distance is computed.  Ties are kept, so equal scores are
+   decided by id.
 
 Defined results: a vector that is null, empty, or holds a null or a
 non-finite component takes no part, nor does a null id; vectors are compared
 to those of their own length; repeated equal rows count once; candidates are
 all rows but those with the query's id; fewer than k candidates give all;
-components beyond 2**62 / 256 are cut there by the cast.
+integer components stop at +-2**26, so that products of up to 1,024 components
+fit a long; extra columns are ignored, since a row of the result is a hit.
 """
 
 from __future__ import annotations
@@ -45,9 +50,13 @@ from siniestro.session import materialize
 PAGE = 128
 FANOUT = 16
 TREE_ROWS = 8192
-MAX_PIVOTS = 256
-QUERY_BLOCK = 4096
+MAX_PIVOTS = 4096
+QUERY_BLOCK = 32_768
+TOGETHER = 1024
+"""Queries of a block that go through a tree at the same time."""
+NEAR = 8
 K = 5
+LARGEST = 1 << 26
 
 _PAGES = ("dim int, cell int, sub int, page int, parent int, leaf boolean, routing array<double>, radius double, "
           "parent_distance double, ids array<long>, vectors array<long>, distances array<double>")
@@ -63,7 +72,8 @@ def usable(vector: Column) -> Column:
 
 def quantised(rows: DataFrame, id_: str, vector: str, factor: int = 256) -> DataFrame:
     """(id, vec, dim, norm): vectors as integers, floor(factor * x)."""
-    vec = F.transform(vector, lambda x: F.floor(x.cast("double") * float(factor)).cast("long"))
+    vec = F.transform(vector, lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(
+        x.cast("double") * float(factor)).cast("long"))).cast("long"))
     return (rows.filter(F.col(id_).isNotNull() & usable(F.col(vector)))
             .select(F.col(id_).cast("long").alias("id"), vec.alias("vec")).distinct()
             .withColumn("dim", F.size("vec")).withColumn("norm", F.aggregate(
@@ -82,6 +92,12 @@ def _distances(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", delta, delta))
 
 
+def _to_points(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Distances of all rows to all points, by one product."""
+    square = np.einsum("ij,ij->i", rows, rows)[:, None] + np.einsum("ij,ij->i", points, points) - 2.0 * (rows @ points.T)
+    return np.sqrt(np.maximum(square, 0.0))
+
+
 def _matrix(cells) -> np.ndarray:
     return np.array([np.asarray(v, np.int64) for v in cells])
 
@@ -134,64 +150,117 @@ class Tree:
         dim = self.routing.shape[1] - 1
         self.vectors = [np.asarray(x, np.int64).reshape(-1, dim) for x in pages["vectors"]]
         self.distances = [np.asarray(x, float) for x in pages["distances"]]
-
-    def search(self, own: int, query: np.ndarray, k: int, known: list[int]) -> list[tuple[int, int]]:
-        """(score, id) of the k best rows but those with id ``own``; ``known``: scores of k rows elsewhere, if any."""
-        lifted = np.append(query.astype(np.float64), 0.0)
-        square = self.top + float(lifted @ lifted)
-        best: list[tuple[int, int]] = []  # a heap, worst first: (score, -id)
-        floor = min(known) if len(known) >= k else None
-
-        def reach() -> float:
-            score = best[0][0] if len(best) >= k else None
-            if floor is not None and (score is None or floor > score):
-                score = floor
-            if score is None:
-                return float("inf")
-            return float(np.sqrt(max(square - 2.0 * score, 0.0))) * (1 + 1e-9) + 1e-6
-
-        first = float(np.linalg.norm(self.routing[0] - lifted))
-        heap = [(max(first - self.radius[0], 0.0), 0, first)]
-        limit = reach()
-        while heap:
-            least, node, away = heapq.heappop(heap)
-            if least > limit:
-                break
-            if not self.leaf[node]:
-                kids = self.children[node]
-                kids = kids[np.abs(away - self.to_parent[kids]) - self.radius[kids] <= limit]
-                for kid, far in zip(kids.tolist(), _distances(self.routing[kids], lifted).tolist(), strict=True):
-                    near = max(far - float(self.radius[kid]), 0.0)
-                    if near <= limit:
-                        heapq.heappush(heap, (near, kid, far))
-                continue
-            keep = np.flatnonzero((np.abs(away - self.distances[node]) <= limit) & (self.ids[node] != own))
-            scores = self.vectors[node][keep] @ query
-            if len(best) >= k:
-                better = scores >= best[0][0]
-                keep, scores = keep[better], scores[better]
-            for entry in zip(scores.tolist(), (-self.ids[node][keep]).tolist(), strict=True):
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-            limit = reach()
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+        # products of components up to this are exact in floating point
+        self.limit = int((2.0 ** 52 / max(dim, 1)) ** 0.5)
+        self.small = max((int(np.abs(v).max(initial=0)) for v in self.vectors), default=0) <= self.limit
+
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray) -> list[tuple[int, int, int]]:
+        """(row, score, id) of the k best entries of every query but those with its id in ``own``.
+
+        ``floors``: a score that k rows elsewhere reach, -inf if unknown.
+        """
+        m, nodes = len(queries), len(self.leaf)
+        exact = np.float64 if self.small and np.abs(queries).max(initial=0) <= self.limit else np.int64
+        lowest = -np.inf if exact is np.float64 else -np.iinfo(np.int64).max
+        asked = queries.astype(exact)
+        lifted = np.concatenate((queries.astype(np.float64), np.zeros((m, 1))), axis=1)
+        square = self.top + np.einsum("ij,ij->i", lifted, lifted)
+        # distances by products are off by some 1e-8 of their scale when they are small
+        slack = 1e-6 * (1.0 + np.sqrt(square))
+        best = np.full((m, k), lowest, exact)
+        names = np.full((m, k), np.iinfo(np.int64).max)
+        ahead = np.full((m, nodes), np.inf)  # least distance of a node that a query knows and has not taken
+        far = np.zeros((m, nodes))
+
+        def reach(rows: np.ndarray) -> np.ndarray:
+            kth = best[rows, k - 1]
+            score = np.maximum(np.where(kth == lowest, -np.inf, kth.astype(float)), floors[rows])
+            return np.where(np.isinf(score), np.inf, np.sqrt(np.maximum(square[rows] - 2.0 * score, 0.0))) + slack[rows]
+
+        far[:, 0] = _to_points(lifted, self.routing[:1])[:, 0]
+        ahead[:, 0] = np.maximum(far[:, 0] - self.radius[0] - slack, 0.0)
+        limit = reach(np.arange(m))
+        alive = np.arange(m)
+        while len(alive):
+            taken = ahead[alive].argmin(axis=1)
+            least = ahead[alive, taken]
+            on = np.isfinite(least) & (least <= limit[alive])
+            alive, taken = alive[on], taken[on]
+            ahead[alive, taken] = np.inf
+            order = np.argsort(taken, kind="stable")
+            cuts = np.flatnonzero(np.diff(taken[order])) + 1
+            groups = zip(np.split(alive[order], cuts), taken[order][np.r_[0, cuts]], strict=True) if len(alive) else ()
+            for rows, node in groups:
+                if not self.leaf[node]:
+                    kids = self.children[node]
+                    open_ = np.abs(far[rows, node][:, None] - self.to_parent[kids]) - self.radius[kids] - slack[rows][:, None] \
+                        <= limit[rows][:, None]
+                    some = np.flatnonzero(open_.any(axis=1))
+                    if not len(some):
+                        continue
+                    away = _to_points(lifted[rows[some]], self.routing[kids])
+                    near = np.maximum(away - self.radius[kids] - slack[rows[some]][:, None], 0.0)
+                    far[np.ix_(rows[some], kids)] = away
+                    ahead[np.ix_(rows[some], kids)] = np.where(open_[some] & (near <= limit[rows[some]][:, None]), near, np.inf)
+                    continue
+                open_ = np.abs(far[rows, node][:, None] - self.distances[node]) - slack[rows][:, None] <= limit[rows][:, None]
+                cols = np.flatnonzero(open_.any(axis=0))
+                if not len(cols):
+                    continue
+                ids = self.ids[node][cols]
+                scores = asked[rows] @ self.vectors[node][cols].astype(exact).T
+                scores[ids[None, :] == own[rows][:, None]] = lowest
+                better = np.flatnonzero((scores >= best[rows, k - 1][:, None]).any(axis=1))
+                rows, scores = rows[better], scores[better]
+                if not len(rows):
+                    continue
+                both = np.concatenate((best[rows], scores), axis=1)
+                who = np.concatenate((names[rows], np.where(scores == lowest, np.iinfo(np.int64).max, ids[None, :])), axis=1)
+                top = np.lexsort((who, -both), axis=1)[:, :k]
+                best[rows], names[rows] = np.take_along_axis(both, top, 1), np.take_along_axis(who, top, 1)
+                limit[rows] = reach(rows)
+        row, at = np.nonzero(best != lowest)
+        return list(zip(row.tolist(), map(int, best[row, at]), names[row, at].tolist(), strict=True))
 
 
 class _Cells:
-    """Pivots, radii and numbers of trees, per dimension: at most MAX_PIVOTS each."""
+    """Per dimension: pivots of the first cut, those of the second by cell of the first, and what is known of each cell.
+
+    Cells are numbered in all; ``inner`` and ``outer`` are the least and
+    largest distance of a member to the cell's pivot, ``subs`` its trees.
+    """
 
     def __init__(self, tops: dict[int, float], pivots: dict[int, np.ndarray]) -> None:
         self.tops = tops
-        self.pivots = {d: _lifted(p, tops[d]) for d, p in pivots.items()}
-        self.radii: dict[int, np.ndarray] = {}
-        self.subs: dict[int, np.ndarray] = {}
-
-    def nearest(self, dim: int, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        away = np.stack([_distances(vectors, p) for p in self.pivots[dim]])
-        cell = away.argmin(axis=0)
-        return cell, away[cell, np.arange(len(cell))]
+        self.first = {d: _lifted(p, tops[d]) for d, p in pivots.items()}
+        self.second: dict[int, dict[int, np.ndarray]] = {d: {} for d in pivots}
+        self.settle()
+
+    def settle(self) -> None:
+        """Number the cells: a cell of the first cut, or those that its own pivots cut it into."""
+        self.start, self.pivots = {}, {}
+        for d, first in self.first.items():
+            parts = [self.second[d].get(c, first[c:c + 1]) for c in range(len(first))]
+            self.start[d] = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+            self.pivots[d] = np.concatenate(parts)
+        self.inner = {d: np.full(len(p), np.inf) for d, p in self.pivots.items()}
+        self.outer = {d: np.zeros(len(p)) for d, p in self.pivots.items()}
+        self.subs = {d: np.zeros(len(p), int) for d, p in self.pivots.items()}
+
+    def nearest(self, dim: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, distance to its pivot) of lifted rows."""
+        cell, away = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for at in range(0, len(x), TOGETHER):
+            some = slice(at, at + TOGETHER)
+            far = _to_points(x[some], self.first[dim])
+            one = far.argmin(axis=1)
+            cell[some], away[some] = self.start[dim][one], far[np.arange(len(one)), one]
+            for c in np.intersect1d(one, list(self.second[dim])):
+                rows = at + np.flatnonzero(one == c)
+                far = _to_points(x[rows], self.second[dim][c])
+                two = far.argmin(axis=1)
+                cell[rows], away[rows] = self.start[dim][c] + two, far[np.arange(len(two)), two]
+        return cell, away
 
 
 def _placed(vectors: DataFrame, cells) -> DataFrame:
@@ -208,22 +277,44 @@ def _placed(vectors: DataFrame, cells) -> DataFrame:
     return vectors.select("id", "vec", "dim").mapInPandas(work, "id long, vec array<long>, dim int, cell int, away double")
 
 
+def _drawn(vectors: DataFrame, wanted: dict[tuple, int], rows: dict[tuple, int]) -> dict[tuple, np.ndarray]:
+    """About ``wanted`` distinct rows of each group (dim, or dim and cell), spread by a hash of the id."""
+    keys = ["dim", "cell"][:len(next(iter(wanted)))]
+    share = [(*key, 2.0 * want / max(rows[key], 1)) for key, want in wanted.items()]
+    table = vectors.sparkSession.createDataFrame(share, ", ".join(f"{k} int" for k in keys) + ", share double")
+    draw = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    some = vectors.join(F.broadcast(table), keys).filter(draw < F.col("share")).select(*keys, "vec", draw.alias("draw"))
+    found: dict[tuple, list] = {}
+    for r in sorted(some.collect(), key=lambda r: r["draw"]):  # some 2 * MAX_PIVOTS rows
+        found.setdefault(tuple(r[k] for k in keys), []).append(tuple(r["vec"]))
+    return {key: _matrix(list(dict.fromkeys(v))[:wanted[key]]) for key, v in found.items()}
+
+
 def build_index(vectors: DataFrame, tree_rows: int = TREE_ROWS, max_pivots: int = MAX_PIVOTS):
     """(pages, cells): the page table of all trees and what the driver knows of the cells."""
     context = vectors.sparkSession.sparkContext
     sizes = {r[0]: (r[1], r[2]) for r in vectors.groupBy("dim").agg(F.max("norm"), F.count(F.lit(1))).collect()}
     pivots = {}
     for dim, (_, n) in sizes.items():
-        some = min(max_pivots, -(-n // tree_rows))
-        drawn = vectors.filter(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id", "vec").limit(some).collect()
-        pivots[dim] = _matrix(r["vec"] for r in drawn)
+        some = min(max_pivots, -(-2 * n // tree_rows))
+        first = vectors.filter(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id", "vec").limit(some).collect()
+        pivots[dim] = np.unique(_matrix(r["vec"] for r in first), axis=0)
     cells = _Cells({d: top for d, (top, _) in sizes.items()}, pivots)
+    counts = ("dim", "cell")
     placed = materialize(_placed(vectors, context.broadcast(cells)), "metric-cells")
-    for dim, p in cells.pivots.items():
-        cells.radii[dim], cells.subs[dim] = np.zeros(len(p)), np.zeros(len(p), int)
-    for r in placed.groupBy("dim", "cell").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n")).collect():
-        cells.radii[r["dim"]][r["cell"]] = r["r"]
-        cells.subs[r["dim"]][r["cell"]] = -(-r["n"] // tree_rows)
+    found = {(r[0], r[1]): r[2] for r in placed.groupBy(*counts).agg(F.count(F.lit(1))).collect()}
+    large = {key: n for key, n in found.items() if n > tree_rows}
+    if large:
+        scale = min(1.0, max_pivots * tree_rows / (2.0 * sum(large.values())))
+        wanted = {key: max(2, int(2 * n / tree_rows * scale)) for key, n in large.items()}
+        for (dim, cell), rows in _drawn(placed, wanted, large).items():
+            if len(rows) > 1:
+                cells.second[dim][cell] = _lifted(rows, cells.tops[dim])
+        cells.settle()
+        placed = materialize(_placed(vectors, context.broadcast(cells)), "metric-cells")
+    for r in placed.groupBy(*counts).agg(F.min("away").alias("i"), F.max("away").alias("o"), F.count(F.lit(1)).alias("n")).collect():
+        d, c = r["dim"], r["cell"]
+        cells.inner[d][c], cells.outer[d][c], cells.subs[d][c] = r["i"], r["o"], -(-r["n"] // tree_rows)
     shared = context.broadcast(cells)
 
     def sub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,14 +342,25 @@ def _answers(pages: DataFrame, asked: DataFrame, cells, blocks: int, k: int) ->
         out: list[tuple[int, int, int]] = []
         if len(tree) and len(queries):
             ready = Tree(tree, cells.value.tops[key[0]])
-            for own, vec, known in zip(queries["id"], queries["vec"], queries["known"], strict=True):
-                out += [(own, i, s) for s, i in ready.search(own, np.asarray(vec, np.int64), k, list(known))]
+            own, floors = queries["id"].to_numpy(), queries["floor"].to_numpy(float)
+            for at in range(0, len(own), TOGETHER):
+                some = slice(at, at + TOGETHER)
+                found = ready.search(own[some], _matrix(queries["vec"].iloc[some]), k, floors[some])
+                out += [(own[at + row], i, score) for row, score, i in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    copies = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    copies = pages if blocks == 1 else pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    copies = copies if blocks > 1 else copies.withColumn("block", F.lit(0))
     return copies.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(work, _HITS)
 
 
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    """The k best hits of every query; a query that repeats an id with other components has its hits together."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest products of every query; both sides as :func:`quantised`."""
     spark = vectors.sparkSession
@@ -267,44 +369,73 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     shared = spark.sparkContext.broadcast(cells)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     block = F.expr(f"cast(pmod(xxhash64(id), {blocks}) as int)").alias("block")
-    none = F.array().cast("array<long>").alias("known")
+    spot = "id long, vec array<long>, dim int, home int, cell int, sub int, floor double"
+
+    def bounds(dim: int, x: np.ndarray) -> np.ndarray:
+        """The least distance that every cell can hold, by lifted queries."""
+        away = _to_points(x, shared.value.pivots[dim])
+        near = np.maximum(away - shared.value.outer[dim], shared.value.inner[dim] - away)
+        return np.where(shared.value.subs[dim] > 0, near, np.inf)
+
+    def lifted(part: pd.DataFrame) -> np.ndarray:
+        return np.concatenate((_matrix(part["vec"]).astype(float), np.zeros((len(part), 1))), axis=1)
+
+    def rows_of(part: pd.DataFrame, hits: np.ndarray, dim: int, home: np.ndarray, floor: np.ndarray, first: bool) -> pd.DataFrame:
+        row, cell = np.nonzero(hits)
+        trees = np.ones(len(cell), int) if first else shared.value.subs[dim][cell]
+        row, cell = np.repeat(row, trees), np.repeat(cell, trees)
+        sub = np.arange(len(cell)) - np.repeat(np.cumsum(trees) - trees, trees)
+        out = part.iloc[row][["id", "vec", "dim"]].assign(home=home[row], cell=cell, sub=sub, floor=floor[row])
+        return out if first else out[(out["cell"] != out["home"]) | (out["sub"] != 0)]
 
     def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for i, vec, dim in zip(batch["id"], batch["vec"], batch["dim"], strict=True):
-                if dim in shared.value.tops:
-                    x = np.append(np.asarray(vec, float), 0.0)
-                    rows.append((i, vec, dim, int(_distances(shared.value.pivots[dim], x).argmin()), 0))
-            yield pd.DataFrame(rows, columns=["id", "vec", "dim", "cell", "sub"])
-
-    def abroad(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for i, vec, dim, home, known in zip(
-                    batch["id"], batch["vec"], batch["dim"], batch["cell"], batch["known"], strict=True):
-                x = np.append(np.asarray(vec, float), 0.0)
-                away = _distances(shared.value.pivots[dim], x) - shared.value.radii[dim]
-                limit = np.inf
-                if known is not None and len(known) >= k:
-                    square = shared.value.tops[dim] + float(x @ x) - 2.0 * min(known)
-                    limit = float(np.sqrt(max(square, 0.0))) * (1 + 1e-9) + 1e-6
-                for cell in np.flatnonzero(away <= limit):
-                    rows += [(i, vec, dim, int(cell), s, known if known is not None else [])
-                             for s in range(shared.value.subs[dim][cell]) if (cell, s) != (home, 0)]
-            yield pd.DataFrame(rows, columns=["id", "vec", "dim", "cell", "sub", "known"])
-
-    spot = "id long, vec array<long>, dim int, cell int, sub int"
+            for dim, whole in batch.groupby("dim"):
+                for at in range(0, len(whole), TOGETHER):
+                    part = whole.iloc[at:at + TOGETHER]
+                    if dim in shared.value.tops:
+                        near = bounds(dim, lifted(part))
+                        home = np.where(near <= 0, _to_points(lifted(part), shared.value.pivots[dim]), np.inf).argmin(axis=1)
+                        home = np.where(np.isfinite(near[np.arange(len(home)), home]), home, near.argmin(axis=1))
+                        hits = np.zeros(near.shape, bool)
+                        hits[np.arange(len(home)), home] = True
+                        yield rows_of(part, hits, dim, home, np.full(len(part), -np.inf), True)
+
+    def abroad(nearest: bool):
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for dim, whole in batch.groupby("dim"):
+                    for at in range(0, len(whole), TOGETHER):
+                        part = whole.iloc[at:at + TOGETHER]
+                        x = lifted(part)
+                        floor = part["floor"].to_numpy(float)
+                        square = shared.value.tops[dim] + np.einsum("ij,ij->i", x, x)
+                        slack = 1e-6 * (1.0 + np.sqrt(square))
+                        limit = np.where(np.isinf(floor), np.inf, np.sqrt(np.maximum(square - 2.0 * floor, 0.0))) + slack
+                        near = bounds(dim, x)
+                        home = part["home"].to_numpy(int)
+                        # the home cell stays for its other trees; the next cells by bound, ties by number
+                        order = np.lexsort((np.broadcast_to(np.arange(near.shape[1]), near.shape), near), axis=1)
+                        place = np.empty_like(order)
+                        np.put_along_axis(place, order, np.broadcast_to(np.arange(near.shape[1]), near.shape), 1)
+                        close = (place <= NEAR) | (np.arange(near.shape[1]) == home[:, None])
+                        hits = np.isfinite(near) & (near - slack[:, None] <= limit[:, None]) & (close if nearest else ~close)
+                        yield rows_of(part, hits, dim, home, floor, False)
+        return work
+
     home = materialize(queries.select("id", "vec", "dim").mapInPandas(at_home, spot), "metric-home")
-    first = materialize(_answers(pages, home.select("*", block, none), shared, blocks, k), "metric-first")
-    known = first.groupBy(F.col("query_id").alias("id")).agg(F.collect_list("score").alias("known"))
-    spread = home.join(known, "id", "left").drop("sub").select("id", "vec", "dim", "cell", "known") \
-        .mapInPandas(abroad, spot + ", known array<long>")
-    second = _answers(pages, spread.select("*", block), shared, blocks, k)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (first.unionByName(second).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    hits = materialize(_answers(pages, home.select("*", block), shared, blocks, k), "metric-hits")
+    for nearest in (True, False):
+        # a floor holds where k hits are known; ids that repeat with other components get none
+        kth = _best(hits, k).groupBy(F.col("query_id").alias("id")).agg(
+            F.when(F.count(F.lit(1)) == k, F.min("score").cast("double")).alias("kth"))
+        alone = home.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        known = alone.join(kth, "id", "left").select("id", F.coalesce(
+            F.when(F.col("n") == 1, F.col("kth")), F.lit(float("-inf"))).alias("floor"))
+        asked = home.drop("floor", "cell", "sub").join(known, "id").select("id", "vec", "dim", "home", "floor")
+        found = _answers(pages, asked.mapInPandas(abroad(nearest), spot).select("*", block), shared, blocks, k)
+        hits = hits.unionByName(materialize(found, "metric-hits"))
+    return _best(hits, k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_metric_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +445,7 @@ def op1_metric_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
   from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),

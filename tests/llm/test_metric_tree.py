@@ -44,9 +44,16 @@ def test_tree_is_exact_and_prunes():
     tree = _tree(np.arange(3000), vectors, 16)
     assert max(map(len, tree.ids)) <= 16 and sum(map(len, tree.ids)) == 3000
     for q in range(0, 3000, 100):
-        want = sorted((-int(vectors[q] @ v), i) for i, v in enumerate(vectors) if i != q)[:5]
-        assert tree.search(q, vectors[q], 5, []) == [(-s, i) for s, i in want]
-        assert tree.search(q, vectors[q], 5, [-want[4][0]] * 5)[0] == (-want[0][0], want[0][1])
+        want = [(0, -s, i) for s, i in sorted((-int(vectors[q] @ v), i) for i, v in enumerate(vectors) if i != q)[:5]]
+        one = np.array([q]), vectors[q:q + 1], 5
+        assert tree.search(*one, np.array([-np.inf])) == want
+        assert tree.search(*one, np.array([float(want[4][1])]))[0] == want[0]
+    asked = np.arange(0, 3000, 7)
+    got = tree.search(asked, vectors[asked], 5, np.full(len(asked), -np.inf))
+    scores = vectors[asked] @ vectors.T
+    for row, q in enumerate(asked):
+        best = sorted((-int(s), i) for i, s in enumerate(scores[row]) if i != q)[:5]
+        assert [(s, i) for r, s, i in got if r == row] == [(-s, i) for s, i in best]
 
 
 def test_odd_rows(spark):
@@ -65,6 +72,21 @@ def test_odd_rows(spark):
     assert [x for x in got if x[0] == 500] == [] and [x[2] for x in got if x[0] == 450] == [451]
 
 
+def test_dense_cells_are_cut_again_and_large_components(spark):
+    from siniestro.llm.metric_tree import build_index
+    rng = np.random.default_rng(6)
+    # nearly all rows in one dense place, a third of them equal, some far away, some beyond what fits floats
+    dense = np.concatenate((rng.normal(50, 0.05, (700, 4)), np.tile([[50.0] * 4], (400, 1)), rng.normal(0, 40, (20, 4)),
+                            rng.normal(0, 2e5, (6, 4)), [[1e9, 0, 0, -1e9]]))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(dense)], "vec_id long, embedding array<double>")
+    vectors = quantised(frame, "vec_id", "embedding")
+    pages, cells = build_index(vectors, tree_rows=64, max_pivots=64)
+    assert cells.second[4] and sum(len(r.ids) for r in pages.select("ids").collect()) == len(dense)
+    top = 2 ** 26
+    plain = [(i, np.array([max(-top, min(top, math.floor(256 * x))) for x in v])) for i, v in enumerate(dense)]
+    assert hits(search(vectors, vectors.filter("id % 50 = 0"))) == brute(plain, [r for r in plain if r[0] % 50 == 0])
+
+
 def test_empty(spark):
     frame = quantised(spark.createDataFrame([], "vec_id long, embedding array<float>"), "vec_id", "embedding")
     assert search(frame, frame).count() == 0
