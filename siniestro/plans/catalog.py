@@ -75,6 +75,10 @@ def staged_for(raw: DataFrame, registry: DataFrame) -> Curated | None:
     return None
 
 
+DECLARATION_CONTEXT = ("vw_all_agricultura", "vw_all_ganaderia_resumen")
+"""Views that join the declarations for ``dto`` and ``anio`` alone."""
+
+
 class Catalog:
     """Lazy resolver over the operational star and the historical pipeline.
 
@@ -87,6 +91,7 @@ class Catalog:
                  frames: dict[str, DataFrame] | None = None, staged: bool = True):
         self.spark, self.sf_dir, self.mode = spark, sf_dir, mode
         self._frames = dict(frames or {})
+        self._bare: dict[str, DataFrame] = {}
         self.staged = staged
 
     @property
@@ -104,6 +109,17 @@ class Catalog:
     def table(self, logical: str) -> DataFrame:
         return self.physical(resolve(logical, self.mode))
 
+    def table_for(self, logical: str, *columns: str) -> DataFrame:
+        """:meth:`table` for a consumer of ``columns`` (beyond the table's own
+        measures): joins that only bring other columns are left out, and those
+        columns are null."""
+        name = resolve(logical, self.mode)
+        if name not in DECLARATION_CONTEXT or name in self._frames or {"dto", "anio"} & set(columns):
+            return self.physical(name)
+        if name not in self._bare:
+            self._bare[name] = getattr(self, name)(context=False)
+        return self._bare[name]
+
     def names(self) -> list[str]:
         return sorted(set(standins.STANDINS) | set(HISTORIC_VIEWS) | set(UNIFIED_VIEWS) | set(self._frames))
 
@@ -269,12 +285,18 @@ class Catalog:
             F.concat(F.lit("H-"), F.col("actividad_hist_id")).alias("actividad_all_id"), "TipoActividadDesc")
         return unify(cur, hist)
 
-    def vw_all_agricultura(self) -> DataFrame:
-        a = self.physical("agricultura")
+    def _in_context(self, fact: DataFrame, key: str, context: bool) -> DataFrame:
+        """``fact`` with ``dto`` and ``anio`` of its declaration, or nulls without the join."""
+        known = self._decl_context()
+        if context:
+            return fact.join(known, fact[key] == F.col("__id"), "left")
+        return fact.withColumns({c: F.lit(None).cast(known.schema[c].dataType) for c in ("dto", "anio")})
+
+    def vw_all_agricultura(self, context: bool = True) -> DataFrame:
+        a = self._in_context(self.physical("agricultura"), "ddjj", context)
         ct = self.physical("cultivostipo").select(F.col("id").alias("__ct"), F.col("CultivoTipoDesc").alias("especie"))
         cu = self.physical("cultivos").select(F.col("id").alias("__cu"), F.col("CultivoDesc").alias("cultivo"))
         cur = (a.join(ct, a.tipo_cultivo == F.col("__ct"), "left").join(cu, a.id_cultivo == F.col("__cu"), "left")
-                .join(self._decl_context(), a.ddjj == F.col("__id"), "left")
                 .select(F.concat(F.lit("A-"), F.col("id_agricultura").cast("string")).alias("agricultura_all_id"),
                         "especie", "cultivo", F.col("sup_sembrada").alias("superficie_sembrada_uso"),
                         F.col("sup_afectada").alias("superficie_afectada"), F.col("ddjj").alias("id_ddjj_actual"),
@@ -301,9 +323,9 @@ class Catalog:
             F.concat(F.lit("H-"), F.col("cultivo_tipo_hist_id")).alias("cultivo_tipo_all_id"), "CultivoTipoDesc")
         return unify(cur, hist)
 
-    def vw_all_ganaderia_resumen(self) -> DataFrame:
+    def vw_all_ganaderia_resumen(self, context: bool = True) -> DataFrame:
         """Current branch = cattle table melted to the 7 categories."""
-        known = self.physical("bovinos").join(self._decl_context(), F.col("idddjj") == F.col("__id"), "left")
+        known = self._in_context(self.physical("bovinos"), "idddjj", context)
         b = melt_pairs(known, ["idddjj", "dto", "anio"], HERD_CATEGORIES, "categoria", "existencias", "mortandad",
                        cast="double")
         cur = (b.select(F.concat_ws("-", F.lit("A"), F.col("idddjj").cast("string"), F.col("categoria")).alias("ganaderia_all_id"),

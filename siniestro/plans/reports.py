@@ -356,10 +356,15 @@ def _analysis_pred(af: AnalysisFilters, unified: bool, year_col: Column | None =
     return out
 
 
+def _needed(af: AnalysisFilters) -> list[str]:
+    """The declaration columns that the filters read (unified mode)."""
+    return [c for c, value in (("dto", af.resolution), ("anio", af.year)) if value is not None]
+
+
 def crops(cat: Catalog, af: AnalysisFilters = AnalysisFilters()) -> DataFrame:
     """O14 (current) / O15 (unified): sown and affected surface per crop."""
     if cat.unified:
-        a = cat.table("agricultura").filter(_analysis_pred(af, True))
+        a = cat.table_for("agricultura", *_needed(af)).filter(_analysis_pred(af, True))
         label = F.coalesce("especie", "cultivo", F.lit(UNCLASSIFIED))
         decl = F.coalesce(F.col("id_ddjj_actual").cast("string"), "ddjj_hist_id", "iddj", "codigo", "solicitud_id")
         out = agg.crop_totals(a, label, "superficie_sembrada_uso", "superficie_afectada", decl)
@@ -415,7 +420,7 @@ def herd(cat: Catalog, af: AnalysisFilters = AnalysisFilters(), n: int = DEFAULT
     (unified: per coalesced category, zero categories removed); then the
     mortality rate and the top-N by stock."""
     if cat.unified:
-        g = cat.table("ganaderia_resumen").filter(_analysis_pred(af, True))
+        g = cat.table_for("ganaderia_resumen", *_needed(af)).filter(_analysis_pred(af, True))
         label = F.coalesce("categoria", "especie", "actividad", F.lit(HERD_FALLBACK))
         h = agg.herd_totals(g, label).filter(any_positive("existencias", "mortandad"))
     else:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,24 +142,34 @@ def select_tables(names: Sequence[str], drop: Sequence[str] = DEFAULT_EXCLUDED_T
 
 
 def snapshot_tables(source: Mapping[str, DataFrame], dest_path: str, tables: Sequence[str],
-                    allowed: Sequence[str] | None = None) -> list[dict]:
+                    allowed: Sequence[str] | None = None, at_once: int = 8) -> list[dict]:
     """Copy tables (zero dates repaired; protected names and names
-    outside the allow-list refused); a failing table never stops the others."""
+    outside the allow-list refused), a few at a time; a failing table never
+    stops the others, its error is in the result."""
     from ..functions.dates import repair_zero_dates
     from ..plans.validate import CURRENT_TABLES, is_protected
     allowed = set(CURRENT_TABLES if allowed is None else allowed)
-    results = []
-    for t in tables:
+
+    def copy(t: str) -> dict:
         try:
             if is_protected(t):
                 raise ValueError(f"protected name: {t}")
             if t not in allowed:
                 raise ValueError(f"not on the allow-list: {t}")
+            if t not in source:
+                raise ValueError(f"no such table: {t}")
             repair_zero_dates(source[t]).write.mode("overwrite").parquet(os.path.join(dest_path, t))
-            results.append({"tabla": t, "error": None})
+            return {"tabla": t, "error": None}
         except Exception as exc:  # noqa: BLE001 -- reported per table
-            results.append({"tabla": t, "error": f"{type(exc).__name__}: {exc}"})
-    return results
+            return {"tabla": t, "error": f"{type(exc).__name__}: {exc}"}
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(copy, tables))
+
+
+def copy_errors(spark: SparkSession, results: Sequence[dict]) -> DataFrame:
+    """The tables that were not copied, and why."""
+    return spark.createDataFrame([(r["tabla"], r["error"]) for r in results if r["error"]], "tabla string, error string")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

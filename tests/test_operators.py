@@ -231,3 +231,17 @@ def test_listings_without_a_cut(spark):
     first = [r["id"] for r in R.search_producers(cat, limit=20).collect()]
     every = sorted((r["productor"] or "", r["id"]) for r in R.search_producers(cat, limit=None).collect())
     assert first == [i for _, i in every[:20]]
+
+
+def test_unified_crops_and_herd_join_declarations_on_demand(spark):
+    from conftest import SF_SMALL
+    from siniestro.plans import reports as R
+    from siniestro.plans.catalog import Catalog
+    cat = Catalog(spark, SF_SMALL, "unificado")
+
+    def reads_declarations(df):
+        return " AS __id#" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert not reads_declarations(R.crops(cat)) and not reads_declarations(R.herd(cat))
+    assert reads_declarations(R.crops(cat, R.AnalysisFilters(year=1996)))
+    assert R.crops(cat).count() > 0 and R.herd(cat).count() > 0
