@@ -24,15 +24,15 @@ def keep_best(df: DataFrame, key: str | Sequence[str], priority: str, order: str
     order that the join leaves behind, so exactly one stays.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    named = [f"__k{i}" for i in range(len(keys))]
+    named = [f"__kb_key{i}" for i in range(len(keys))]
     p = F.col(priority).cast("double")
     rank = F.when(p.isNull() | F.isnan(p), F.lit(float("-inf"))).otherwise(p)
     rows = df.select("*", *[F.coalesce(F.col(k).cast("string"), F.lit("\x00")).alias(n) for k, n in zip(keys, named)],
-                     F.col(order).alias("__o"), rank.alias("__p"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h"))
-    first = rows.groupBy(*named, "__p").agg(F.min("__o").alias("__o"))
-    best = first.groupBy(*named).agg(F.max_by("__o", "__p").alias("__o"))
-    one = Window.partitionBy(*named, "__o").orderBy(F.desc("__p"), "__h")
-    return (rows.join(best, [*named, "__o"], "left_semi").withColumn("__n", F.row_number().over(one)).filter("__n = 1")
+                     F.col(order).alias("__kb_order"), rank.alias("__kb_rank"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__kb_hash"))
+    first = rows.groupBy(*named, "__kb_rank").agg(F.min("__kb_order").alias("__kb_order"))
+    best = first.groupBy(*named).agg(F.max_by("__kb_order", "__kb_rank").alias("__kb_order"))
+    one = Window.partitionBy(*named, "__kb_order").orderBy(F.desc("__kb_rank"), "__kb_hash")
+    return (rows.join(best, [*named, "__kb_order"], "left_semi").withColumn("__kb_nth", F.row_number().over(one)).filter("__kb_nth = 1")
             .select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
