@@ -210,14 +210,20 @@ class Tree:
                 ids = self.ids[node][cols]
                 scores = asked[rows] @ self.vectors[node][cols].astype(exact).T
                 scores[ids[None, :] == own[rows][:, None]] = lowest
-                better = np.flatnonzero((scores >= best[rows, k - 1][:, None]).any(axis=1))
-                rows, scores = rows[better], scores[better]
-                if not len(rows):
+                # entries that can be among the k best, few once a bound is known; ties stay
+                worst = np.maximum(best[rows, k - 1], np.where(np.isinf(floors[rows]), lowest, floors[rows]).astype(exact))
+                row, col = np.nonzero((scores >= worst[:, None]) & (scores != lowest))
+                if not len(row):
                     continue
-                both = np.concatenate((best[rows], scores), axis=1)
-                who = np.concatenate((names[rows], np.where(scores == lowest, np.iinfo(np.int64).max, ids[None, :])), axis=1)
-                top = np.lexsort((who, -both), axis=1)[:, :k]
-                best[rows], names[rows] = np.take_along_axis(both, top, 1), np.take_along_axis(who, top, 1)
+                changed = np.unique(row)
+                place = np.concatenate((np.repeat(changed, k), row))
+                both = np.concatenate((best[rows[changed]].ravel(), scores[row, col]))
+                who = np.concatenate((names[rows[changed]].ravel(), ids[col]))
+                order = np.lexsort((who, -both, place))
+                starts = np.searchsorted(place[order], changed)
+                top = order[(starts[:, None] + np.arange(k)).ravel()]
+                rows = rows[changed]
+                best[rows], names[rows] = both[top].reshape(-1, k), who[top].reshape(-1, k)
                 limit[rows] = reach(rows)
         row, at = np.nonzero(best != lowest)
         return list(zip(row.tolist(), map(int, best[row, at]), names[row, at].tolist(), strict=True))
