@@ -19,10 +19,11 @@ are exact integers.
    (triangle inequality on inner and outer radius), with the bound updated;
    then on every cell that can still hold something as near.  Queries travel
    in blocks of at most ``QUERY_BLOCK`` a task.
-4. In a tree every query goes best first: of the nodes it knows it takes the
-   one with the least distance that it can hold, until none is nearer than its
-   k-th best.  Queries that take the same page in a step are scored together,
-   one matrix product.  The stored parent distances rule children and entries
+4. In a tree queries go best first together: of the nodes a query knows, the
+   one with the least distance that it can hold is its first choice, until
+   none is nearer than its k-th best.  A step takes the first choice of most
+   queries, for all queries that it can still serve, as one matrix product,
+   so no page is taken more than once.  The stored parent distances rule children and entries
    out before their distance is computed.  Ties are kept, so equal scores are
    decided by id.
 
@@ -180,51 +181,50 @@ class Tree:
         far[:, 0] = _to_points(lifted, self.routing[:1])[:, 0]
         ahead[:, 0] = np.maximum(far[:, 0] - self.radius[0] - slack, 0.0)
         limit = reach(np.arange(m))
-        alive = np.arange(m)
-        while len(alive):
-            taken = ahead[alive].argmin(axis=1)
-            least = ahead[alive, taken]
-            on = np.isfinite(least) & (least <= limit[alive])
-            alive, taken = alive[on], taken[on]
-            ahead[alive, taken] = np.inf
-            order = np.argsort(taken, kind="stable")
-            cuts = np.flatnonzero(np.diff(taken[order])) + 1
-            groups = zip(np.split(alive[order], cuts), taken[order][np.r_[0, cuts]], strict=True) if len(alive) else ()
-            for rows, node in groups:
-                if not self.leaf[node]:
-                    kids = self.children[node]
-                    open_ = np.abs(far[rows, node][:, None] - self.to_parent[kids]) - self.radius[kids] - slack[rows][:, None] \
-                        <= limit[rows][:, None]
-                    some = np.flatnonzero(open_.any(axis=1))
-                    if not len(some):
-                        continue
-                    away = _to_points(lifted[rows[some]], self.routing[kids])
-                    near = np.maximum(away - self.radius[kids] - slack[rows[some]][:, None], 0.0)
-                    far[np.ix_(rows[some], kids)] = away
-                    ahead[np.ix_(rows[some], kids)] = np.where(open_[some] & (near <= limit[rows[some]][:, None]), near, np.inf)
+        while True:
+            first = ahead.argmin(axis=1)
+            least = ahead[np.arange(m), first]
+            alive = np.isfinite(least) & (least <= limit)
+            if not alive.any():
+                break
+            # the page that comes first for most queries, for all that may need it
+            node = int(np.bincount(first[alive]).argmax())
+            rows = np.flatnonzero(np.isfinite(ahead[:, node]) & (ahead[:, node] <= limit))
+            ahead[:, node] = np.inf
+            if not self.leaf[node]:
+                kids = self.children[node]
+                open_ = np.abs(far[rows, node][:, None] - self.to_parent[kids]) - self.radius[kids] - slack[rows][:, None] \
+                    <= limit[rows][:, None]
+                some = np.flatnonzero(open_.any(axis=1))
+                if not len(some):
                     continue
-                open_ = np.abs(far[rows, node][:, None] - self.distances[node]) - slack[rows][:, None] <= limit[rows][:, None]
-                cols = np.flatnonzero(open_.any(axis=0))
-                if not len(cols):
-                    continue
-                ids = self.ids[node][cols]
-                scores = asked[rows] @ self.vectors[node][cols].astype(exact).T
-                scores[ids[None, :] == own[rows][:, None]] = lowest
-                # entries that can be among the k best, few once a bound is known; ties stay
-                worst = np.maximum(best[rows, k - 1], np.where(np.isinf(floors[rows]), lowest, floors[rows]).astype(exact))
-                row, col = np.nonzero((scores >= worst[:, None]) & (scores != lowest))
-                if not len(row):
-                    continue
-                changed = np.unique(row)
-                place = np.concatenate((np.repeat(changed, k), row))
-                both = np.concatenate((best[rows[changed]].ravel(), scores[row, col]))
-                who = np.concatenate((names[rows[changed]].ravel(), ids[col]))
-                order = np.lexsort((who, -both, place))
-                starts = np.searchsorted(place[order], changed)
-                top = order[(starts[:, None] + np.arange(k)).ravel()]
-                rows = rows[changed]
-                best[rows], names[rows] = both[top].reshape(-1, k), who[top].reshape(-1, k)
-                limit[rows] = reach(rows)
+                away = _to_points(lifted[rows[some]], self.routing[kids])
+                near = np.maximum(away - self.radius[kids] - slack[rows[some]][:, None], 0.0)
+                far[np.ix_(rows[some], kids)] = away
+                ahead[np.ix_(rows[some], kids)] = np.where(open_[some] & (near <= limit[rows[some]][:, None]), near, np.inf)
+                continue
+            open_ = np.abs(far[rows, node][:, None] - self.distances[node]) - slack[rows][:, None] <= limit[rows][:, None]
+            cols = np.flatnonzero(open_.any(axis=0))
+            if not len(cols):
+                continue
+            ids = self.ids[node][cols]
+            scores = asked[rows] @ self.vectors[node][cols].astype(exact).T
+            scores[ids[None, :] == own[rows][:, None]] = lowest
+            # entries that can be among the k best, few once a bound is known; ties stay
+            worst = np.maximum(best[rows, k - 1], np.where(np.isinf(floors[rows]), lowest, floors[rows]).astype(exact))
+            row, col = np.nonzero((scores >= worst[:, None]) & (scores != lowest))
+            if not len(row):
+                continue
+            changed = np.unique(row)
+            place = np.concatenate((np.repeat(changed, k), row))
+            both = np.concatenate((best[rows[changed]].ravel(), scores[row, col]))
+            who = np.concatenate((names[rows[changed]].ravel(), ids[col]))
+            order = np.lexsort((who, -both, place))
+            starts = np.searchsorted(place[order], changed)
+            top = order[(starts[:, None] + np.arange(k)).ravel()]
+            rows = rows[changed]
+            best[rows], names[rows] = both[top].reshape(-1, k), who[top].reshape(-1, k)
+            limit[rows] = reach(rows)
         row, at = np.nonzero(best != lowest)
         return list(zip(row.tolist(), map(int, best[row, at]), names[row, at].tolist(), strict=True))
 
