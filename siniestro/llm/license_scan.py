@@ -13,7 +13,13 @@ DataFrame functions only.
 4. For license passages, neighbouring diagonals (words put in or left out
    shift the rest of a passage) merge; the merged span is verified: the
    distinct 2-grams of the template it covers must be at least ``COVERAGE`` of
-   all, within at most twice the template's length.
+   all, within at most twice the template's length.  Stray votes can chain
+   onto a passage's own; a run that gets too long by that is looked at in
+   windows of diagonals, one from each of its diagonals on and as wide as a
+   span of that length allows, and the best window of each place is verified.
+
+Template places are bits of as many 64-bit masks as the longest template
+needs, so a template may be a whole license text.
 
 2-grams of two function words get no vote in a license passage (they stand
 everywhere); the base phrases vote with every 2-gram.
@@ -28,6 +34,8 @@ rows that repeat a ``doc_id`` are scanned each; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +62,17 @@ PASSAGES = {
            "hereby granted",
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
            "associated documentation files to deal in the software without restriction",
+    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+                "associated documentation files the software to deal in the software without restriction including "
+                "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+                "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+                "the following conditions the above copyright notice and this permission notice shall be included in "
+                "all copies or substantial portions of the software the software is provided as is without warranty "
+                "of any kind express or implied including but not limited to the warranties of merchantability "
+                "fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+                "holders be liable for any claim damages or other liability whether in an action of contract tort or "
+                "otherwise arising from out of or in connection with the software or the use or other dealings in "
+                "the software",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
 # Words that don't tell one passage from another.
@@ -64,23 +83,33 @@ COVERAGE = 0.8
 SHIFT = 3
 
 
-def template_table(spark: SparkSession) -> DataFrame:
-    """(template, label, base, at, a, b, n, length): one row per voting 2-gram; n: how many of these."""
+def templates(passages: dict[str, str] = PASSAGES) -> list[tuple]:
+    """(template, label, base, at, a, b, n, length): one per voting 2-gram; n: how many of these."""
     rows = []
     texts = [(True, text, label) for text, label in BASE.items()]
-    texts += [(False, text, label) for label, text in PASSAGES.items()]
+    texts += [(False, text, label) for label, text in passages.items()]
     for number, (base, text, label) in enumerate(texts):
         words = text.split()
         grams = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False))
                  if base or not FUNCTION_WORDS.issuperset((a, b))]
-        if not grams or grams[-1][0] > 63:
-            raise ValueError(f"a template has 2 to 64 words: {text!r}")
+        if not grams:
+            raise ValueError(f"a template has two words or more, not function words alone: {text!r}")
         rows += [(number, label, base, i, a, b, len(grams), len(words)) for i, a, b in grams]
+    return rows
+
+
+def template_table(spark: SparkSession, passages: dict[str, str] = PASSAGES) -> DataFrame:
+    """:func:`templates` as a table."""
     values = ", ".join(f"({t}, '{label}', {str(base).lower()}, {i}, '{a}', '{b}', {n}, {size})"
-                       for t, label, base, i, a, b, n, size in rows)
+                       for t, label, base, i, a, b, n, size in templates(passages))
     return spark.sql(f"select * from values {values} as t(template, label, base, at, a, b, n, length)")
 
 
+def masks_of(passages: dict[str, str] = PASSAGES) -> list[str]:
+    """Names of the mask columns: one for each 64 places of the longest template."""
+    return [f"votes{k}" for k in range(max(row[3] for row in templates(passages)) // 64 + 1)]
+
+
 def words_of(docs: DataFrame) -> DataFrame:
     """(id, version, words) of whole texts."""
     return docs.select(
@@ -88,47 +117,75 @@ def words_of(docs: DataFrame) -> DataFrame:
         F.filter(F.split(lower_ascii(text_or_empty()), WORD_GAP), lambda w: w != "").alias("words"))
 
 
-def matches(docs: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, passages: dict[str, str] = PASSAGES) -> DataFrame:
     """Every 2-gram of every text that some template has, with its place and the template's."""
     zipped = words_of(docs).select("id", "version", F.arrays_zip(
         F.col("words").alias("a"), F.slice("words", 2, F.size("words")).alias("b")).alias("grams"))
     grams = zipped.select("id", "version", F.posexplode("grams").alias("pos", "g")) \
         .select("id", "version", "pos", F.col("g.a").alias("a"), F.col("g.b").alias("b")) \
         .filter(F.col("b").isNotNull()).withColumn("h", F.xxhash64("a", "b"))
-    table = template_table(docs.sparkSession).withColumn("h", F.xxhash64("a", "b"))
+    table = template_table(docs.sparkSession, passages).withColumn("h", F.xxhash64("a", "b"))
     return grams.join(F.broadcast(table), ["h", "a", "b"]).drop("h", "a", "b")
 
 
-def diagonals(found: DataFrame) -> DataFrame:
-    """Votes per document, template and diagonal: the template places seen as a bit mask, and the text places."""
+def diagonals(found: DataFrame, masks: list[str]) -> DataFrame:
+    """Votes per document, template and diagonal: the template places seen as bit masks, and the text places."""
+    bits = [F.expr(f"bit_or(case when at div 64 = {k} then shiftleft(1L, at % 64) else 0L end)").alias(name)
+            for k, name in enumerate(masks)]
     return (found.withColumn("diagonal", F.col("pos") - F.col("at"))
             .groupBy("id", "version", "template", "label", "base", "n", "length", "diagonal")
-            .agg(F.expr("bit_or(shiftleft(1L, at))").alias("votes"),
-                 F.min("pos").alias("low"), (F.max("pos") + 1).alias("high")))
+            .agg(*bits, F.min("pos").alias("low"), (F.max("pos") + 1).alias("high")))
 
 
-def spans(votes: DataFrame, coverage: float = COVERAGE, shift: int = SHIFT) -> DataFrame:
-    """Verified spans: (id, version, label, base, first, last, coverage), words first to last."""
-    exact = votes.filter("base and bit_count(votes) = n").select(
+def spans(votes: DataFrame, masks: list[str], longest: int, coverage: float = COVERAGE,
+          shift: int = SHIFT) -> DataFrame:
+    """Verified spans: (id, version, label, base, first, last, coverage), words first to last.
+
+    ``longest``: the words of the longest template.
+    """
+    seen = reduce(lambda a, b: a + b, [F.bit_count(name) for name in masks])
+    share = seen / F.col("n")
+    out = ("id", "version", "label", "base", "first", "last", "coverage")
+    exact = votes.filter(F.col("base") & (seen == F.col("n"))).select(
         "id", "version", "label", "base", F.col("diagonal").alias("first"),
         (F.col("diagonal") + F.col("length") - 1).alias("last"), F.lit(1.0).alias("coverage"))
-    run = Window.partitionBy("id", "version", "template").orderBy("diagonal")
+    by_template = Window.partitionBy("id", "version", "template").orderBy("diagonal")
     near = votes.filter("not base").withColumn(
-        "new", F.when(F.col("diagonal") - F.lag("diagonal").over(run) <= shift, 0).otherwise(1))
-    merged = (near.withColumn("run", F.sum("new").over(run))
-              .groupBy("id", "version", "template", "label", "base", "n", "length", "run")
-              .agg(F.expr("bit_or(votes)").alias("votes"), F.min("low").alias("first"), F.max("high").alias("last")))
-    share = F.bit_count("votes") / F.col("n")
-    passages = merged.withColumn("coverage", share).filter(
-        (share >= coverage) & (F.col("last") - F.col("first") < 2 * F.col("length"))).select(
-        "id", "version", "label", "base", "first", "last", "coverage")
+        "new", F.when(F.col("diagonal") - F.lag("diagonal").over(by_template) <= shift, 0).otherwise(1)) \
+        .withColumn("run", F.sum("new").over(by_template))
+    whole = Window.partitionBy("id", "version", "template", "run")
+    runs = near.withColumn("first", F.min("low").over(whole)).withColumn("last", F.max("high").over(whole))
+    fits = F.col("last") - F.col("first") < 2 * F.col("length")
+    merged = (runs.filter(fits).groupBy("id", "version", "template", "label", "base", "n", "length", "run", "first", "last")
+              .agg(*(F.expr(f"bit_or({name})").alias(name) for name in masks)).withColumn("coverage", share))
+    # Diagonals in steps of about unit / length, so that one frame is length - 1 further diagonals for a template of
+    # any length; the places of these span less than twice the template.
+    unit = (longest + 1) ** 2
+    reach = whole.orderBy(F.col("diagonal") * F.expr(f"{unit}L div length"))
+    ahead = reach.rangeBetween(0, unit - longest)
+    windows = (runs.filter(~fits)
+               .withColumn("first", F.min("low").over(ahead)).withColumn("last", F.max("high").over(ahead))
+               .withColumns({name: F.expr(f"bit_or({name})").over(ahead) for name in masks})
+               .withColumn("coverage", share).filter(F.col("coverage") >= coverage)
+               .withColumn("behind", F.max("coverage").over(reach.rangeBetween(longest - unit, -1)))
+               .withColumn("best", F.max("coverage").over(ahead)))
+    # of windows that overlap the best one stays, the first of equals
+    windows = windows.filter((F.col("coverage") == F.col("best"))
+                             & (F.col("behind").isNull() | (F.col("behind") < F.col("coverage"))))
+    passages = merged.filter(F.col("coverage") >= coverage).select(*out).unionByName(windows.select(*out))
     return exact.unionByName(passages)
 
 
-def scan(docs: DataFrame, coverage: float = COVERAGE, shift: int = SHIFT) -> DataFrame:
-    """Per row of ``docs``: words, base places and their ends, labels and score."""
+def scan(docs: DataFrame, coverage: float = COVERAGE, shift: int = SHIFT,
+         passages: dict[str, str] = PASSAGES) -> DataFrame:
+    """Per row of ``docs``: words, base places and their ends, labels and score.
+
+    ``passages``: label to words in lower case, apart by one space, of any length.
+    """
+    masks, longest = masks_of(passages), max(row[-1] for row in templates(passages))
     # the few votes are written once: base places and passages both read them
-    found = spans(materialize(diagonals(matches(docs)), "license-votes"), coverage, shift)
+    votes = materialize(diagonals(matches(docs, passages), masks), "license-votes")
+    found = spans(votes, masks, longest, coverage, shift)
     labels = lambda c: F.array_join(F.sort_array(c), ",")
     base = F.when(F.col("base"), F.col("first"))
     per = found.groupBy("id", "version").agg(
