@@ -4,13 +4,14 @@ Law ``bytes``: shards of nearly equal size.  Documents with equal texts are a
 group.  Groups sorted by size go, largest first, to the least-loaded shard
 through a heap.
 
-The driver schedules a bounded number of items, whatever the corpus: a group
-larger than 1 / ``ITEMS`` of all bytes is an item of its own (there are at
-most ``ITEMS`` of these), all smaller groups are dealt by their hash into
-``ITEMS`` buckets, each one item.  Groups so never split, item sizes are exact
-sums from Spark, and the largest shard exceeds the smallest by no more than
-the largest item (a property of the schedule).  With fewer groups than items
-this is the plain schedule over groups, but for those that share a bucket.
+Groups of equal size are interchangeable, so the driver schedules runs (size,
+number of groups), not groups: :func:`schedule` says how many groups of a size
+each shard takes, and loads are exactly those of a heap over all groups.
+Sizes that differ are few: d of them need d * (d + 1) / 2 bytes, so there are
+at most the square root of twice all bytes (14 million of 100 TB).  Spark
+numbers the groups of a size - inside small hash chunks, the chunks' running
+totals added, so no task sorts a size that many groups share - and a group's
+number says its shard.
 
 Slots are gapless per shard: documents are numbered inside small hash chunks
 of a shard, and the chunks' running totals are added, so no task sorts a whole
@@ -19,13 +20,14 @@ shard.
 Defined results: a null text has no bytes (size 1, crc32 0) and forms one
 group with the empty text; a null ``doc_id`` is kept; repeated rows get slots
 of their own (in no stated order among themselves); an empty table gives no
-rows; equal items go in order of their number, equal loads to the smaller
-shard; extra columns stay in :func:`shard`.
+rows; groups of equal size go in order of their text's hash, equal loads to
+the smaller shard; extra columns stay in :func:`shard`.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,54 +36,79 @@ from siniestro.llm.columns import doc_key, set_aside, text_or_empty
 from siniestro.session import materialize
 
 SHARDS = 8
-ITEMS = 8192
 CHUNK_ROWS = 20_000
 
 
-def schedule(items: list[tuple[str, int]], shards: int = SHARDS) -> dict[str, int]:
-    """Longest processing time first: item to shard."""
-    heap = [(0, s) for s in range(shards)]
-    placed = {}
-    for name, size in sorted(items, key=lambda x: (-x[1], x[0])):
-        load, s = heap[0]
-        placed[name] = s
-        heapq.heapreplace(heap, (load + size, s))
-    return placed
-
-
-def bucket_of(items: int) -> Column:
-    return F.concat(F.lit("b"), F.lpad(F.pmod(F.xxhash64("_group"), F.lit(items)).cast("string"), 8, "0"))
+def schedule(runs: Iterable[tuple[int, int]], shards: int = SHARDS) -> list[tuple[int, int, int, int]]:
+    """Longest processing time first over runs (size, number of groups).
 
-
-def shard(docs: DataFrame, shards: int = SHARDS, items: int = ITEMS) -> DataFrame:
+    Returns (size, shard, first, number): the groups of a size that a shard
+    takes are those numbered from ``first`` on.  Before each of its groups of a
+    run a shard has load + j * size, and the heap takes the smallest of these
+    in turn; all but the last few groups of a long run are dealt at once, by
+    bisecting for the level below which their loads lie.
+    """
+    heap = [(0, s) for s in range(shards)]
+    out = []
+    for size, number in sorted(runs, reverse=True):
+        taken = [0] * shards
+        if number > 2 * shards:
+            def below(level: int, size: int = size) -> list[tuple[int, int]]:
+                return [(s, max(0, (level - load + size - 1) // size)) for load, s in heap]
+
+            low, high = min(heap)[0], max(heap)[0] + (number // shards + 1) * size
+            while high - low > 1:
+                middle = (low + high) // 2
+                low, high = (middle, high) if sum(n for _, n in below(middle)) <= number else (low, middle)
+            for s, n in below(low):
+                taken[s] = n
+            heap = [(load + taken[s] * size, s) for load, s in heap]
+            heapq.heapify(heap)
+        for _ in range(number - sum(taken)):
+            load, s = heap[0]
+            taken[s] += 1
+            heapq.heapreplace(heap, (load + size, s))
+        first = 0
+        for s in range(shards):
+            if taken[s]:
+                out.append((size, s, first, taken[s]))
+                first += taken[s]
+    return out
+
+
+def numbered(rows: DataFrame, keys: list[str], chunk: Column, order: list[str]) -> DataFrame:
+    """``rows`` with ``_at``: a gapless number from 0 among those of equal ``keys``, by (chunk, order).
+
+    Only a chunk is sorted in one task.
+    """
+    rows = rows.withColumn("_chunk", chunk)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = (rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+             .select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    place = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    return (rows.withColumn("_place", F.row_number().over(place) - 1).join(start, [*keys, "_chunk"])
+            .withColumn("_at", F.col("_start") + F.col("_place")).drop("_chunk", "_start", "_place"))
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``docs`` without text, with ``size``, ``text_crc32``, ``shard`` and ``slot`` (like-named columns are replaced)."""
+    spark = docs.sparkSession
     away, back = set_aside(docs, "text", "size", "text_crc32", "shard", "slot")
     raw = text_or_empty().cast("binary")
     rows = materialize(docs.select(
         *away, doc_key().alias("_id"), (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"), F.md5(raw).alias("_group")), "shard-rows")
-    groups = rows.groupBy("_group").agg(F.sum("size").alias("size"))
-    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    heavy = groups.filter(F.col("size") * items > total).select(F.col("_group").alias("item"), "size")
-    light = groups.filter(F.col("size") * items <= total).select(bucket_of(items).alias("item"), "size") \
-        .groupBy("item").agg(F.sum("size").alias("size"))
-    placed = schedule([(r[0], r[1]) for r in heavy.unionByName(light).collect()], shards)  # at most 2 * items rows
-    table = docs.sparkSession.createDataFrame(list(placed.items()), "item string, shard int")
-    bucket = F.col("item").like("b________")  # a group's hash is longer
-    own = F.broadcast(table.filter(~bucket).select(F.col("item").alias("_group"), F.col("shard").alias("_own")))
-    shared = F.broadcast(table.filter(bucket).select(F.col("item").alias("_bucket"), F.col("shard").alias("_shared")))
-    chunks = max(1, -(-n // CHUNK_ROWS))
-    dealt = (rows.join(own, "_group", "left").withColumn("_bucket", bucket_of(items)).join(shared, "_bucket", "left")
-             .withColumn("shard", F.coalesce("_own", "_shared"))
-             .withColumn("_chunk", F.pmod(F.xxhash64("_id", "_group"), F.lit(chunks)))
-             .drop("_group", "_bucket", "_own", "_shared"))
-    dealt = materialize(dealt, "shard-dealt")
-    before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    start = (dealt.groupBy("shard", "_chunk").agg(F.count(F.lit(1)).alias("n"))
-             .select("shard", "_chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")))
-    place = Window.partitionBy("shard", "_chunk").orderBy("_id", "size", "text_crc32")
-    return (dealt.withColumn("_at", F.row_number().over(place) - 1).join(start, ["shard", "_chunk"])
-            .select(*back, "size", "text_crc32", "shard", (F.col("_start") + F.col("_at")).cast("long").alias("slot")))
+    groups = materialize(rows.groupBy("_group").agg(F.sum("size").alias("_bytes")), "shard-groups")
+    runs = groups.groupBy("_bytes").agg(F.count(F.lit(1)).alias("n")).collect()  # as many as there are sizes
+    chunks = max(1, -(-rows.count() // chunk_rows))
+    ranges = spark.createDataFrame(schedule(map(tuple, runs), shards), "_bytes long, shard int, _first long, _n long")
+    placed = numbered(groups, ["_bytes"], F.pmod(F.xxhash64("_group"), F.lit(chunks)), ["_group"]) \
+        .join(ranges, "_bytes") \
+        .filter((F.col("_at") >= F.col("_first")) & (F.col("_at") < F.col("_first") + F.col("_n"))) \
+        .select("_group", "shard")
+    dealt = materialize(rows.join(placed, "_group"), "shard-dealt")
+    slots = numbered(dealt, ["shard"], F.pmod(F.xxhash64("_id", "_group"), F.lit(chunks)), ["_id", "size", "text_crc32"])
+    return slots.select(*back, "size", "text_crc32", "shard", F.col("_at").cast("long").alias("slot"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
