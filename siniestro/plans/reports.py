@@ -23,6 +23,7 @@ from ..operators.joins import Dim, by_id, filter_resolution, join_resolutions, l
 from ..operators.setops import distinct_union, melt
 from ..operators.windows import drop_dominant, top_n
 from .catalog import Catalog
+from .views import parcels_inner
 
 # --- fixed values ------------------------------------------------------------
 TOP_DEPARTMENTS = 15
@@ -500,3 +501,11 @@ def volume_per_resolution(cat: Catalog) -> DataFrame:
     r = cat.physical("resoluciones")
     return (d.join(r, "id_resolucion", "inner").groupBy("numero_resolucion", "nombre_resolucion")
              .agg(F.count(F.lit(1)).alias("ddjj"), F.countDistinct("id_productor").alias("productores")))
+
+
+def parcels_of_producer(cat: Catalog, text: str | None) -> DataFrame:
+    """O23 (4): parcels with producer and activity as text, of producers whose name holds ``text`` (blank: all).
+
+    Parcels come from the inner view, so one with a missing link isn't listed.
+    """
+    return parcels_inner(cat).filter(search(["productor"], text))

@@ -39,3 +39,31 @@ def parcels_inner(cat: Catalog) -> DataFrame:
     ])
     return j.select("adrema", "superficie", F.col("__act").alias("actividad"), F.col("__ten").alias("tenencia"),
                     "nombre_estab", F.col("ddjj").alias("id_ddjj"), "productor")
+
+
+def _activities(cat: Catalog, fk: str, name: str = "actividad") -> Dim:
+    return Dim(cat.physical("tipoactividad"), fk, "TipoActividadId", {"TipoActividadDesc": name})
+
+
+def products(cat: Catalog) -> DataFrame:
+    """Product with its type, activity and unit; what isn't found is null, no product disappears."""
+    j = lookup(cat.physical("productos"), [
+        Dim(cat.physical("productostipo"), "productotipoid", "productotipoid",
+            {"ProductoTipoDesc": "tipo", "id_actividad": "__type_activity"}),
+        _activities(cat, "actividadid"),
+        _activities(cat, "__type_activity", "actividad_tipo"),
+        Dim(cat.physical("unidades_medida"), "medida", "id", {"UnidadDesc": "unidad"}),
+    ])
+    return j.select("productoid", F.col("ProductoDesc").alias("producto"), "precio", "tipo", "actividad", "actividad_tipo", "unidad")
+
+
+def product_types(cat: Catalog) -> DataFrame:
+    """Product type with the activity it belongs to and the number of its products and their prices."""
+    priced = (cat.physical("productos").groupBy(F.col("productotipoid").alias("__type"))
+              .agg(F.count(F.lit(1)).alias("__n"), F.min("precio").alias("__low"), F.max("precio").alias("__high")))
+    j = lookup(cat.physical("productostipo"), [
+        _activities(cat, "id_actividad"),
+        Dim(priced, "productotipoid", "__type", {"__n": "__n", "__low": "precio_min", "__high": "precio_max"}),
+    ])
+    return j.select("productotipoid", F.col("ProductoTipoDesc").alias("tipo"), "actividad",
+                    F.coalesce("__n", F.lit(0)).alias("productos"), "precio_min", "precio_max")
