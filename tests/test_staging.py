@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from siniestro.sources.staging import INDEX_COLUMNS, checked, load_staging, rank_bounds
+from siniestro.sources.staging import FILE_ROWS, INDEX_COLUMNS, checked, curve, load_staging, rank_bounds
 from siniestro.standins import standin
 
 
@@ -71,3 +71,32 @@ def test_equal_rows_span_files(spark):
     path = tempfile.mkdtemp(prefix="stg-") + "/t"
     assert load_staging(rows, path, file_rows=500).table.count() == 3000
     assert len(glob.glob(f"{path}/**/*.parquet", recursive=True)) >= 6
+
+
+def test_rows_are_checked_once(spark):
+    """The checked rows are written and read: their check is in no plan after that."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(50).select(F.col("id").alias("row_id"), counted(F.lit("2001")).alias("anio"), F.lit("D").alias("departamento"))
+    out = load_staging(rows.withColumn("departamento", counted("departamento")), tempfile.mkdtemp(prefix="stg-") + "/t")
+    assert out.table.count() == 50 and out.rejects.count() == 0
+    assert seen.value == 100  # two columns, 50 rows
+
+
+def test_curve_is_compiled_and_ranks_by_least_value(spark):
+    bounds = {"a": [("b", 2), ("d", 7), ("f", 15)], "b": [("x", 8)], "c": []}
+    place = curve(bounds)
+    assert "lambda" not in str(place)
+    df = spark.createDataFrame([("a", "x"), ("b", "w"), ("c", None), ("d", "y"), ("e", "x"), ("f", "x"), ("z", "x"), (None, "x")], "a string, b string")
+    bits = lambda ra, rb: sum(((ra >> i & 1) << (2 * i + 1)) + ((rb >> i & 1) << (2 * i)) for i in range(4))
+    want = [bits(*x) for x in [(0, 8), (2, 0), (2, 0), (7, 8), (7, 8), (15, 8), (15, 8), (0, 8)]]
+    assert [r[0] for r in df.select(place).collect()] == want
+
+
+def test_a_task_writes_a_bounded_number_of_rows():
+    assert FILE_ROWS <= 500_000
