@@ -7,7 +7,7 @@ them, and recomputes keys, winners and flags of the touched events only.
 
 State, all under one folder:
 
-- ``store``: live input rows by (event, batch); an event is written anew when
+- ``store``: live input rows with their keys by (event, batch); an event is written anew when
   it is touched, so superseded rows are gone from its newest partition;
 - ``index``: per batch a small snapshot: which files an event's rows come from
   and which batch holds its newest partition;
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import normalize_key
-from ..operators.consolidate import complementary_rows, load_inputs, same_level_rows
+from ..operators.consolidate import KEY_PREFIX, keyed_rows, load_inputs, with_keys
 from ..operators.quality import add_quality_flags, apply_event_mapping
 from ..operators.windows import keep_best
 from ..session import materialize
@@ -47,11 +47,11 @@ def event_key() -> Column:
 
 
 def curated_tables(inputs: DataFrame) -> dict[str, DataFrame]:
-    """L2-L6 over input rows that hold whole events: keys never span two of them."""
-    principal, detail = complementary_rows(inputs)
-    return {"consolidated": keep_best(same_level_rows(inputs), "dedup_key", "prioridad", "row_id"),
-            "principal": keep_best(principal, "principal_key", "prioridad", "row_id"),
-            "detail": keep_best(detail, "detalle_key", "prioridad", "row_id")}
+    """L2-L6 over input rows that hold whole events: keys never span two of them.  Rows of the store have their keys."""
+    keyed = inputs if f"{KEY_PREFIX}dedup_key" in inputs.columns else with_keys(inputs)
+    return {"consolidated": keep_best(keyed_rows(keyed, "same_level_keyed"), "dedup_key", "prioridad", "row_id"),
+            "principal": keep_best(keyed_rows(keyed, "principal_keyed"), "principal_key", "prioridad", "row_id"),
+            "detail": keep_best(keyed_rows(keyed, "detail_keyed"), "detalle_key", "prioridad", "row_id")}
 
 
 def deliver(rows: DataFrame, landing_path: str, withdrawn: tuple[str, ...] = ()) -> None:
@@ -92,11 +92,11 @@ def _snapshot(spark: SparkSession, base: str, before: int | None = None) -> Data
 
 def apply_batch(spark: SparkSession, base: str, delivered: DataFrame, number: int, registry: DataFrame) -> None:
     """One micro-batch: ``delivered`` has harmonised rows, ``retirado``, run and time."""
-    newest = delivered.groupBy("source_file").agg(F.max_by(RUN, F.struct(TIME, RUN)).alias(RUN))
-    rows = materialize(delivered.join(newest, ["source_file", RUN], "left_semi").drop(RUN, TIME), "delivery")
-    files = rows.select("source_file").distinct()
+    newest = materialize(delivered.groupBy("source_file").agg(F.max_by(RUN, F.struct(TIME, RUN)).alias(RUN)), "delivery")
+    rows = delivered.join(newest, ["source_file", RUN], "left_semi").drop(RUN, TIME)
+    files = newest.select("source_file")  # one row per file
     fresh = load_inputs(add_quality_flags(apply_event_mapping(rows.filter(~F.col(WITHDRAWN)).drop(WITHDRAWN), registry)), registry)
-    fresh = materialize(fresh.withColumn(EVENT, event_key()), "delivery-inputs")
+    fresh = materialize(with_keys(fresh).withColumn(EVENT, event_key()), "delivery-inputs")
     before = _snapshot(spark, base, number)
     live, untouched = fresh, None
     schema = fresh.withColumn(BATCH, F.lit(0).cast("long")).schema
