@@ -122,3 +122,10 @@ def test_keys_over_all_of_unicode(spark):
 def test_numbers_that_only_java_reads(spark, value):
     assert one(spark, C.to_number("x"), value) is None
     assert one(spark, C.repair_coord("x"), value) is None
+
+
+def test_cleaning_looks_at_a_cell_few_times(spark):
+    from siniestro.functions.numeric import parse_numeric_chars
+    assert str(parse_numeric_chars(F.col("x"))).upper().count("RLIKE") == 1
+    assert one(spark, C.clean_text("x"), " a \t b  c~!d ") == "A B C~!D"
+    assert [one(spark, C.clean_text("x"), t) for t in ("Sin Dato", "S/D", "sin datos")] == [None, None, "SIN DATOS"]
